@@ -6,14 +6,17 @@ The forms are read from ``events``: the event type tells the kind of form row, t
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from entry_queries.registry import query, rounded
-from fieldspark.functions.text import location_id, recode, squish
 from fieldspark.fixed_values import COUNT_SITE_ALIASES
+from fieldspark.functions.dates import days_between
+from fieldspark.functions.text import location_id, recode, squish
 from fieldspark.operators import quality
 from fieldspark.operators.asof import prior_event_asof
-from fieldspark.functions.dates import days_between
+from fieldspark.operators.statistics import box_summary
 from fieldspark.plans import effort as ef
 from fieldspark.plans import explore as ex
 from fieldspark.plans import recruitment as rc
@@ -402,7 +405,7 @@ def effort_summary(t):
 
 
 # both forms derive from the same events CTE
-_BOTH = f"{_SOAK}, {_EFFORT_SUMMARY}, {_SUMMARY.split(', ', 1)[1]}"
+_BOTH = f"{_SOAK}, {_EFFORT_SUMMARY}, {_SUMMARY.removeprefix(_E + ', ')}"
 
 
 @query(
@@ -423,7 +426,7 @@ def cpue(t):
     return rounded(rc.site_rates(rc.sample_summary(_samples(t)), rc.effort_summary(_soak(t))))
 
 
-_RATES = f"""{_SOAK}, {_CLEAN_COUNTS.split(', ', 1)[1]},
+_RATES = f"""{_SOAK}, {_CLEAN_COUNTS.removeprefix(_E + ', ')},
   by_type AS (
     SELECT site, collection_date, CASE lower(substrate_type) WHEN 'benthic' THEN 'benthic_brush'
              WHEN 'suspended' THEN 'suspended_brush' END AS sample_type, coalesce(sum(total_urchins), 0) AS total_urchins
@@ -475,8 +478,6 @@ def weekly(t):
         FROM x JOIN q USING (patch_type, position) GROUP BY ALL""",
 )
 def rate_boxes(t):
-    from fieldspark.operators.statistics import box_summary
-
     return rounded(box_summary(_rates(t), ["patch_type", "position"], "log_daily_counts"))
 
 
@@ -498,8 +499,6 @@ def rate_boxes(t):
         FROM long GROUP BY ALL""",
 )
 def explore_summary(t):
-    from datetime import date
-
     form = count_form(t)
     typed = form.withColumns(
         {

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from entry_queries.registry import query, rounded, sql_differ, text_of
 from fieldspark.operators.joins import join_suffix, keep_members
 from fieldspark.plans import double_entry as de
-from fieldspark.sources.typing import apply_schema  # noqa: F401
 
 
 def _lines(t):

@@ -86,13 +86,13 @@ _DRAWS = f"""{_ZONES}, {_DENSITY}, {_DIST},
   own AS (SELECT *, coalesce(sum(u) OVER (PARTITION BY {_K} ORDER BY size_cm ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b,
             sum(u) OVER (PARTITION BY {_K}) AS total FROM units),
   gunits AS (SELECT size_cm, greatest(CAST(round_even(prob * 1099511627776, 0) AS BIGINT), 1) AS u FROM fallback),
-  glob AS (SELECT *, coalesce(sum(u) OVER (ORDER BY size_cm ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b,
+  overall AS (SELECT *, coalesce(sum(u) OVER (ORDER BY size_cm ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b,
              sum(u) OVER () AS total FROM gunits),
   totals AS (SELECT {_K}, max(total) AS own_total FROM own GROUP BY ALL),
   wanted AS (SELECT d.site, d.site_type, d.zone, d.year, CAST(round_even(total_urchins_zone, 0) AS BIGINT) AS n, own_total
              FROM density d LEFT JOIN totals t ON d.site = t.site AND d.site_type = t.site_type AND d.zone = t.zone AND d.year = t.year),
   draws AS (SELECT {_K}, own_total, i AS draw,
-              ((site * 7919 + ascii(site_type) * 15485863 + ascii(zone) * 32452843 + CAST(year AS BIGINT) * 49979687 + i * 104729)
+              ((site * 7919 + CAST(ascii(site_type) AS BIGINT) * 15485863 + CAST(ascii(zone) AS BIGINT) * 32452843 + CAST(year AS BIGINT) * 49979687 + i * 104729)
                * 48271 % 2147483647) / 2147483647.0::DOUBLE AS r
             FROM (SELECT *, unnest(generate_series(1, n)) AS i FROM wanted WHERE n >= 1)),
   sim AS (
@@ -101,7 +101,7 @@ _DRAWS = f"""{_ZONES}, {_DENSITY}, {_DIST},
       AND floor(r * own_total) >= b AND floor(r * own_total) < b + u WHERE own_total IS NOT NULL
     UNION ALL
     SELECT d.site, d.site_type, d.zone, d.year, draw, size_cm FROM draws d
-    JOIN glob o ON floor(r * total) >= b AND floor(r * total) < b + u WHERE own_total IS NULL)"""
+    JOIN overall o ON floor(r * total) >= b AND floor(r * total) < b + u WHERE own_total IS NULL)"""
 
 
 def _individuals(t):

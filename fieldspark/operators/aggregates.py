@@ -25,52 +25,97 @@ def numeric_means(df: DataFrame, keys: Sequence[str], drop: Sequence[str] = ())
     )
 
 
-def distinct_text(
+_PARTIAL = {
+    "rows": lambda c: F.count(F.when(c, 1)),
+    "sum": F.sum,
+    "min": F.min,
+    "max": F.max,
+    "any": F.bool_or,
+}
+_FINAL = {
+    "rows": F.sum,
+    "sum": lambda c: F.coalesce(F.sum(c), F.lit(0)),
+    "min": F.min,
+    "max": F.max,
+    "any": lambda c: F.coalesce(F.bool_or(c), F.lit(False)),
+}
+
+
+def summarise(
     df: DataFrame,
     keys: Sequence[str],
+    measures: Mapping[str, tuple[str, str | None]],
     *,
-    in_order: Mapping[str, str] | None = None,
-    first: Mapping[str, str] | None = None,
-    sorted_: Mapping[str, str] | None = None,
+    distinct_counts: Mapping[str, str] | None = None,
+    sorted_texts: Mapping[str, str] | None = None,
+    ordered_texts: Mapping[str, str] | None = None,
+    first_texts: Mapping[str, str] | None = None,
     order: Column | None = None,
     sep: str = " | ",
 ) -> DataFrame:
-    """Distinct non-missing texts per key, joined into one text per output column.
-
-    Each mapping is ``{output: column}``. ``sorted_`` joins in text order, ``in_order`` in order
-    of first appearance by ``order``, ``first`` keeps the first text only.
-
-    Texts are reduced to one row per key, column and text before any list is built, so a list
-    holds what the output holds and never the rows of a group.
+    """Measures and text lists per key in one pass over the input.
+
+    ``measures`` maps output to (``rows | sum | min | max | any``, column), missing values left
+    out: a sum of nothing is zero, an any of nothing false. The text mappings are
+    ``{output: column}``: ``sorted_texts`` joins the distinct texts in text order,
+    ``ordered_texts`` in order of first appearance by ``order``, ``first_texts`` keeps the first
+    one. ``distinct_counts`` counts distinct values.
+
+    Every row gives one piece for its measures and one per text column. Pieces are reduced to one
+    row per key, column and text (combining map-side) before any list is built, so a list holds
+    what the output holds and never the rows of a group; the input is read once and nothing is
+    joined. Give ``order`` as one number or time where the input is large, which keeps that
+    reduction a hash aggregate.
     """
-    in_order, first, sorted_ = dict(in_order or {}), dict(first or {}), dict(sorted_ or {})
-    if (in_order or first) and order is None:
-        raise ValueError("in_order and first need an order")
-    sources = {**sorted_, **in_order, **first}
-    if order is None:
-        order = F.lit(0)
-    pieces = F.array(
-        *[
-            F.struct(F.lit(out).alias("field"), F.col(src).cast("string").alias("text"))
-            for out, src in sources.items()
-        ]
-    )
-    texts = (
-        df.select(*keys, order.alias("__ord"), F.explode(pieces).alias("__p"))
-        .where(F.col("__p.text").isNotNull())
+    counted, by_text = dict(distinct_counts or {}), dict(sorted_texts or {})
+    by_order, firsts = dict(ordered_texts or {}), dict(first_texts or {})
+    if (by_order or firsts) and order is None:
+        raise ValueError("ordered_texts and first_texts need an order")
+    sources = {**counted, **by_text, **by_order, **firsts}
+    used = {c: F.col(c) for _, c in measures.values() if c is not None and c not in keys}
+    pieces = [F.struct(F.lit("").alias("field"), F.lit(None).cast("string").alias("text"))] + [
+        F.struct(F.lit(out).alias("field"), F.col(src).cast("string").alias("text"))
+        for out, src in sources.items()
+    ]
+    is_row = F.col("__p.field") == ""
+    reduced = (
+        df.select(
+            *keys,
+            *used.values(),
+            (F.lit(0) if order is None else order).alias("__ord"),
+            F.explode(F.array(*pieces)).alias("__p"),
+        )
+        .where(is_row | F.col("__p.text").isNotNull())
         .groupBy(*keys, F.col("__p.field").alias("__field"), F.col("__p.text").alias("__text"))
-        .agg(F.min("__ord").alias("__ord"))
+        .agg(
+            F.min("__ord").alias("__ord"),
+            *[
+                _PARTIAL[how](is_row if how == "rows" else F.when(is_row, F.col(c))).alias(out)
+                for out, (how, c) in measures.items()
+            ],
+        )
     )
 
     def listed(out: str) -> Column:
-        entry = F.struct("__text") if out in sorted_ else F.struct("__ord", "__text")
+        entry = F.struct("__text") if out in by_text else F.struct("__ord", "__text")
         entries = F.array_sort(F.collect_list(F.when(F.col("__field") == out, entry)))
-        ordered = F.transform(entries, lambda e: e["__text"])
-        if out in first:
-            return F.get(ordered, F.lit(0)).alias(out)
-        return F.nullif(F.array_join(ordered, sep), F.lit("")).alias(out)
+        texts = F.transform(entries, lambda e: e["__text"])
+        if out in firsts:
+            return F.get(texts, F.lit(0)).alias(out)
+        return F.nullif(F.array_join(texts, sep), F.lit("")).alias(out)
+
+    return reduced.groupBy(*keys).agg(
+        *[_FINAL[how](F.col(out)).alias(out) for out, (how, _) in measures.items()],
+        *[F.count(F.when(F.col("__field") == out, 1)).alias(out) for out in counted],
+        *[listed(out) for out in sources if out not in counted],
+    )
+
 
-    return texts.groupBy(*keys).agg(*[listed(out) for out in sources])
+def arrival_order(time: str, row_id: str) -> Column:
+    """Time, then row number, as one number; rows without a time come last."""
+    micros = F.coalesce(F.unix_micros(F.col(time).cast("timestamp")), F.lit(10**18))
+    shift = F.lit(10**18).cast("decimal(19,0)")
+    return (micros.cast("decimal(19,0)") * shift + F.col(row_id).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def last_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

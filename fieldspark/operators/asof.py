@@ -2,14 +2,68 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldspark.operators.joins import join_suffix
 
 
+def _answered(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The questions among ``points`` with ``__match`` and ``__known`` (the key has any event).
+
+    Points have keys, ``__day``, ``__is_event`` (0 or 1) and ``__event`` (missing for questions),
+    with no more than one of each kind per key and day.
+    """
+    whole_key = Window.partitionBy(*keys)
+    # within a day the question sorts before the event, which keeps same-day events out
+    earlier = whole_key.orderBy("__day", "__is_event").rowsBetween(Window.unboundedPreceding, -1)
+    undated = F.max(F.when(F.col("__day").isNull() & (F.col("__is_event") == 1), F.col("__event")))
+    return (
+        points.withColumn("__earlier", F.last("__event", ignorenulls=True).over(earlier))
+        .withColumn("__undated", undated.over(whole_key))
+        .withColumn("__known", F.max("__is_event").over(whole_key))
+        .where(F.col("__is_event") == 0)
+        .withColumn("__match", F.coalesce("__undated", "__earlier"))
+    )
+
+
+def _kept(unmatched: str):
+    if unmatched not in ("drop", "keep"):
+        raise ValueError("unmatched must be 'drop' or 'keep'")
+    if unmatched == "keep":
+        return F.lit(True)
+    return F.col("__match").isNotNull() | (F.col("__known") == 0)
+
+
+def prior_event_in_place(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    is_event: Column,
+    event: Mapping[str, str],
+    unmatched: str = "drop",
+) -> DataFrame:
+    """``prior_event_asof`` of a table's other rows with its event rows, in one shuffle.
+
+    For tables with at most one event row and one other row per key and day, which bounds the
+    window group by the number of days. ``event`` maps output columns to columns of the event row.
+    """
+    chosen = F.struct(*[F.col(src).alias(out) for out, src in event.items()])
+    points = df.select(
+        "*",
+        F.to_date(time).alias("__day"),
+        is_event.cast("int").alias("__is_event"),
+        F.when(is_event, chosen).alias("__event"),
+    )
+    return (
+        _answered(points, keys)
+        .where(_kept(unmatched))
+        .select(*df.columns, *[F.col(f"__match.{c}").alias(c) for c in event])
+    )
+
+
 def prior_event_asof(
     left: DataFrame,
     right: DataFrame,
@@ -32,8 +86,6 @@ def prior_event_asof(
     number of days, however many rows a key has; the left rows then pick up their day's answer
     by an equi-join, whose hot keys adaptive execution can split.
     """
-    if unmatched not in ("drop", "keep"):
-        raise ValueError("unmatched must be 'drop' or 'keep'")
     keys = list(keys)
     payload = [c for c in right.columns if c not in keys]
     clash = set(payload) & set(left.columns)
@@ -47,22 +99,9 @@ def prior_event_asof(
     points = events.withColumn("__is_event", F.lit(1)).unionByName(
         asked.withColumn("__is_event", F.lit(0)), allowMissingColumns=True
     )
-
-    whole_key = Window.partitionBy(*keys)
-    # within a day the question sorts before the event, which keeps same-day events out
-    earlier = whole_key.orderBy("__day", "__is_event").rowsBetween(Window.unboundedPreceding, -1)
-    undated = F.max(F.when(F.col("__day").isNull() & (F.col("__is_event") == 1), F.col("__event")))
-    answers = (
-        points.withColumn("__match", F.last("__event", ignorenulls=True).over(earlier))
-        .withColumn("__undated", undated.over(whole_key))
-        .withColumn("__known", F.max("__is_event").over(whole_key))
-        .where(F.col("__is_event") == 0)
-        .select(*keys, "__day", F.coalesce("__undated", "__match").alias("__match"), "__known")
-    )
+    answers = _answered(points, keys).select(*keys, "__day", "__match", "__known")
 
     paired = join_suffix(
         left.withColumn("__day", F.to_date(left_time)), answers, keys + ["__day"], "inner"
     )
-    if unmatched == "drop":
-        paired = paired.where(F.col("__match").isNotNull() | (F.col("__known") == 0))
-    return paired.select(*left.columns, *[F.col(f"__match.{c}").alias(c) for c in payload])
+    return paired.where(_kept(unmatched)).select(*left.columns, *[F.col(f"__match.{c}").alias(c) for c in payload])

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from fieldspark.fixed_values import EFFORT_SITE_ALIASES, MEDIA_TYPE_PATTERNS
 from fieldspark.functions.dates import days_between
 from fieldspark.functions.text import classify, recode, squish, squish_to_null
-from fieldspark.operators.aggregates import distinct_text
-from fieldspark.operators.asof import prior_event_asof
-from fieldspark.operators.joins import join_suffix
+from fieldspark.operators.aggregates import arrival_order, summarise
+from fieldspark.operators.asof import prior_event_in_place
 from fieldspark.operators.reshape import split_to_rows
+from fieldspark.sources.landed import ROW_ID
 
 DEPLOYMENT, COLLECTION, SURVEY = "Deployment", "Collection", "Survey"
 EVENT_KEYS = ["site", "event_date", "event_record", "sample_type"]
@@ -49,7 +49,7 @@ def standardise_form(form: DataFrame, aliases=EFFORT_SITE_ALIASES) -> DataFrame:
         F.nullif(recode(squish(site), aliases), F.lit("")).alias("site"),
         squish_to_null(by_event("samples_deployed", "samples_collected", None)).alias("samples"),
         squish_to_null(notes).alias("notes"),
-        *[c for c in ("_row_id",) if c in form.columns],
+        *[c for c in (ROW_ID,) if c in form.columns],
     )
 
 
@@ -66,41 +66,40 @@ def media_events(effort: DataFrame, patterns=MEDIA_TYPE_PATTERNS) -> DataFrame:
         "timestamp", "email_address", "event_record", "event_date", "site", "samples",
         classify("samples", patterns).alias("sample_type"),
         "notes",
-        *[c for c in ("_row_id",) if c in effort.columns],
+        *[c for c in (ROW_ID,) if c in effort.columns],
     )
 
 
 def effort_table(media: DataFrame) -> DataFrame:
     """Replicates collapsed to one row per site, date, event and media type."""
     typed = media.where(F.col("sample_type").isNotNull())
-    order = [F.col("timestamp").isNull(), F.col("timestamp")]
-    order += [F.col(c) for c in ("_row_id",) if c in media.columns]
-    times = typed.groupBy(*EVENT_KEYS).agg(F.min("timestamp").alias("timestamp"))
-    texts = distinct_text(
-        typed, EVENT_KEYS,
-        first={"email_address": "email_address"}, in_order={"notes": "notes"},
-        order=F.struct(*order),
+    ordered = arrival_order("timestamp", ROW_ID) if ROW_ID in media.columns else F.col("timestamp")
+    return summarise(
+        typed,
+        EVENT_KEYS,
+        {"timestamp": ("min", "timestamp")},
+        first_texts={"email_address": "email_address"},
+        ordered_texts={"notes": "notes"},
+        order=ordered,
     )
-    return join_suffix(times, texts, EVENT_KEYS, "left")
 
 
 def soak_time(effort: DataFrame, unmatched: str = "drop") -> DataFrame:
-    """Each collection with its latest earlier deployment and the days between."""
-    deployments = effort.where(F.col("event_record") == DEPLOYMENT).select(
-        "site", "sample_type",
-        F.col("timestamp").alias("deploy_timestamp"),
-        F.col("event_date").alias("date_deployed"),
-        F.col("notes").alias("deploy_notes"),
-    )
-    collections = effort.where(F.col("event_record") == COLLECTION).select(
-        "site", "sample_type",
-        F.col("timestamp").alias("collect_timestamp"),
-        F.col("event_date").alias("date_collected"),
-        F.col("notes").alias("collect_notes"),
-    )
-    paired = prior_event_asof(
-        collections, deployments, ["site", "sample_type"],
-        "date_collected", "date_deployed", tie="deploy_timestamp", unmatched=unmatched,
+    """Each collection with its latest earlier deployment and the days between.
+
+    The effort table has one row per site, media type, day and kind of event, so deployments and
+    collections are paired in place, without splitting the table and joining it to itself.
+    """
+    gear = effort.where(F.col("event_record").isin(DEPLOYMENT, COLLECTION))
+    paired = prior_event_in_place(
+        gear,
+        ["site", "sample_type"],
+        time="event_date",
+        is_event=F.col("event_record") == DEPLOYMENT,
+        event={"date_deployed": "event_date", "deploy_timestamp": "timestamp", "deploy_notes": "notes"},
+        unmatched=unmatched,
+    ).withColumnsRenamed(
+        {"event_date": "date_collected", "timestamp": "collect_timestamp", "notes": "collect_notes"}
     )
     return paired.select(
         "site", "sample_type", "date_deployed", "date_collected",

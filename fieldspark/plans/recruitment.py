@@ -20,10 +20,11 @@ from fieldspark.fixed_values import (
 )
 from fieldspark.functions.dates import week_start
 from fieldspark.functions.models import offset_log10
-from fieldspark.functions.nulls import any0, level_rank, ratio, row_sum, sum0
+from fieldspark.functions.nulls import level_rank, ratio, row_sum, sum0
 from fieldspark.functions.text import recode, squish, squish_to_null
-from fieldspark.operators.aggregates import distinct_text
+from fieldspark.operators.aggregates import summarise
 from fieldspark.operators.joins import join_suffix
+from fieldspark.sources.landed import ROW_ID
 
 SAMPLE_KEYS = ["site", "collection_date"]
 EFFORT_KEYS = ["site", "date_collected"]
@@ -77,49 +78,48 @@ def clean_counts(
     )
 
 
-def sample_summary(samples: DataFrame, order: str = "timestamp") -> DataFrame:
-    """Totals, dates and text lists per site and collection date."""
-    numbers = samples.groupBy(*SAMPLE_KEYS).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct("sample_number").alias("n_unique_sample_numbers"),
-        sum0("number_of_vials_in_sample").alias("total_vials"),
-        sum0("number_of_purple_urchins").alias("total_purple_urchins"),
-        sum0("number_of_red_urchins").alias("total_red_urchins"),
-        sum0("number_of_unidentified_urchins").alias("total_unidentified_urchins"),
-        sum0("total_urchins").alias("total_urchins"),
-        sum0("number_of_crabs").alias("total_crabs"),
-        sum0("number_of_gastropods").alias("total_gastropods"),
-        sum0("number_of_bivalves").alias("total_bivalves"),
-        sum0("number_of_plastic").alias("total_plastic"),
-        F.min("sorting_date").alias("first_sorting_date"),
-        F.max("sorting_date").alias("last_sorting_date"),
-        any0("collection_date_corrected").alias("any_collection_date_corrected"),
-    )
-    texts = distinct_text(
-        samples, SAMPLE_KEYS,
-        sorted_={
+def sample_summary(samples: DataFrame) -> DataFrame:
+    """Totals, dates and text lists per site and collection date; notes in sheet order."""
+    order = ROW_ID if ROW_ID in samples.columns else "timestamp"
+    return summarise(
+        samples,
+        SAMPLE_KEYS,
+        {
+            "n_rows": ("rows", None),
+            "total_vials": ("sum", "number_of_vials_in_sample"),
+            "total_purple_urchins": ("sum", "number_of_purple_urchins"),
+            "total_red_urchins": ("sum", "number_of_red_urchins"),
+            "total_unidentified_urchins": ("sum", "number_of_unidentified_urchins"),
+            "total_urchins": ("sum", "total_urchins"),
+            "total_crabs": ("sum", "number_of_crabs"),
+            "total_gastropods": ("sum", "number_of_gastropods"),
+            "total_bivalves": ("sum", "number_of_bivalves"),
+            "total_plastic": ("sum", "number_of_plastic"),
+            "first_sorting_date": ("min", "sorting_date"),
+            "last_sorting_date": ("max", "sorting_date"),
+            "any_collection_date_corrected": ("any", "collection_date_corrected"),
+        },
+        distinct_counts={"n_unique_sample_numbers": "sample_number"},
+        sorted_texts={
             "substrate_types": "substrate_type",
             "sorters": "sorter_name",
             "raw_collection_dates": "collection_date_raw",
         },
-        in_order={"notes": "notes"},
+        ordered_texts={"notes": "notes"},
         order=F.col(order),
     )
-    return join_suffix(numbers, texts, SAMPLE_KEYS, "left")
 
 
-def effort_summary(soak: DataFrame, order: str = "collect_timestamp") -> DataFrame:
+def effort_summary(soak: DataFrame) -> DataFrame:
     """Earliest deployment, longest soak and text lists per site and collection date."""
-    numbers = soak.groupBy(*EFFORT_KEYS).agg(
-        F.min("date_deployed").alias("date_deployed"), F.max("soak_time").alias("soak_time")
-    )
-    texts = distinct_text(
-        soak, EFFORT_KEYS,
-        sorted_={"sample_types": "sample_type"},
-        in_order={"deploy_notes": "deploy_notes", "collect_notes": "collect_notes"},
-        order=F.struct(F.col("sample_type"), F.col(order)),
+    return summarise(
+        soak,
+        EFFORT_KEYS,
+        {"date_deployed": ("min", "date_deployed"), "soak_time": ("max", "soak_time")},
+        sorted_texts={"sample_types": "sample_type"},
+        ordered_texts={"deploy_notes": "deploy_notes", "collect_notes": "collect_notes"},
+        order=F.struct("sample_type", "collect_timestamp"),
     )
-    return join_suffix(numbers, texts, EFFORT_KEYS, "left")
 
 
 def site_rates(samples: DataFrame, effort: DataFrame) -> DataFrame:
