@@ -1,32 +1,29 @@
 """Running totals and exact quantiles that do not sort a whole group in one task.
 
-Values of a group are laid into equal-width cells between the group's own minimum and maximum.
-Only per-cell totals (at most ``cells`` rows per group) are ever ordered across a group; rows are
-ordered within a cell.
+Values are laid into cells that keep their order: equal steps of ``log(1 + |x| / unit)``, so a cell
+spans a fixed share of its value and no pass over the data is needed to place it. Only per-cell
+totals are ever ordered across a group, and those are bounded by the range of the numbers (about
+4,000 cells per doubling); rows are ordered within a cell.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldspark.functions.nulls import ratio
+from fieldspark.functions.nulls import as_column
 from fieldspark.operators.joins import join_suffix
 
-CELLS = 1024
+CELLS_PER_DOUBLING = 4096
+UNIT = 1e-3
 
 
-def _with_cell(df: DataFrame, keys: Sequence[str], value: str, cells: int) -> DataFrame:
-    """Adds ``__cell``; needs non-missing values."""
-    span = df.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    place = F.floor(ratio(F.col(value) - F.col("__lo"), F.col("__hi") - F.col("__lo")) * cells)
-    return (
-        join_suffix(df, span, keys)
-        .withColumn("__cell", F.coalesce(F.least(place, F.lit(cells - 1)), F.lit(0)).cast("int"))
-        .drop("__lo", "__hi")
-    )
+def order_cell(value: Column | str, unit: float = UNIT) -> Column:
+    """A whole number that never falls as the value rises."""
+    x = as_column(value).cast("double")
+    return F.signum(x).cast("bigint") * F.floor(F.log2(1 + F.abs(x) / F.lit(unit)) * CELLS_PER_DOUBLING)
 
 
 def _cell_starts(celled: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
@@ -41,19 +38,13 @@ def _cell_starts(celled: DataFrame, keys: Sequence[str], weight: str) -> DataFra
     )
 
 
-def running_total(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    weight: str,
-    cells: int = CELLS,
-) -> DataFrame:
+def running_total(df: DataFrame, keys: Sequence[str], order: str, weight: str) -> DataFrame:
     """Adds ``weight_before`` (sum over smaller ``order``) and ``weight_total`` per key.
 
     ``order`` must be unique within a key and not missing; ``weight`` is an integer column, so
     the sums are exact whatever the order of addition.
     """
-    celled = _with_cell(df, keys, order, cells)
+    celled = df.withColumn("__cell", order_cell(order))
     starts = _cell_starts(celled, keys, weight).drop("__in_cell")
     within = (
         Window.partitionBy(*keys, "__cell").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -76,14 +67,13 @@ def quantiles_of_counts(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
-    cells: int = CELLS,
 ) -> DataFrame:
     """Exact quantiles per key from ``value_counts``; linear between neighbours.
 
     ``probs`` maps output names to probabilities. Only the cells that hold a wanted rank have
     their values put in order.
     """
-    celled = _with_cell(counts, keys, value, cells)
+    celled = counts.withColumn("__cell", order_cell(value))
     starts = _cell_starts(celled, keys, "__n")
     position = {name: F.lit(float(p)) * (F.col("__total") - 1) for name, p in probs.items()}
     ranks = [r for p in position.values() for r in (F.floor(p), F.ceil(p))]
@@ -121,6 +111,6 @@ def quantiles_of_counts(
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], cells: int = CELLS
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
 ) -> DataFrame:
-    return quantiles_of_counts(value_counts(df, keys, value), keys, value, probs, cells)
+    return quantiles_of_counts(value_counts(df, keys, value), keys, value, probs)

@@ -57,8 +57,9 @@ def weighted_sample(
     uniform = uniform or hashed_uniform(keys, seed)
     tags = [f"__k{i}" for i in range(len(keys))]
 
-    own = running_total(_share_units(distribution, prob).select(*keys, size, "__units"), keys, size, "__units")
-    own_totals = own.groupBy(*keys).agg(F.max("weight_total").alias("__own_total"))
+    own_units = _share_units(distribution, prob).select(*keys, size, "__units")
+    own = running_total(own_units, keys, size, "__units")
+    own_totals = own_units.groupBy(*keys).agg(F.sum("__units").alias("__own_total"))
     ranges = own.select(
         *[F.col(k).alias(t) for k, t in zip(keys, tags)], F.lit(True).alias("__own"),
         F.col(size).alias("__size"), "__units", "weight_before", "weight_total",

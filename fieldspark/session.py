@@ -16,6 +16,8 @@ def local_session(app: str, cpus: int | str = "*", partitions: int = 8) -> Spark
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # plans here are built from many small expressions; do not record a call site for each
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
