@@ -9,7 +9,7 @@ from fieldspark.plans import zone_level as zl
 
 _ZONES = """z AS (SELECT l_suppkey AS site, l_returnflag AS site_type, l_linestatus AS zone,
   CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_shipdate AS DATE) AS survey_date,
-  nullif(l_quantity, 13) / 20 AS density, CAST(l_linenumber AS DOUBLE) AS size_cm, l_quantity AS count,
+  nullif(l_quantity, 13) / 16 AS density, CAST(l_linenumber AS DOUBLE) AS size_cm, l_quantity AS count,
   CASE WHEN l_discount > 0.095 THEN 'Purple' ELSE 'Red' END AS species, l_tax, l_extendedprice FROM lineitem)"""
 _K = "site, site_type, zone, year"
 
@@ -21,7 +21,7 @@ def _zones(t):
             F.col("l_returnflag").alias("site_type"),
             F.col("l_linestatus").alias("zone"),
             F.to_date("l_shipdate").alias("survey_date"),
-            (F.nullif("l_quantity", F.lit(13.0)) / 20).alias("density"),
+            (F.nullif("l_quantity", F.lit(13.0)) / 16).alias("density"),
             F.col("l_linenumber").cast("double").alias("size_cm"),
             F.col("l_quantity").alias("count"),
             F.when(F.col("l_discount") > 0.095, "Purple").otherwise("Red").alias("species"),

@@ -29,7 +29,8 @@ def join_suffix(
 ) -> DataFrame:
     """Join on null-safe keys; other columns present on both sides get a suffix each.
 
-    A key may be ``(left_name, right_name)``; the result carries the left name.
+    A key may be ``(left_name, right_name)``; the result carries the left name. Columns keep the
+    order of ``left``, then of ``right``.
     """
     pairs = key_pairs(keys)
     left_keys = [a for a, _ in pairs]
@@ -42,18 +43,21 @@ def join_suffix(
         return left.join(tagged, on, how)
 
     joined = left.join(tagged, on, how)
-    left_rest = [c for c in left.columns if c not in left_keys]
+    right_name = dict(pairs)
     right_rest = [c for c in right.columns if c not in right_keys]
-    shared = set(left_rest) & set(right_rest)
-    if how == "full":
-        out = [F.coalesce(F.col(a), F.col(f"__r_{b}")).alias(a) for a, b in pairs]
-    elif how == "right":
-        out = [F.col(f"__r_{b}").alias(a) for a, b in pairs]
-    else:
-        out = [F.col(a) for a in left_keys]
-    out += [F.col(c).alias(c + suffix[0]) if c in shared else F.col(c) for c in left_rest]
-    out += [F.col(f"__r_{c}").alias(c + suffix[1] if c in shared else c) for c in right_rest]
-    return joined.select(*out)
+    shared = (set(left.columns) - set(left_keys)) & set(right_rest)
+
+    def left_column(c: str):
+        if c not in right_name:
+            return F.col(c).alias(c + suffix[0]) if c in shared else F.col(c)
+        if how == "full":
+            return F.coalesce(F.col(c), F.col(f"__r_{right_name[c]}")).alias(c)
+        return F.col(f"__r_{right_name[c]}").alias(c) if how == "right" else F.col(c)
+
+    return joined.select(
+        *[left_column(c) for c in left.columns],
+        *[F.col(f"__r_{c}").alias(c + suffix[1] if c in shared else c) for c in right_rest],
+    )
 
 
 def missing_keys(

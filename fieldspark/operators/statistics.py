@@ -44,8 +44,8 @@ def histogram(df: DataFrame, value: str, by: Sequence[str], bins: int = HISTOGRA
     present = df.where(F.col(value).isNotNull())
     lo = present.agg(F.min(value)).scalar()
     hi = present.agg(F.max(value)).scalar()
-    place = F.floor(ratio(F.col(value) - lo, hi - lo) * bins)
-    binned = present.withColumn("bin", F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int"))
+    place = F.coalesce(F.floor(ratio(F.col(value) - lo, hi - lo) * bins), F.lit(0))
+    binned = present.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))
     width = (hi - lo) / bins
     return (
         binned.groupBy(*by, "bin")
