@@ -22,9 +22,8 @@ from fieldspark.plans import explore as ex
 from fieldspark.plans import recruitment as rc
 
 # --- the form, written once and read by both engines ---------------------------------------------
-_PLACE = """CASE WHEN k < 8 THEN 'KF1_deep' WHEN k < 16 THEN 'KF1_shallow' WHEN k < 24 THEN 'KF2_deep'
-  WHEN k < 32 THEN 'KF2_shallow' WHEN k < 40 THEN 'BR1_deep' WHEN k < 48 THEN 'BR1S'
-  WHEN k < 56 THEN 'BR2_deep' WHEN k < 64 THEN 'BR2_shallow' ELSE concat('Plot  ', user_id) END"""
+_PLACE = """coalesce(nullif(split_part('KF1_deep,KF1_shallow,KF2_deep,KF2_shallow,BR1_deep,BR1S,BR2_deep,BR2_shallow',
+  ',', CAST(floor(k / 8) AS INT) + 1), ''), concat('Plot  ', user_id))"""
 _MEDIA = """CASE WHEN value < 3 THEN 'Benthic brush 1, benthic  BRUSH 2,,Suspended recruitment plate'
   WHEN value < 8 THEN 'suspended brush 1,Benthic recruitment plate 2' WHEN value < 12 THEN ' '
   WHEN value < 20 THEN 'Suspended Brush 2,mystery crate' END"""
@@ -223,11 +222,8 @@ def bad_duration(t):
 
 
 # --- the count form -----------------------------------------------------------------------------
-_LOCATION = """CASE WHEN k < 8 THEN 'Kelp Forest 1 Deep' WHEN k < 16 THEN 'Kelp  Forest 1 Shallow'
-  WHEN k < 24 THEN 'Kelp Forest 2 Deep' WHEN k < 32 THEN 'Kelp Forest 2 Shallow'
-  WHEN k < 40 THEN 'Baren reef 1 Deep' WHEN k < 48 THEN 'Barrens Reef 1 Shallow'
-  WHEN k < 56 THEN 'Baren Reef 2 Deep' WHEN k < 64 THEN ' Barrens Reef 2 Shallow'
-  ELSE concat('Plot ', user_id) END"""
+_LOCATION = """coalesce(nullif(split_part('Kelp Forest 1 Deep,Kelp  Forest 1 Shallow,Kelp Forest 2 Deep,Kelp Forest 2 Shallow,Baren reef 1 Deep,Barrens Reef 1 Shallow,Baren Reef 2 Deep, Barrens Reef 2 Shallow',
+  ',', CAST(floor(k / 8) AS INT) + 1), ''), concat('Plot ', user_id))"""
 _COUNT_COLUMNS = {
     "timestamp": "ts",
     "collection_date": "CASE WHEN event_type <> 'error' OR k < 95 THEN ts END",
@@ -327,10 +323,8 @@ def date_correction_table(t):
     f"""WITH {_CLEAN_COUNTS} SELECT timestamp, location, site FROM clean""",
 )
 def recode_alias(t):
-    return count_form(t).select(
-        "timestamp", squish("location").alias("location"),
-        recode(squish("location"), COUNT_SITE_ALIASES).alias("site"),
-    )
+    squished = count_form(t).select("timestamp", squish("location").alias("location"))
+    return squished.withColumn("site", recode("location", COUNT_SITE_ALIASES))
 
 
 @query("recode_audit", f"WITH {_CLEAN_COUNTS} SELECT location, site, count(*) AS n FROM clean GROUP BY ALL")

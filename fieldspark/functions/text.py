@@ -53,19 +53,27 @@ def site_code_padded(c: Column | str) -> Column:
 def classify(c: Column | str, patterns: Sequence[tuple[str, str]], default: str | None = None) -> Column:
     """Label of the first pattern found (any case), else ``default``."""
     c = as_column(c)
-    out = F.lit(None).cast("string") if default is None else F.lit(default)
-    for pattern, label in reversed(patterns):
-        out = F.when(c.rlike("(?i)" + pattern), F.lit(label)).otherwise(out)
-    return out
+    return labelled([(c.rlike("(?i)" + pattern), label) for pattern, label in patterns], default)
+
+
+def labelled(cases: Sequence[tuple[Column, str]], default: Column | str | None = None) -> Column:
+    """Label of the first condition that holds, else ``default``."""
+    (first, label), *others = cases
+    out = F.when(first, F.lit(label))
+    for condition, other in others:
+        out = out.when(condition, F.lit(other))
+    return out if default is None else out.otherwise(default)
 
 
 def recode(c: Column | str, aliases: Mapping[str, Sequence[str]]) -> Column:
-    """Replace each known alias by its code; other values pass through."""
+    """Replace each known alias by its code; other values pass through.
+
+    One lookup in a literal map, so the value is worked out twice whatever the number of aliases,
+    also where Spark copies the expression into a filter.
+    """
     c = as_column(c)
-    out = c
-    for code, names in reversed(list(aliases.items())):
-        out = F.when(c.isin(list(names)), F.lit(code)).otherwise(out)
-    return out
+    entries = [F.lit(x) for code, names in aliases.items() for name in names for x in (name, code)]
+    return F.coalesce(F.element_at(F.create_map(*entries), c), c)
 
 
 def extract_first(c: Column | str, pattern: str) -> Column:

@@ -27,19 +27,20 @@ def order_cell(value: Column | str, unit: float = UNIT) -> Column:
 
 
 def _cell_starts(celled: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
-    """Per key and cell: weight before the cell, within the cell and in the whole group."""
+    """Per key and cell: weight before, in the cell and in the whole group, and rows in the group."""
     group = Window.partitionBy(*keys)
     before = group.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     return (
         celled.groupBy(*keys, "__cell")
-        .agg(F.sum(weight).alias("__in_cell"))
+        .agg(F.sum(weight).alias("__in_cell"), F.count(F.lit(1)).alias("__rows"))
         .withColumn("__cell_start", F.coalesce(F.sum("__in_cell").over(before), F.lit(0)))
         .withColumn("__total", F.sum("__in_cell").over(group))
+        .withColumn("__rows", F.sum("__rows").over(group))
     )
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: str, weight: str) -> DataFrame:
-    """Adds ``weight_before`` (sum over smaller ``order``) and ``weight_total`` per key.
+    """Adds ``weight_before`` (sum over smaller ``order``), ``weight_total`` and ``rows_total`` per key.
 
     ``order`` must be unique within a key and not missing; ``weight`` is an integer column, so
     the sums are exact whatever the order of addition.
@@ -54,6 +55,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, weight: str) -
         *df.columns,
         (F.col("__cell_start") + F.col("__local")).alias("weight_before"),
         F.col("__total").alias("weight_total"),
+        F.col("__rows").alias("rows_total"),
     )
 
 

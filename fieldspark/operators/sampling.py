@@ -13,7 +13,7 @@ from fieldspark.operators.ordered import running_total
 
 # probabilities are held as whole numbers of 2^-40, so cumulative sums are exact and leave no gap
 FIXED_POINT = 1 << 40
-CELLS = 64
+SIZES_PER_CELL = 16
 
 
 def hashed_uniform(keys: Sequence[str], seed: int) -> Callable[[Column], Column]:
@@ -49,64 +49,70 @@ def weighted_sample(
     Returns keys, ``draw`` (1..n) and size, one row per individual.
 
     Draws are made in chunks spread over all tasks, so one large group is many tasks' work. A
-    draw finds its size by an equi-join on group and cell of the cumulative range, with the exact
-    range as residual: a size is listed once per cell it touches, and no distribution is held
-    whole by a row or task.
+    draw finds its size by an equi-join on a hash of group and cell of the cumulative range, with
+    group and exact range as residual. A size is listed once per cell it touches, and a group has
+    a cell per few sizes, so no distribution is held whole by a row or task.
     """
     keys = list(keys)
     uniform = uniform or hashed_uniform(keys, seed)
-    tags = [f"__k{i}" for i in range(len(keys))]
 
     own_units = _share_units(distribution, prob).select(*keys, size, "__units")
-    own = running_total(own_units, keys, size, "__units")
-    own_totals = own_units.groupBy(*keys).agg(F.sum("__units").alias("__own_total"))
-    ranges = own.select(
-        *[F.col(k).alias(t) for k, t in zip(keys, tags)], F.lit(True).alias("__own"),
-        F.col(size).alias("__size"), "__units", "weight_before", "weight_total",
+    ranges = running_total(own_units, keys, size, "__units").withColumn("__own", F.lit(True))
+    totals = own_units.groupBy(*keys).agg(
+        F.sum("__units").alias("__total"), F.count(F.lit(1)).alias("__rows")
     )
-    other_total: Column = F.lit(None).cast("bigint")
+    wanted = join_suffix(
+        groups.select(*keys, half_even(n).cast("bigint").alias("__n")), totals, keys, "left"
+    ).withColumn("__own", F.col("__total").isNotNull())
     if fallback is not None:
         units = _share_units(fallback, prob).select(size, "__units")
-        other = running_total(units.withColumn("__all", F.lit(0)), ["__all"], size, "__units")
-        other_total = units.agg(F.sum("__units")).scalar()
         types = {f.name: f.dataType for f in groups.schema}
+        other = running_total(units.withColumn("__all", F.lit(0)), ["__all"], size, "__units")
         ranges = ranges.unionByName(
-            other.select(
-                *[F.lit(None).cast(types[k]).alias(t) for k, t in zip(keys, tags)],
-                F.lit(False).alias("__own"),
-                F.col(size).alias("__size"), "__units", "weight_before", "weight_total",
+            other.drop("__all").withColumns(
+                {"__own": F.lit(False), **{k: F.lit(None).cast(types[k]) for k in keys}}
             )
         )
+        wanted = wanted.withColumns(
+            {
+                "__total": F.coalesce("__total", units.agg(F.sum("__units")).scalar()),
+                "__rows": F.coalesce("__rows", units.agg(F.count(F.lit(1))).scalar()),
+            }
+        )
 
-    def cell(at: Column, total: Column) -> Column:
-        return F.floor(at * F.lit(CELLS) / total).cast("int")
+    def cell(at: Column, total: str, rows: str) -> Column:
+        cells = F.ceil(F.col(rows) / SIZES_PER_CELL)
+        return F.floor(at * cells / F.col(total)).cast("int")
 
-    listed = ranges.withColumn("__end", F.col("weight_before") + F.col("__units")).select(
-        *tags, "__own", "__size", F.col("weight_before").alias("__begin"), "__end",
-        F.explode(
-            F.sequence(
-                cell(F.col("weight_before"), F.col("weight_total")),
-                cell(F.col("__end") - 1, F.col("weight_total")),
-            )
-        ).alias("__cell"),
-    )
+    def place(group: Sequence[Column]) -> Column:
+        return F.xxhash64(*group, F.col("__own"), F.col("__cell"))
 
-    wanted = (
-        join_suffix(
-            groups.select(*keys, half_even(n).cast("bigint").alias("__n")), own_totals, keys, "left"
+    listed = (
+        ranges.withColumn("__end", F.col("weight_before") + F.col("__units"))
+        .withColumn(
+            "__cell",
+            F.explode(
+                F.sequence(
+                    cell(F.col("weight_before"), "weight_total", "rows_total"),
+                    cell(F.col("__end") - 1, "weight_total", "rows_total"),
+                )
+            ),
+        )
+        .select(
+            *[F.col(k) for k in keys], "__own", size, "weight_before", "__end",
+            place([F.col(k) for k in keys]).alias("__place"),
         )
-        .withColumn("__own", F.col("__own_total").isNotNull())
-        .withColumn("__total", F.coalesce(F.col("__own_total"), other_total))
-        .where((F.col("__n") >= 1) & F.col("__total").isNotNull())
     )
+
     last_chunk = F.floor((F.col("__n") - 1) / chunk)
     tasks = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     draws = (
-        wanted.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)).alias("__chunk"))
+        wanted.where((F.col("__n") >= 1) & F.col("__total").isNotNull())
+        .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)).alias("__chunk"))
         # a fixed count, or adaptive execution would merge these few but fertile rows into one task
         .repartition(tasks, *keys, "__chunk")
         .select(
-            *keys, "__own", "__total",
+            *keys, "__own", "__total", "__rows",
             F.explode(
                 F.sequence(
                     F.col("__chunk") * chunk + 1, F.least(F.col("__n"), (F.col("__chunk") + 1) * chunk)
@@ -114,14 +120,32 @@ def weighted_sample(
             ).alias("draw"),
         )
         .withColumn("__at", F.floor(uniform(F.col("draw")) * F.col("__total")))
-        .withColumn("__cell", cell(F.col("__at"), F.col("__total")))
+        .withColumn("__cell", cell(F.col("__at"), "__total", "__rows"))
+        .select(
+            *keys, "__own", "draw", "__at",
+            place([F.when(F.col("__own"), F.col(k)) for k in keys]).alias("__place"),
+        )
     )
 
-    on = (F.col("d.__own") == F.col("r.__own")) & (F.col("d.__cell") == F.col("r.__cell"))
-    for k, t in zip(keys, tags):
-        on = on & F.when(F.col("d.__own"), F.col(f"d.{k}")).eqNullSafe(F.col(f"r.{t}"))
-    on = on & (F.col("d.__at") >= F.col("r.__begin")) & (F.col("d.__at") < F.col("r.__end"))
+    on = (
+        (F.col("d.__place") == F.col("r.__place"))
+        & (F.col("d.__at") >= F.col("r.weight_before"))
+        & (F.col("d.__at") < F.col("r.__end"))
+        & _same_group(keys)
+    )
+    # Spark sizes the draws by the rows they are exploded from and would broadcast them
     return (
-        draws.alias("d").join(listed.alias("r"), on)
-        .select(*[F.col(f"d.{k}") for k in keys], F.col("d.draw"), F.col("r.__size").alias(size))
+        draws.hint("merge").alias("d").join(listed.alias("r"), on)
+        .select(*[F.col(f"d.{k}") for k in keys], F.col("d.draw"), F.col(f"r.{size}"))
+    )
+
+
+def _same_group(keys: Sequence[str]) -> Column:
+    """Guards against equal hashes; written as a case so that it stays out of the join keys."""
+    same = F.lit(True)
+    for k in keys:
+        a, b = F.col(f"d.{k}"), F.col(f"r.{k}")
+        same = same & F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull()).otherwise(a == b)
+    return F.when(F.col("d.__own") & F.col("r.__own"), same).otherwise(
+        ~F.col("d.__own") & ~F.col("r.__own")
     )

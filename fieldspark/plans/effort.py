@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldspark.fixed_values import EFFORT_SITE_ALIASES, MEDIA_TYPE_PATTERNS
 from fieldspark.functions.dates import days_between
-from fieldspark.functions.text import classify, recode, squish, squish_to_null
+from fieldspark.functions.text import classify, recode, squish_to_null
 from fieldspark.operators.aggregates import arrival_order, summarise
 from fieldspark.operators.asof import prior_event_in_place
 from fieldspark.operators.reshape import split_to_rows
@@ -36,21 +36,20 @@ def standardise_form(form: DataFrame, aliases=EFFORT_SITE_ALIASES) -> DataFrame:
     kind_known = form.withColumn("event_record", squish_to_null("event_record"))
     site = by_event("site_9", "site_5", "site_surveyed", "site_5", "site_9", "site_surveyed")
     notes = by_event("notes_11", "notes_7", "notes_13", "notes_7", "notes_11", "notes_13")
+    day = by_event(
+        "date_deployed", "date_collected", "timestamp", "date_collected", "date_deployed", "timestamp"
+    )
+    extra = [c for c in (ROW_ID,) if c in form.columns]
     return kind_known.select(
         "timestamp",
         squish_to_null("email_address").alias("email_address"),
         "event_record",
-        F.to_date(
-            by_event(
-                "date_deployed", "date_collected", "timestamp",
-                "date_collected", "date_deployed", "timestamp",
-            )
-        ).alias("event_date"),
-        F.nullif(recode(squish(site), aliases), F.lit("")).alias("site"),
+        F.to_date(day).alias("event_date"),
+        squish_to_null(site).alias("site"),
         squish_to_null(by_event("samples_deployed", "samples_collected", None)).alias("samples"),
         squish_to_null(notes).alias("notes"),
-        *[c for c in (ROW_ID,) if c in form.columns],
-    )
+        *extra,
+    ).withColumn("site", recode("site", aliases))
 
 
 def survey_table(effort: DataFrame) -> DataFrame:

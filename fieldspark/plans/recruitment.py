@@ -21,7 +21,7 @@ from fieldspark.fixed_values import (
 from fieldspark.functions.dates import week_start
 from fieldspark.functions.models import offset_log10
 from fieldspark.functions.nulls import level_rank, ratio, row_sum, sum0
-from fieldspark.functions.text import recode, squish, squish_to_null
+from fieldspark.functions.text import labelled, recode, squish, squish_to_null
 from fieldspark.operators.aggregates import summarise
 from fieldspark.operators.joins import join_suffix
 from fieldspark.sources.landed import ROW_ID
@@ -53,12 +53,10 @@ def clean_counts(
     form: DataFrame, aliases=COUNT_SITE_ALIASES, corrections=COLLECTION_DATE_CORRECTIONS
 ) -> DataFrame:
     """Typed samples with site code, urchin total, corrected collection date and a flag."""
-    site = recode(squish("location"), aliases)
     numbers = {c: F.col(c).try_cast("double") for c in URCHIN_COLUMNS}
-    cleaned = form.withColumns(
+    squished = form.withColumns(
         {
             **numbers,
-            "site": site,
             "collection_date_raw": F.to_date("collection_date"),
             "sorting_date": F.to_date("sorting_date"),
             "location": squish("location"),
@@ -67,14 +65,16 @@ def clean_counts(
             "notes": squish_to_null("notes"),
         }
     )
-    return (
-        cleaned.withColumn("total_urchins", row_sum(*URCHIN_COLUMNS))
-        .withColumn(
-            "collection_date", corrected_date(F.col("site"), F.col("collection_date_raw"), corrections)
-        )
-        .withColumn(
-            "collection_date_corrected", F.col("collection_date") != F.col("collection_date_raw")
-        )
+    # one step per column that others look at, so that each is worked out once per row
+    coded = squished.withColumn("site", recode("location", aliases))
+    dated = coded.withColumn(
+        "collection_date", corrected_date(F.col("site"), F.col("collection_date_raw"), corrections)
+    )
+    return dated.withColumns(
+        {
+            "total_urchins": row_sum(*URCHIN_COLUMNS),
+            "collection_date_corrected": F.col("collection_date") != F.col("collection_date_raw"),
+        }
     )
 
 
@@ -141,21 +141,19 @@ def site_rates(samples: DataFrame, effort: DataFrame) -> DataFrame:
 
 
 def _lookup(c, pairs: Sequence[tuple[str, str]]):
-    out = F.lit(None).cast("string")
-    for value, label in pairs:
-        out = F.when(c == value, F.lit(label)).otherwise(out)
-    return out
+    return labelled([(c == value, label) for value, label in pairs])
 
 
 def type_rates(
     samples: DataFrame, soak: DataFrame, substrates=SUBSTRATE_TO_MEDIA, patches=PATCH_PATTERNS
 ) -> DataFrame:
-    """Counts per day of soak by site, date and media type, labelled by patch and position."""
-    patch = F.lit(None).cast("string")
-    for pattern, label in reversed(patches):
-        patch = F.when(F.col("site").rlike(pattern), F.lit(label)).otherwise(patch)
+    """Counts per day of soak by site, date and media type, labelled by patch and position.
+
+    ``samples`` come from ``clean_counts``, with the substrate squished.
+    """
+    patch = labelled([(F.col("site").rlike(pattern), label) for pattern, label in patches])
     counts = (
-        samples.withColumn("sample_type", _lookup(F.lower(squish("substrate_type")), substrates))
+        samples.withColumn("sample_type", _lookup(F.lower("substrate_type"), substrates))
         .where(F.col("sample_type").isNotNull())
         .groupBy("site", "collection_date", "sample_type")
         .agg(sum0("total_urchins").alias("total_urchins"))

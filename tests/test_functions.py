@@ -74,16 +74,20 @@ def test_text_rules(spark):
         ident=t.location_id(F.lit("Barren Reef 2 DEEP")),
         typo=t.location_id(F.lit("Baren reef 10 shallow")),
         nothing=t.location_id(F.lit("Kelp Forest deep")),
-        code=t.recode(F.lit("KF1_deep"), {"KF1D": ["KF1_deep"]}),
-        other=t.recode(F.lit("Elsewhere"), {"KF1D": ["KF1_deep"]}),
     )
     assert got == {
         "nbsp": "a b c", "blank": None, "side": "12", "once": "REC_7 and REC12", "done": "REC_3",
         "pad": "REC_05", "long": "REC_123b", "same": "REC_3", "name": "Form_responses_1_-x",
-        "ident": "BR2_deep", "typo": "BR10_shallow", "nothing": None, "code": "KF1D", "other": "Elsewhere",
+        "ident": "BR2_deep", "typo": "BR10_shallow", "nothing": None,
     }
 
 
+def test_recode_and_classify(spark):
+    df = spark.createDataFrame([("KF1_deep",), ("Elsewhere",), (None,)], "s string")
+    coded = df.select(t.recode("s", {"KF1D": ["KF1_deep"], "X": ["x"]}).alias("c"), t.classify("s", [("^kf", "kelp")]).alias("k"))
+    assert [tuple(r) for r in coded.collect()] == [("KF1D", "kelp"), ("Elsewhere", None), (None, None)]
+
+
 def test_dates(spark):
     both = [*d.YEAR_FIRST, *d.MONTH_FIRST]
     got = one(
