@@ -72,19 +72,24 @@ def double_entry_diff(t):
     return de.quadrat_differences(_quadrats(t, "F"), _quadrats(t, "O"), year=1997)
 
 
-@query(
-    "missing_keys",
-    f"""WITH {_QUADRATS}
-       SELECT {_keys(de.QUADRAT_KEYS)}, 'second' AS missing_in FROM a
-       WHERE NOT EXISTS (SELECT 1 FROM b WHERE {_same(de.QUADRAT_KEYS)})
-       UNION ALL
-       SELECT {_keys(de.QUADRAT_KEYS).replace('a.', 'b.')}, 'first' FROM b
-       WHERE NOT EXISTS (SELECT 1 FROM a WHERE {_same(de.QUADRAT_KEYS)})""",
-)
+_MISSING = f"""WITH {_QUADRATS},
+  m AS (SELECT {_keys(de.QUADRAT_KEYS)}, 'second' AS missing_in FROM a
+        WHERE NOT EXISTS (SELECT 1 FROM b WHERE {_same(de.QUADRAT_KEYS)})
+        UNION ALL
+        SELECT {_keys(de.QUADRAT_KEYS).replace('a.', 'b.')}, 'first' FROM b
+        WHERE NOT EXISTS (SELECT 1 FROM a WHERE {_same(de.QUADRAT_KEYS)}))"""
+
+
+@query("missing_keys", f"{_MISSING} SELECT *, count(*) AS n_rows FROM m GROUP BY ALL")
 def missing(t):
     return de.quadrat_missing_keys(_quadrats(t, "F"), _quadrats(t, "O"), both=True)
 
 
+@query("missing_key_rows", f"{_MISSING} SELECT * EXCLUDE (missing_in) FROM m WHERE missing_in = 'second'")
+def missing_rows(t):
+    return de.quadrat_missing_keys(_quadrats(t, "F"), _quadrats(t, "O"), each_row=True)
+
+
 def _species_rows(t, status, types, **extra):
     raw = _lines(t).where(F.col("l_linestatus") == status).select(
         F.concat(F.lit("REC"), text_of("l_orderkey")).alias("site"),

@@ -61,24 +61,40 @@ def join_suffix(
 
 
 def missing_keys(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], both: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    both: bool = False,
+    each_row: bool = False,
 ) -> DataFrame:
-    """Keys of ``left`` rows that ``right`` does not have; with ``both``, the other way too.
-
-    The other side is reduced to its distinct keys first, so a key repeated without end costs
-    one row in the shuffle.
-    """
+    """Keys of ``left`` that ``right`` does not have, with their number of rows ``n_rows``.
 
-    def one_way(a: DataFrame, b: DataFrame) -> DataFrame:
-        known = b.select(*keys).distinct()
-        return join_suffix(a.select(*keys), known, keys, "left_anti")
+    With ``both``, the other way too; ``missing_in`` then tells the entry that lacks the key.
+    With ``each_row``, a key comes once per row instead of with a count.
 
+    Both sides are stacked and counted per key, which matches missing keys with each other, needs
+    one shuffle with map-side combining and no join, and costs a key one row however often it
+    occurs.
+    """
+    if each_row:
+        known = right.select(*keys).distinct()
+        one = join_suffix(left.select(*keys), known, keys, "left_anti")
+        if not both:
+            return one
+        other = missing_keys(right, left, keys, each_row=True)
+        return one.withColumn("missing_in", F.lit("second")).unionByName(
+            other.withColumn("missing_in", F.lit("first"))
+        )
+    stacked = left.select(*keys, F.lit(1).alias("__a"), F.lit(0).alias("__b")).unionByName(
+        right.select(*keys, F.lit(0).alias("__a"), F.lit(1).alias("__b"))
+    )
+    counts = stacked.groupBy(*keys).agg(F.sum("__a").alias("__a"), F.sum("__b").alias("__b"))
     if not both:
-        return one_way(left, right)
-    return (
-        one_way(left, right)
-        .withColumn("missing_in", F.lit("second"))
-        .unionByName(one_way(right, left).withColumn("missing_in", F.lit("first")))
+        return counts.where(F.col("__b") == 0).select(*keys, F.col("__a").alias("n_rows"))
+    return counts.where((F.col("__a") == 0) | (F.col("__b") == 0)).select(
+        *keys,
+        (F.col("__a") + F.col("__b")).alias("n_rows"),
+        F.when(F.col("__b") == 0, "second").otherwise("first").alias("missing_in"),
     )
 
 

@@ -138,8 +138,10 @@ def quadrat_differences(
     )
 
 
-def quadrat_missing_keys(first: DataFrame, second: DataFrame, both: bool = False) -> DataFrame:
-    return missing_keys(first, second, QUADRAT_KEYS, both)
+def quadrat_missing_keys(
+    first: DataFrame, second: DataFrame, both: bool = False, each_row: bool = False
+) -> DataFrame:
+    return missing_keys(first, second, QUADRAT_KEYS, both, each_row)
 
 
 def size_differences(

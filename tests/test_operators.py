@@ -48,8 +48,10 @@ def test_null_safe_join_is_a_nested_loop(spark, how):
 def test_missing_keys_keeps_repeats_and_both_sides(spark, rows):
     a = spark.createDataFrame([("x", None), ("x", None), ("y", 1), (None, 1)], "k string, j int")
     b = spark.createDataFrame([("y", 1), ("z", 2), (None, 1)], "k string, j int")
-    assert rows(missing_keys(a, b, ["k", "j"])) == [("x", None), ("x", None)]
-    assert rows(missing_keys(a, b, ["k", "j"], both=True)) == [
+    assert rows(missing_keys(a, b, ["k", "j"])) == [("x", None, 2)]
+    assert rows(missing_keys(a, b, ["k", "j"], both=True)) == [("x", None, 2, "second"), ("z", 2, 1, "first")]
+    assert rows(missing_keys(a, b, ["k", "j"], each_row=True)) == [("x", None), ("x", None)]
+    assert rows(missing_keys(a, b, ["k", "j"], both=True, each_row=True)) == [
         ("x", None, "second"), ("x", None, "second"), ("z", 2, "first"),
     ]
 

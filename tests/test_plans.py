@@ -52,7 +52,7 @@ def test_quadrat_differences(spark, rows):
         ("REC_12", None, "deep", day, 1.0, 3.0, None, "3 ≠ 4", 1, ""),
         ("REC_7", "FOR", "deep", day, 1.0, 12.0, "rock ≠ cobble", "3 ≠ 4.5", 1, ""),
     ]
-    assert rows(de.quadrat_missing_keys(first, second)) == [("REC_5", "BAR", "deep", None, 1.0, 4.0)]
+    assert rows(de.quadrat_missing_keys(first, second)) == [("REC_5", "BAR", "deep", None, 1.0, 4.0, 1)]
 
 
 def test_repeated_keys_compare_every_pair(spark):
