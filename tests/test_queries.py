@@ -39,7 +39,17 @@ def test_entry_runs(spark):
     assert entry(spark).count() > 0
 
 
-def test_box_is_pushed_to_the_scan(spark):
-    for name in ("grid_subset", "daily_regional_mean"):
-        plan = queries()[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
-        assert "GreaterThanOrEqual(l_quantity,10.0), LessThanOrEqual(l_quantity,40.0)" in plan
+def test_box_and_days_are_pushed_to_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        plans = {
+            name: queries()[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
+            for name in ("grid_subset", "daily_regional_mean")
+        }
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for plan in plans.values():
+        pushed = plan[plan.index("PushedFilters") : plan.index("ReadSchema")]
+        assert "GreaterThanOrEqual(l_quantity,10.0)" in pushed and "LessThanOrEqual(l_quantity,40.0)" in pushed
+    assert "l_shipdate,1996-03-01" in plans["grid_subset"]
+    assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double,l_discount:double,l_shipdate:timestamp_ntz>" in plans["daily_regional_mean"]

@@ -1,23 +1,24 @@
 """The row-wise form plans give the same rows on a stream as on a table."""
 
+import uuid
 from collections import Counter
 
 from test_plans import FORM, form
 
 from fieldspark.plans import effort as ef
-from fieldspark.session import checkpoint_root
 from fieldspark.streaming.form_stream import append_media_events, media_event_stream
 
 
 def test_stream_equals_batch(spark, tmp_path):
     landed, out = str(tmp_path / "landed"), str(tmp_path / "events")
-    checkpoints = f"{checkpoint_root(spark, str(tmp_path))}/{tmp_path.name}"
+    # the cluster's checkpoint folder outlives a test run, so the stream gets a name of its own
+    name = f"media-events-{uuid.uuid4().hex}"
     sheet = form(spark)
     schema = spark.createDataFrame([], FORM).schema
     for part in ("_row_id <= 4", "_row_id > 4"):
         sheet.where(part).write.mode("append").parquet(landed)
         stream = media_event_stream(spark, landed, schema)
-        query = append_media_events(stream, out, tmp_path.name + "-events", checkpoints if not spark.conf.get("spark.checkpoint.dir", None) else None)
+        query = append_media_events(stream, out, name, str(tmp_path))
         query.awaitTermination(120)
         assert query.exception() is None
     want = ef.media_events(ef.standardise_form(sheet))
