@@ -28,14 +28,23 @@ def grid_subset(
     first: date | None = None,
     last: date | None = None,
     fields: Sequence[str] | None = None,
+    year_column: str | None = None,
 ) -> DataFrame:
-    """Rows inside a closed box and between two days (both included), with chosen fields."""
+    """Rows inside a closed box and between two days (both included), with chosen fields.
+
+    ``year_column`` names the column a landed grid is partitioned by; the days then prune
+    partitions as well as row groups.
+    """
     for axis, (lo, hi) in box.items():
         df = df.where(F.col(axis).between(lo, hi))
     if first is not None:
         df = df.where(F.col(time) >= F.lit(first))
     if last is not None:
         df = df.where(F.col(time) < F.lit(last + timedelta(days=1)))
+    if year_column is not None and first is not None:
+        df = df.where(F.col(year_column) >= first.year)
+    if year_column is not None and last is not None:
+        df = df.where(F.col(year_column) <= last.year)
     return df if fields is None else df.select(*fields)
 
 

@@ -32,22 +32,37 @@ def daily_regional_mean(
     first: date | None = None,
     last: date | None = None,
     years: Sequence[int] = (),
+    year_column: str | None = None,
 ) -> DataFrame:
     """Mean of the grid cells in a box per day: date, year, doy, anom_mean.
 
     ``years`` lists years that must have data; the result fails when it runs if one has none.
+    ``year_column`` names the grid's partition column: later filters on ``year`` then prune
+    partitions.
     """
-    inside = grid_subset(grid, box, time, first, last, fields=[time, value])
-    daily = inside.groupBy(F.to_date(time).alias("date")).agg(F.avg(value).alias("anom_mean"))
-    daily = daily.select("date", F.year("date").alias("year"), F.dayofyear("date").alias("doy"), "anom_mean")
+    kept = [time, value, *([year_column] if year_column else [])]
+    inside = grid_subset(grid, box, time, first, last, kept, year_column)
+    keys = [F.to_date(time).alias("date")] + ([F.col(year_column).alias("year")] if year_column else [])
+    daily = inside.groupBy(*keys).agg(F.avg(value).alias("anom_mean")).select(
+        "date",
+        F.col("year").cast("int").alias("year") if year_column else F.year("date").alias("year"),
+        F.dayofyear("date").alias("doy"),
+        "anom_mean",
+    )
     return require_years(daily, "year", years) if years else daily
 
 
+def of_years(daily: DataFrame, years: Sequence[int]) -> DataFrame:
+    """Days of some years. The range of days they span is said as well: it reaches the scan."""
+    span = (F.col("date") >= F.lit(date(min(years), 1, 1))) & (
+        F.col("date") < F.lit(date(max(years) + 1, 1, 1))
+    )
+    return daily.where(F.col("year").isin(list(years)) & span)
+
+
 def climatology(daily: DataFrame, years: Sequence[int] = tuple(BASELINE_YEARS)) -> DataFrame:
     """Mean by day of year over the baseline years."""
-    return (
-        daily.where(F.col("year").isin(list(years))).groupBy("doy").agg(F.avg("anom_mean").alias("anom_mean"))
-    )
+    return of_years(daily, years).groupBy("doy").agg(F.avg("anom_mean").alias("anom_mean"))
 
 
 def climatology_excluding(daily: DataFrame, year: int = LAST_FULL_YEAR, doy_max: int = 360) -> DataFrame:
@@ -86,12 +101,13 @@ def aligned_series(
         year.isin(list(baseline)), F.struct(F.lit(None).cast("int").alias("year"), F.lit(mean_line).alias("line"))
     )
     lines = (
-        daily.select("doy", "anom_mean", F.explode(F.array(own, mean)).alias("to"))
+        of_years(daily, sorted({*shown, *baseline}))
+        .select("doy", "anom_mean", F.explode(F.array(own, mean)).alias("to"))
         .where(F.col("to").isNotNull())
         .groupBy(F.col("to.line").alias("line"), F.col("to.year").alias("year"), "doy")
         .agg(F.avg("anom_mean").alias("anom_mean"))
     )
-    last_doy = daily.where(year == continuation).agg(F.max("doy")).scalar()
+    last_doy = of_years(daily, [continuation]).agg(F.max("doy")).scalar()
     is_mean, is_next = F.col("line") == mean_line, F.col("line") == str(continuation)
     twice = F.when(is_mean, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     placed = lines.select("*", F.explode(twice).alias("mean_ext")).withColumn("__last", last_doy)

@@ -309,6 +309,7 @@ def test_zone_table_and_labels(spark, rows):
 
 # --- temperature --------------------------------------------------------------------------------
 def test_series(spark):
+    # the date is only looked at for its year
     days = [(date(y, 1, 1), y, doy, float(y + doy)) for y in (2010, 2014, 2020, 2022, 2024, 2025) for doy in (1, 149, 150, 365, 366)]
     days += [(date(2026, 1, 1), 2026, doy, 1.0) for doy in (1, 2)]
     daily = spark.createDataFrame(days, "date date, year int, doy int, anom_mean double")
@@ -322,6 +323,24 @@ def test_series(spark):
     assert value == sum(y + 150 for y in (2010, 2014, 2020, 2022, 2024)) / 5
 
 
+def test_partitioned_grid_is_pruned_by_year(spark, tmp_path, rows):
+    from fieldspark.sources.sinks import write_grid
+
+    days = [datetime(y, m, 1, 12) for y in range(2009, 2027) for m in (1, 6)]
+    grid = spark.createDataFrame([(d, 33.0, -120.0, float(d.year)) for d in days],
+                                 "time timestamp_ntz, latitude double, longitude double, anom double")
+    write_grid(grid, str(tmp_path / "g"))
+    landed = spark.read.parquet(str(tmp_path / "g"))
+    daily = sst.daily_regional_mean(landed, year_column="year")
+    assert rows(daily) == rows(sst.daily_regional_mean(grid))
+    baseline = sst.climatology(daily)
+    assert rows(baseline) == rows(sst.climatology(sst.daily_regional_mean(grid)))
+    plan = baseline._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [cast(year" in plan or "PartitionFilters: [year" in plan
+    part = sst.daily_regional_mean(landed, first=date(2012, 1, 1), last=date(2013, 3, 1), year_column="year")
+    assert [r[1] for r in rows(part)] == [2012, 2012, 2013]
+
+
 def test_daily_mean_and_fine_grid(spark, rows):
     noon = datetime(2025, 3, 1, 12)
     grid = spark.createDataFrame([(noon, 33.0, -120.0, 1.0), (noon, 34.0, -120.0, None), (noon, 42.1, -114.0, 3.0), (noon, 43.0, -120.0, 99.0)],
