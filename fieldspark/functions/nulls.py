@@ -49,9 +49,9 @@ def num_text(c: Column | str) -> Column:
     """A number as people write it: ``3`` rather than ``3.0``, no exponent for large values."""
     c = as_column(c).cast("double")
     size = F.abs(c)
-    plain = F.regexp_replace(c.cast("decimal(38,12)").cast("string"), r"\.?0+$", "")
+    plain = F.regexp_replace(c.try_cast("decimal(38,12)").cast("string"), r"\.?0+$", "")
     return (
-        F.when((c == F.floor(c)) & (size < 1e15), c.cast("bigint").cast("string"))
+        F.when((c == F.floor(c)) & (size < 1e15), c.try_cast("bigint").cast("string"))
         .when(size.between(1e-3, 1e7), c.cast("string"))
         .otherwise(F.when(size < 1e24, plain).otherwise(c.cast("string")))
     )
