@@ -16,14 +16,9 @@ FIXED_POINT = 1 << 40
 SIZES_PER_CELL = 16
 
 
-def hashed_uniform(keys: Sequence[str], seed: int) -> Callable[[Column], Column]:
-    """A number in [0, 1) from key values, draw number and seed; the same on every run."""
-
-    def draw(i: Column) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64(*[F.col(k) for k in keys], i, F.lit(seed)), 11)
-        return bits / F.lit(float(1 << 53))
-
-    return draw
+def hashed_uniform(group: Column, i: Column) -> Column:
+    """A number in [0, 1) from a group's hash and a draw number; the same on every run."""
+    return F.shiftrightunsigned(F.xxhash64(group, i), 11) / F.lit(float(1 << 53))
 
 
 def _share_units(dist: DataFrame, prob: str) -> DataFrame:
@@ -46,7 +41,9 @@ def weighted_sample(
     """Draw ``n`` sizes per group (half-even rounded) from the group's size distribution.
 
     ``distribution`` has keys, size and prob; groups it lacks use ``fallback`` (size, prob).
-    Returns keys, ``draw`` (1..n) and size, one row per individual.
+    Returns keys, ``draw`` (1..n) and size, one row per individual. ``uniform`` gives the random
+    number of a draw from its number and the key columns; by default it is a hash of both and of
+    ``seed``.
 
     Draws are made in chunks spread over all tasks, so one large group is many tasks' work. A
     draw finds its size by an equi-join on a hash of group and cell of the cumulative range, with
@@ -54,7 +51,7 @@ def weighted_sample(
     a cell per few sizes, so no distribution is held whole by a row or task.
     """
     keys = list(keys)
-    uniform = uniform or hashed_uniform(keys, seed)
+    at_random = uniform or (lambda i: hashed_uniform(F.col("__seed"), i))
 
     own_units = _share_units(distribution, prob).select(*keys, size, "__units")
     ranges = running_total(own_units, keys, size, "__units").withColumn("__own", F.lit(True))
@@ -80,27 +77,32 @@ def weighted_sample(
             }
         )
 
-    def cell(at: Column, total: str, rows: str) -> Column:
-        cells = F.ceil(F.col(rows) / SIZES_PER_CELL)
-        return F.floor(at * cells / F.col(total)).cast("int")
+    # what depends on the group alone is worked out before the draws multiply its row
+    def cells(rows: str) -> Column:
+        return F.ceil(F.col(rows) / SIZES_PER_CELL)
+
+    def group_hash(*values: Column) -> Column:
+        return F.xxhash64(*values, F.col("__own"))
 
-    def place(group: Sequence[Column]) -> Column:
-        return F.xxhash64(*group, F.col("__own"), F.col("__cell"))
+    def cell(at: Column, total: str) -> Column:
+        return F.floor(at * F.col("__cells") / F.col(total)).cast("int")
 
     listed = (
         ranges.withColumn("__end", F.col("weight_before") + F.col("__units"))
+        .withColumn("__cells", cells("rows_total"))
+        .withColumn("__group", group_hash(*[F.col(k) for k in keys]))
         .withColumn(
             "__cell",
             F.explode(
                 F.sequence(
-                    cell(F.col("weight_before"), "weight_total", "rows_total"),
-                    cell(F.col("__end") - 1, "weight_total", "rows_total"),
+                    cell(F.col("weight_before"), "weight_total"),
+                    cell(F.col("__end") - 1, "weight_total"),
                 )
             ),
         )
         .select(
-            *[F.col(k) for k in keys], "__own", size, "weight_before", "__end",
-            place([F.col(k) for k in keys]).alias("__place"),
+            *keys, "__own", size, "weight_before", "__end",
+            F.xxhash64("__group", "__cell").alias("__place"),
         )
     )
 
@@ -108,23 +110,23 @@ def weighted_sample(
     tasks = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     draws = (
         wanted.where((F.col("__n") >= 1) & F.col("__total").isNotNull())
+        .withColumn("__cells", cells("__rows"))
+        .withColumn("__group", group_hash(*[F.when(F.col("__own"), F.col(k)) for k in keys]))
+        .withColumn("__seed", F.xxhash64(*keys, F.lit(seed)))
         .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)).alias("__chunk"))
         # a fixed count, or adaptive execution would merge these few but fertile rows into one task
         .repartition(tasks, *keys, "__chunk")
         .select(
-            *keys, "__own", "__total", "__rows",
+            *keys, "__own", "__total", "__cells", "__group", "__seed",
             F.explode(
                 F.sequence(
                     F.col("__chunk") * chunk + 1, F.least(F.col("__n"), (F.col("__chunk") + 1) * chunk)
                 )
             ).alias("draw"),
         )
-        .withColumn("__at", F.floor(uniform(F.col("draw")) * F.col("__total")))
-        .withColumn("__cell", cell(F.col("__at"), "__total", "__rows"))
-        .select(
-            *keys, "__own", "draw", "__at",
-            place([F.when(F.col("__own"), F.col(k)) for k in keys]).alias("__place"),
-        )
+        .withColumn("__at", F.floor(at_random(F.col("draw")) * F.col("__total")))
+        .withColumn("__cell", cell(F.col("__at"), "__total"))
+        .select(*keys, "__own", "draw", "__at", F.xxhash64("__group", "__cell").alias("__place"))
     )
 
     on = (
