@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldspark.fixed_values import SNAPSHOT_RETENTION_DAYS
@@ -45,5 +45,5 @@ def expired(
     return listing.where(age > days)
 
 
-def parse_stamp(c) -> "F.Column":
+def parse_stamp(c: Column) -> Column:
     return F.try_to_timestamp(c, F.lit("yyyyMMdd_HHmmss"))
