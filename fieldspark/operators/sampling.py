@@ -42,8 +42,8 @@ def weighted_sample(
 
     ``distribution`` has keys, size and prob; groups it lacks use ``fallback`` (size, prob).
     Returns keys, ``draw`` (1..n) and size, one row per individual. ``uniform`` gives the random
-    number of a draw from its number and the key columns; by default it is a hash of both and of
-    ``seed``.
+    number of a draw from its number and the key columns (missing counts as 0); by default it is a
+    hash of both and of ``seed``.
 
     Draws are made in chunks spread over all tasks, so one large group is many tasks' work. A
     draw finds its size by an equi-join on a hash of group and cell of the cumulative range, with
@@ -124,7 +124,8 @@ def weighted_sample(
                 )
             ).alias("draw"),
         )
-        .withColumn("__at", F.floor(at_random(F.col("draw")) * F.col("__total")))
+        # never missing, or the join would add a filter that works the number out a second time
+        .withColumn("__at", F.coalesce(F.floor(at_random(F.col("draw")) * F.col("__total")), F.lit(0)))
         .withColumn("__cell", cell(F.col("__at"), "__total"))
         .select(*keys, "__own", "draw", "__at", F.xxhash64("__group", "__cell").alias("__place"))
     )
