@@ -7,7 +7,8 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from entry_queries import QUERIES, SQL  # noqa: E402
 from check import compare, connect  # noqa: E402
 
 DIRECTORY = "/root/testdata/sf0.001"
@@ -19,20 +20,20 @@ def con():
     return connect(DIRECTORY)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     ok, note, _ = compare(spark, con, DIRECTORY, name)
     assert ok, note
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - {"exp_fit"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"exp_fit"}))
 def test_plan_has_no_cross_join_and_no_python(spark, name):
-    plan = queries()[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
     assert not [p for p in UNWANTED if p in plan]
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry_runs(spark):
@@ -43,7 +44,7 @@ def test_box_and_days_are_pushed_to_the_scan(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     try:
         plans = {
-            name: queries()[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
+            name: QUERIES[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
             for name in ("grid_subset", "daily_regional_mean")
         }
     finally:
