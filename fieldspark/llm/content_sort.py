@@ -45,6 +45,8 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text: Column | None
     groups = rows.groupBy("run").agg(
         F.count("*").alias("group_size"), F.max(F.when(F.col("kept"), F.col("__id"))).alias("keep_id")
     )
+    # from a table of its own the join reads plain shuffles, which Spark splits where one run has many rows
+    groups = landed(groups, folder, "groups")
     return rows.join(groups, "run").select(
         F.col("__id").alias(id_column), "keep_id", "group_size", "kept", F.col("__sha").alias("text_sha256")
     )
