@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import content_sort
+from fieldspark.llm import content_sort, token_counts
+from fieldspark.llm.common import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -38,3 +39,9 @@ def documents(spark: SparkSession, directory: str) -> DataFrame:
 )
 def op10(spark: SparkSession, directory: str) -> DataFrame:
     return content_sort.exact_groups(documents(spark, directory))
+
+
+@_query("op6_token_counts")
+def op6(spark: SparkSession, directory: str) -> DataFrame:
+    cache = workspace(spark, "token_cache")
+    return token_counts.count_tokens(documents(spark, directory), public_tokenizers.path("byte_bpe_50k.json"), cache)
