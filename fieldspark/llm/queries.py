@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import content_sort, token_counts
+from fieldspark.llm import best_fit, content_sort, token_counts, token_output
 from fieldspark.llm.common import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,18 @@ def op10(spark: SparkSession, directory: str) -> DataFrame:
 def op6(spark: SparkSession, directory: str) -> DataFrame:
     cache = workspace(spark, "token_cache")
     return token_counts.count_tokens(documents(spark, directory), public_tokenizers.path("byte_bpe_50k.json"), cache)
+
+
+@_query("op3_best_fit")
+def op3(spark: SparkSession, directory: str) -> DataFrame:
+    return best_fit.pack_documents(documents(spark, directory), public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
+@_query("op7_token_output")
+def op7(spark: SparkSession, directory: str) -> DataFrame:
+    """Packed matrices; the ids are shown by their CRC-32 and the rows by their document pieces."""
+    rows = token_output.packed_rows(documents(spark, directory), public_tokenizers.path("byte_bpe_50k.json"), 2048, end_id=50256)
+    return rows.select(
+        "sequence_id", "n_tokens", F.crc32("input_ids").alias("ids_crc32"), F.crc32("position_ids").alias("positions_crc32"),
+        "cu_seqlens", "doc_ids", "pieces", "starts",
+    )
