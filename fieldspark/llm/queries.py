@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import best_fit, content_sort, token_counts, token_output
+from fieldspark.llm import best_fit, content_sort, decontaminate, token_counts, token_output
 from fieldspark.llm.common import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,9 @@ def op7(spark: SparkSession, directory: str) -> DataFrame:
         "sequence_id", "n_tokens", F.crc32("input_ids").alias("ids_crc32"), F.crc32("position_ids").alias("positions_crc32"),
         "cu_seqlens", "doc_ids", "pieces", "starts",
     )
+
+
+@_query("op9_positional_index")
+def op9(spark: SparkSession, directory: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{directory}/benchmark.parquet")
+    return decontaminate.contamination(decontaminate.benchmark_matches(documents(spark, directory), benchmark))
