@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import best_fit, content_sort, decontaminate, token_counts, token_output
+from fieldspark.llm import best_fit, content_sort, decontaminate, language, token_counts, token_output
 from fieldspark.llm.common import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,19 @@ def op7(spark: SparkSession, directory: str) -> DataFrame:
 def op9(spark: SparkSession, directory: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{directory}/benchmark.parquet")
     return decontaminate.contamination(decontaminate.benchmark_matches(documents(spark, directory), benchmark))
+
+
+def held_out():
+    """True for the documents whose labels are never learned from."""
+    return F.pmod(F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)), F.lit(3)) == 1
+
+
+def language_model(docs: DataFrame) -> bytes:
+    return language.fit(docs.where(~held_out()))
+
+
+@_query("op4_context_trees")
+def op4(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory)
+    named = language.identify(docs.select("doc_id", "text"), language_model(docs))
+    return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
