@@ -44,7 +44,7 @@ def count_tokens(
     digests = landed(rows.select("__id", "digest", F.octet_length("__text").cast("long").alias("n_bytes")), folder, "digests")
     known = read_cache(spark, cache_path).where(F.col("version") == version)
     # one row stands for all with its text; the identifier in the key spreads the copies of one text
-    chosen = digests.join(known, "digest", "left_anti").groupBy("digest").agg(F.min("__id").alias("__chosen"))
+    chosen = digests.groupBy("digest").agg(F.min("__id").alias("__chosen")).join(known, "digest", "left_anti")
     misses = rows.join(
         chosen.withColumnRenamed("digest", "__digest").hint("shuffle_hash"),
         (F.col("digest") == F.col("__digest")) & F.col("__id").eqNullSafe(F.col("__chosen")),
