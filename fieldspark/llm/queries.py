@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import best_fit, content_sort, decontaminate, language, token_counts, token_output
+from fieldspark.llm import best_fit, content_sort, decontaminate, language, metric_join, token_counts, token_output
 from fieldspark.llm.common import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,8 @@ def op4(spark: SparkSession, directory: str) -> DataFrame:
     docs = documents(spark, directory)
     named = language.identify(docs.select("doc_id", "text"), language_model(docs))
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@_query("op5_metric_join")
+def op5(spark: SparkSession, directory: str) -> DataFrame:
+    return metric_join.jaccard_components(documents(spark, directory), width=3, percent=90)
