@@ -223,3 +223,10 @@ def contamination(matches: DataFrame) -> DataFrame:
         "doc_id", "n_words", covered_words().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), F.size("near").cast("long").alias("n_near_items"),
     ).withColumn("contaminated", F.col("n_hit") > 0)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
+    """The rows of ``docs`` in which no window of the benchmark stands. Rows equal in id and text share their fate."""
+    key = F.xxhash64("doc_id", "text")
+    hit = benchmark_matches(docs.select(key.alias("doc_id"), "text"), benchmark, width).where(F.size("spans") > 0)
+    return docs.withColumn("__key", key).join(hit.select(F.col("doc_id").alias("__key")).distinct(), "__key", "left_anti").select(*docs.columns)
