@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import best_fit, content_sort, decontaminate, language, metric_join, token_counts, token_output
+from fieldspark.llm import best_fit, chunk_dedup, content_sort, decontaminate, language, metric_join, sharding, token_counts, token_output
 from fieldspark.llm.common import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,17 @@ def op4(spark: SparkSession, directory: str) -> DataFrame:
 @_query("op5_metric_join")
 def op5(spark: SparkSession, directory: str) -> DataFrame:
     return metric_join.jaccard_components(documents(spark, directory), width=3, percent=90)
+
+
+@_query("op1_chunk_dedup")
+def op1(spark: SparkSession, directory: str) -> DataFrame:
+    return chunk_dedup.chunk_repeats(documents(spark, directory))
+
+
+#: Shards of the registered query.
+SHARDS = [f"shard-{i:03d}" for i in range(256)]
+
+
+@_query("op2_lookup_table")
+def op2(spark: SparkSession, directory: str) -> DataFrame:
+    return sharding.assign_shards(documents(spark, directory).select("doc_id"), SHARDS)
