@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -141,3 +142,9 @@ def crossing(numbered: DataFrame, keys: list[str]) -> DataFrame:
 def partitions_for(spark: SparkSession, least: int = 1) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), least)
 
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps now, not when the driver happens to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import best_fit, chunk_dedup, content_sort, decontaminate, language, metric_join, sharding, token_counts, token_output
+from fieldspark.llm import best_fit, chunk_dedup, content_sort, decontaminate, language, metric_join, sharding, suffixes, token_counts, token_output
 from fieldspark.llm.common import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ SHARDS = [f"shard-{i:03d}" for i in range(256)]
 @_query("op2_lookup_table")
 def op2(spark: SparkSession, directory: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, directory).select("doc_id"), SHARDS)
+
+
+@_query("op8_suffix_sort")
+def op8(spark: SparkSession, directory: str) -> DataFrame:
+    return suffixes.substring_dedup(documents(spark, directory)).drop("removed")
