@@ -24,6 +24,10 @@ from fieldspark.llm.hashing import mix, salt, shingle_sets
 
 #: Shingles in a block of a large cluster: many small blocks while they are few, larger ones beyond.
 BLOCK_SHINGLES, MOST_BLOCK_SHINGLES, FEW_BLOCKS = 1 << 15, 1 << 20, 16
+#: Sets in a region of which each pair is counted.
+SMALL_REGION = 16
+#: Low bits of a region's key that name its size class.
+CLASS_BITS = 6
 #: Sets compared one by one, and pivots at each level.
 LEAF, PIVOTS = 16, 8
 _FAMILIES = 3
@@ -43,7 +47,7 @@ class Slicing:
                 high += 1
             most = self._differences(high - 1)
             self.lows.append(low)
-            self.rows.append((high, self._partner(high - 1), most, most + 1 + (2 + most // 8 if most else 0)))
+            self.rows.append((high, self._partner(high - 1), most, most + 1 + (2 + most // 4 if most else 0)))
 
     def _partner(self, n: int) -> int:
         return n * 100 // self.percent
@@ -61,46 +65,54 @@ class Slicing:
                 break
             yield i, most, count
 
-    def keys(self, shingles: np.ndarray) -> np.ndarray:
-        """Regions of a set: one for each slice with shingles in each class.
+    def keys(self, shingles: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """Regions of a set: one for each slice with shingles in each class; and by class how many it surely shares with a similar set.
 
         If fewer slices hold shingles than can differ, an equal slice may be an empty one. Such a set is cut again by
         another rule, and after the last its empty slices count as well: of two similar sets one would have
         shown the pair already, or both do this.
         """
-        out = []
+        out, shared = [], []
         for number, most, count in self.of(len(shingles)):
+            named = np.uint64(number % (1 << CLASS_BITS))
             for family in range(_FAMILIES):
                 tag = salt(number * _FAMILIES + family)
                 at = ((mix(shingles + tag) >> np.uint64(33)) % np.uint64(count)).astype(np.int64)
                 order = np.argsort(at, kind="stable")
                 filled, first = np.unique(at[order], return_index=True)
                 sums = np.add.reduceat(mix(shingles ^ tag)[order], first)
-                out.append(mix(sums + salt(-3) * filled.astype(np.uint64) + tag))
+                out.append(_named(mix(sums + salt(-3) * filled.astype(np.uint64) + tag), named))
                 if len(filled) > most:
+                    shared.append((int(named), len(filled) - most if family == 0 else 0))
                     break
                 if family == _FAMILIES - 1:
                     empty = np.setdiff1d(np.arange(count), filled).astype(np.uint64)
-                    out.append(mix(salt(-2) * empty + tag))
-        return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+                    out.append(_named(mix(salt(-2) * empty + tag), named))
+                    shared.append((int(named), 0))
+        return (np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)), shared
+
+
+def _named(keys: np.ndarray, number: np.uint64) -> np.ndarray:
+    return keys >> np.uint64(CLASS_BITS) << np.uint64(CLASS_BITS) | number
 
 
 def shingle_table(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Rows ``doc_id, n_shingles, d1, d2, keys``: size and digest of each text's shingle set, and its regions."""
+    """Rows ``doc_id, n_shingles, d1, d2, keys, shared``: size and digest of each text's shingle set, and what ``Slicing.keys`` gives."""
     slicing = Slicing(percent)
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = shingle_sets(*text_bytes(batch.column("text")), width)
-            keys = [slicing.keys(s) if len(s) else np.zeros(0, np.int64) for s in sets]
+            keys, shared = zip(*[slicing.keys(s) if len(s) else (np.zeros(0, np.int64), []) for s in sets])
             digests = [np.array([mix(s ^ salt(i)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64) for i in (5, 6)]
             bounds = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(keys)))
             columns = [batch.column("doc_id"), pa.array(np.array([len(s) for s in sets], np.int64)), *map(pa.array, digests), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "d1", "d2", "keys"])
+            columns.append(pa.array([[{"class": c, "n": n} for c, n in x] for x in shared], pa.list_(pa.struct([("class", pa.int32()), ("n", pa.int32())]))))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "d1", "d2", "keys", "shared"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(shingle, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>")
+    return rows.mapInArrow(shingle, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, shared array<struct<class:int,n:int>>")
 
 
 def region_edges(rows: DataFrame, folder: str, name: str) -> DataFrame:
@@ -143,8 +155,60 @@ def _ties(a, b, key) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), key], ["a", "b", "key"])
 
 
+def region_pairs(rows: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` of nodes that share a small region, a row for each; and the rows ``key, node`` of all larger ones.
+
+    A region at the border of a sorted batch or range counts as larger, in all its parts.
+    """
+    n = partitions_for(rows.sparkSession)
+    ordered = rows.repartitionByRange(n, "key", "node").sortWithinPartitions("key", "node")
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            keys, nodes = batch.column("key").to_numpy(), batch.column("node").to_numpy()
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            sizes = np.diff(np.append(first, len(keys)))
+            large = sizes > SMALL_REGION
+            large[[0, -1]] = True
+            large = np.repeat(large, sizes)
+            a, b = [], []
+            for apart in range(1, SMALL_REGION):
+                same = (keys[apart:] == keys[:-apart]) & ~large[apart:] & (nodes[apart:] != nodes[:-apart])
+                a.append(nodes[:-apart][same])
+                b.append(nodes[apart:][same])
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield _ties(a, b, pa.nulls(len(a), pa.int64()))
+            yield _ties(nodes[large], nodes[large], pa.array(keys[large]))
+
+    found = landed(ordered.mapInArrow(pair, "a long, b long, key long"), folder, "pairs")
+    return found.where("key is null").select("a", "b"), found.where("key is not null").select("key", F.col("a").alias("node"))
+
+
+def candidate_edges(rows: DataFrame, folder: str) -> DataFrame:
+    """Edges that join whatever can be similar, from rows ``node, keys, shared``.
+
+    A similar set shares at least the number of regions that ``shared`` tells. Leaving aside its large regions, a set
+    needs a pair to share the rest of that number of small ones; if no such number is left, the set
+    is looked for in its large regions too. Of two similar sets the one with a number left over shows the pair, or both are there.
+    """
+    pairs, large = region_pairs(rows.select(F.explode("keys").alias("key"), "node"), folder)
+    named = large.withColumn("class", F.col("key").bitwiseAND((1 << CLASS_BITS) - 1).cast("int"))
+    lost = named.groupBy("node", "class").agg(F.count("*").alias("lost"))
+    needs = rows.select("node", F.explode("shared").alias("s")).select("node", "s.class", "s.n").groupBy("node", "class").agg(F.min("n").alias("n"))
+    needs = landed(needs.join(lost, ["node", "class"], "left").select("node", "class", (F.col("n") - F.coalesce("lost", F.lit(0))).alias("need")), folder, "needs")
+    least = landed(needs.groupBy("node").agg(F.min("need").alias("need")), folder, "least")
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+    counted = counted.join(least.select(F.col("node").alias("a"), F.col("need").alias("need_a")), "a")
+    counted = counted.join(least.select(F.col("node").alias("b"), F.col("need").alias("need_b")), "b")
+    enough = counted.where("n >= need_a and n >= need_b").select("a", "b")
+    deep = named.join(needs.where("need <= 0"), ["node", "class"], "left_semi").select("key", "node")
+    return enough.union(region_edges(deep, folder, "ties"))
+
+
 class MetricRegion:
-    """Exact join of some sets: ``root`` holds for each the first set that links lead to.
+    """Exact join of some sets: ``label`` holds for each the first set that links lead to.
 
     ``side`` marks the sets of two blocks, of which only pairs across are looked for.
     """
@@ -152,21 +216,18 @@ class MetricRegion:
     def __init__(self, sets: list[np.ndarray], percent: int, side: np.ndarray | None = None):
         self.sets, self.percent, self.side = sets, percent, side
         self.sizes = np.array([len(s) for s in sets], np.int64)
-        self.root = np.arange(len(sets))
+        self.label = np.arange(len(sets))
         self.most = 1 - percent / 100 + 1e-9
         self.mark = np.zeros(max((int(s[-1]) for s in sets if len(s)), default=0) + 1, bool)
         self._join(np.arange(len(sets)))
 
     def find(self, i: int) -> int:
-        while self.root[i] != i:
-            self.root[i] = self.root[self.root[i]]
-            i = self.root[i]
-        return i
+        return int(self.label[i])
 
     def _unite(self, i: int, others: np.ndarray) -> None:
-        for j in others.tolist():
-            a, b = self.find(i), self.find(j)
-            self.root[max(a, b)] = min(a, b)
+        labels = np.unique(np.append(self.label[others], self.label[i]))
+        if len(labels) > 1:
+            self.label[np.isin(self.label, labels)] = labels[0]
 
     def _common(self, i: int, others: np.ndarray) -> np.ndarray:
         self.mark[self.sets[i]] = True
@@ -211,9 +272,7 @@ class MetricRegion:
             if away is not None:
                 open_ &= (np.abs(away[at + 1 :] - away[at]) <= self.most).all(axis=1)
             rest = rest[open_]
-            if len(rest):
-                a = self.find(i)
-                rest = rest[[self.find(j) != a for j in rest.tolist()]]
+            rest = rest[self.label[rest] != self.label[i]]
             if len(rest):
                 self._compare(i, rest)
 
@@ -274,7 +333,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     # equal sets: the smallest id stands for all
     equal = landed(full.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("node")), folder, "equal")
     rows = full.join(equal.select("d1", "d2", "n_shingles", F.col("node").alias("doc_id")), ["doc_id", "d1", "d2", "n_shingles"], "left_semi")
-    edges = region_edges(rows.select(F.explode("keys").alias("key"), F.col("doc_id").alias("node")), folder, "ties")
+    edges = candidate_edges(rows.select(F.col("doc_id").alias("node"), "keys", "shared"), folder)
     clusters = landed(connected_components(edges, f"{folder}/clusters").withColumnRenamed("component", "cluster"), folder, "members")
     # a cluster is one region, or all pairs of blocks if it is large
     weighed = clusters.join(equal.groupBy("node").agg(F.sum("n_shingles").alias("n")), "node")
@@ -294,7 +353,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     found = once.union(again).groupBy("node").agg(F.min("component").alias("component"))
     named = equal.join(found, "node", "left").select("d1", "d2", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     named = landed(named, folder, "named")
-    linked = full.drop("keys").join(named, ["d1", "d2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
+    linked = full.drop("keys", "shared").join(named, ["d1", "d2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
     alone = sets.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.union(alone)
 
