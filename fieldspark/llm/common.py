@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,18 @@ from fieldspark.session import checkpoint_root
 SLICE_BYTES = 4 << 20
 
 
+_held: dict = {}
+
+
+def held(key: object, build: Callable[[], object]):
+    """A large object that a Python worker keeps between tasks: the latest one only, as workers outlive a step."""
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        _held[key] = build()
+    return _held[key]
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's ``spark.checkpoint.dir``; a local one only where that is unset on one machine."""
     fallback = None

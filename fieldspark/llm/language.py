@@ -9,14 +9,13 @@ byte after every context is worked out once and whole texts are scored by table
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import slices, text_bytes
+from fieldspark.llm.common import held, slices, text_bytes
 
 #: Longest context in bytes.
 ORDER = 3
@@ -91,7 +90,7 @@ class ContextTrees:
             table[where, self.symbols[after[of]], lang[of]] = n[of]
             symbols = np.array([[self.symbols[c >> 8 * (k - 1 - i) & 255] for i in range(k)] for c in contexts.tolist()], np.int64).reshape(len(contexts), k)
             # the shorter context without the oldest byte; every end of a seen context is seen
-            shorter = rows[-1][np.array([parents[tuple(s[1:])] for s in symbols.tolist()])] if k else base[None]
+            shorter = rows[-1][np.array([parents[tuple(s[1:])] for s in symbols.tolist()], np.int64)] if k else base[None]
             rows.append(_bits(table, shorter))
             parents = {tuple(s): i for i, s in enumerate(symbols.tolist())}
             self._place(symbols, count, k)
@@ -138,9 +137,12 @@ def _bits(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     return np.where(total == 0, shorter, np.where(counts > 0, direct, escape + shorter))
 
 
-@lru_cache(maxsize=1)
 def _trees(model: bytes) -> ContextTrees:
     """A worker builds the table once from the counts it was sent."""
+    return held(("trees", model), lambda: _build(model))
+
+
+def _build(model: bytes) -> ContextTrees:
     with pa.ipc.open_stream(model) as reader:
         table = reader.read_all()
     langs = sorted(set(table.column("lang").to_pylist()))

@@ -13,13 +13,14 @@ import json
 import os
 import re
 from array import array
-from functools import cache
 from itertools import chain, islice
 
 import numpy as np
 
+from fieldspark.llm.common import held
+
 #: Pieces and plain words that one Python worker remembers, and the longest of them.
-MOST_PIECES, LONGEST_PIECE = 500_000, 64
+MOST_PIECES, LONGEST_PIECE = 300_000, 64
 #: A space that surely ends a token of byte-level BPE: one between two other characters.
 LONE_SPACE, NOT_LONE = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s | \s")
 #: Marks after a word that both kinds of tokenizer take as a token of their own run.
@@ -146,10 +147,9 @@ def _packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
-@cache
 def tokenizer(path: str) -> PieceTokenizer:
     """One tokenizer for each worker process."""
-    return PieceTokenizer(path)
+    return held(("tokenizer", path), lambda: PieceTokenizer(path))
 
 
 def version(path: str) -> str:
