@@ -58,7 +58,8 @@ def count_tokens(
             counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts)], ["digest", "n_tokens"])
 
-    counted = misses.select("digest", "__text").mapInArrow(encode, schema)
+    # rows equal in text and identifier are encoded each, but stored once
+    counted = misses.select("digest", "__text").mapInArrow(encode, schema).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     counted.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache_path)
     known = read_cache(spark, cache_path).where(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     known = landed(known, folder, "known")
