@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from fieldspark.session import checkpoint_root
 
 #: Text bytes that a Python worker handles at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 _held: dict = {}
@@ -28,6 +28,7 @@ def held(key: object, build: Callable[[], object]):
     if key not in _held:
         _held.clear()
         gc.collect()
+        pa.default_memory_pool().release_unused()
         _held[key] = build()
     return _held[key]
 

@@ -22,6 +22,9 @@ from fieldspark.llm.common import landed, slices, workspace
 #: Words of benchmark items that are looked up in one pass, which bounds what each task is sent.
 BLOCK_WORDS = 500_000
 
+#: Text bytes of a segment: a look-up visits each segment once, so they are large.
+SEGMENT_BYTES = 4 << 20
+
 INDEX_SCHEMA = "segment long, doc_ids array<long>, starts array<int>, terms array<int>, bounds array<int>, positions array<int>"
 MATCH_SCHEMA = (
     "segment long, ordinal int, doc_id long, n_words long, spans array<struct<start:int,stop:int>>, items array<string>, near array<string>"
@@ -57,7 +60,7 @@ def build_index(docs: DataFrame, terms: dict[bytes, int]) -> DataFrame:
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count = 0, 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SEGMENT_BYTES):
             part = int(batch.column("__part")[0].as_py()) << 32
             ids, starts, at = [], [], 0
             for text in batch.column("text").to_pylist():

@@ -20,7 +20,7 @@ import numpy as np
 from fieldspark.llm.common import held
 
 #: Pieces and plain words that one Python worker remembers, and the longest of them.
-MOST_PIECES, LONGEST_PIECE = 300_000, 64
+MOST_PIECES, LONGEST_PIECE = 200_000, 64
 #: A space that surely ends a token of byte-level BPE: one between two other characters.
 LONE_SPACE, NOT_LONE = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s | \s")
 #: Marks after a word that both kinds of tokenizer take as a token of their own run.
