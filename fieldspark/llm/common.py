@@ -157,6 +157,12 @@ def partitions_for(spark: SparkSession, least: int = 1) -> int:
 
 
 
+def discard(spark: SparkSession, folder: str, name: str) -> None:
+    """Remove a table that ``landed`` wrote, once all that is read from it has been landed itself."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def tidy(spark: SparkSession) -> None:
     """Let go of the shuffle files of finished steps now, not when the driver happens to collect its garbage."""
     gc.collect()

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import landed, partitions_for, slices, text_bytes, workspace
+from fieldspark.llm.common import discard, landed, partitions_for, slices, text_bytes, tidy, workspace
 from fieldspark.llm.components import connected_components
 from fieldspark.llm.hashing import mix, salt, shingle_sets
 
@@ -183,6 +183,7 @@ def region_pairs(rows: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
             yield _ties(nodes[large], nodes[large], pa.array(keys[large]))
 
     found = landed(ordered.mapInArrow(pair, "a long, b long, key long"), folder, "pairs")
+    tidy(rows.sparkSession)
     return found.where("key is null").select("a", "b"), found.where("key is not null").select("key", F.col("a").alias("node"))
 
 
@@ -328,12 +329,16 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     """
     spark = docs.sparkSession
     folder, n = workspace(spark, "metric_join"), partitions_for(spark)
-    sets = landed(shingle_table(docs, width, percent), folder, "sets")
+    keyed = landed(shingle_table(docs, width, percent), folder, "keyed")
+    sets = landed(keyed.drop("keys", "shared"), folder, "sets")
     full = sets.where("n_shingles > 0 and doc_id is not null")
     # equal sets: the smallest id stands for all
     equal = landed(full.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("node")), folder, "equal")
-    rows = full.join(equal.select("d1", "d2", "n_shingles", F.col("node").alias("doc_id")), ["doc_id", "d1", "d2", "n_shingles"], "left_semi")
-    edges = candidate_edges(rows.select(F.col("doc_id").alias("node"), "keys", "shared"), folder)
+    rows = keyed.where("n_shingles > 0 and doc_id is not null").join(equal.select("d1", "d2", "n_shingles", F.col("node").alias("doc_id")), ["doc_id", "d1", "d2", "n_shingles"], "left_semi")
+    edges = landed(candidate_edges(rows.select(F.col("doc_id").alias("node"), "keys", "shared"), folder), folder, "edges")
+    discard(spark, folder, "keyed")
+    discard(spark, folder, "pairs")
+    tidy(spark)
     clusters = landed(connected_components(edges, f"{folder}/clusters").withColumnRenamed("component", "cluster"), folder, "members")
     # a cluster is one region, or all pairs of blocks if it is large
     weighed = clusters.join(equal.groupBy("node").agg(F.sum("n_shingles").alias("n")), "node")
@@ -353,7 +358,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     found = once.union(again).groupBy("node").agg(F.min("component").alias("component"))
     named = equal.join(found, "node", "left").select("d1", "d2", "n_shingles", F.coalesce("component", "node").alias("component_id"))
     named = landed(named, folder, "named")
-    linked = full.drop("keys", "shared").join(named, ["d1", "d2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
+    linked = full.join(named, ["d1", "d2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
     alone = sets.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.union(alone)
 
