@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from entry_queries.registry import query, rounded
 from fieldspark.functions.models import growth, offset_log10
+from fieldspark.functions.nulls import deviation, mean, row_sum, standard_error, sum0
 from fieldspark.operators import quality
-from fieldspark.operators.aggregates import count_by, last_per_group
+from fieldspark.operators.aggregates import annotation, count_by, last_per_group, profile
 from fieldspark.operators.statistics import box_summary, fit_growth, fit_quality, histogram
+from fieldspark.sources.typing import clean_names
 
 
 @query(
@@ -111,7 +113,7 @@ def _points(t):
                    sum(r) AS g0, sum(e*r) AS g1, sum(b*x*e*r) AS g2
             FROM (SELECT i, a, b, c, x, m, exp(c*x) AS e, sy - m*(a + b*exp(c*x)) AS r FROM fit, s WHERE i < 40)
             GROUP BY i, a, b, c)))
-      SELECT round(a, 4) AS a, round(b, 4) AS b, round(c, 6) AS c, n, round(rss, 3) AS rss
+      SELECT round(a, 4) AS a, round(b, 4) AS b, round(c, 6) AS c, n, round(rss, 3) AS rss, true AS converged
       FROM (SELECT a, b, c, count(*) AS n, sum((y - a - b*exp(c*x)) ** 2) AS rss
             FROM fit, p WHERE i = 40 GROUP BY a, b, c)""",
 )
@@ -119,7 +121,7 @@ def exp_fit(t):
     fit = fit_growth(_points(t), "x", "y")
     return fit.select(
         F.round("a", 4).alias("a"), F.round("b", 4).alias("b"), F.round("c", 6).alias("c"),
-        "n", F.round("rss", 3).alias("rss"),
+        "n", F.round("rss", 3).alias("rss"), "converged",
     )
 
 
@@ -132,3 +134,51 @@ def exp_fit(t):
 def fit_r2(t):
     quality_row = fit_quality(_points(t), "x", "y", (-14.0, 7.4, 0.041))
     return rounded(rounded(quality_row, 3, "rss", "tss"), 6, "r_squared")
+
+
+@query(
+    "nan_missing",
+    """WITH v AS (SELECT l_returnflag, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity END AS x,
+                         CASE WHEN l_linenumber = 3 THEN NULL ELSE l_tax END AS y FROM lineitem)
+       SELECT l_returnflag, round(sum(x), 6) AS total, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS sd,
+              round(stddev_samp(x) / sqrt(count(*)), 6) AS se, round(sum(coalesce(x, 0) + coalesce(y, 0)), 6) AS both
+       FROM v GROUP BY ALL""",
+)
+def nan_missing(t):
+    lost = F.col("l_linenumber") == 3
+    v = t.lineitem.select(
+        "l_returnflag", *[F.when(lost, F.lit(float("nan"))).otherwise(F.col(c)).alias(n) for c, n in (("l_quantity", "x"), ("l_tax", "y"))]
+    )
+    return rounded(
+        v.groupBy("l_returnflag").agg(
+            sum0("x").alias("total"), mean("x").alias("mean"), deviation("x").alias("sd"), standard_error("x").alias("se"),
+            F.sum(row_sum("x", "y")).alias("both"),
+        )
+    )
+
+
+@query(
+    "clean_names",
+    """SELECT l_orderkey AS line_no, l_linenumber AS percent_cover, l_quantity AS site_name, l_tax AS site_name_2,
+              l_discount AS x2024_count FROM lineitem""",
+)
+def cleaned(t):
+    raw = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_discount")
+    return clean_names(raw.toDF("Line No.", "% Cover", "siteName", "Site  Name", "2024 count"))
+
+
+@query(
+    "profile",
+    """SELECT 'l_tax' AS column, 'double' AS type, count(*) AS n_rows, count(*) - count(l_tax) AS n_missing FROM lineitem
+       UNION ALL SELECT 'l_returnflag', 'string', count(*), count(*) - count(l_returnflag) FROM lineitem""",
+)
+def profiled(t):
+    return profile(t.lineitem, ["l_tax", "l_returnflag"]).select("column", "type", "n_rows", "n_missing")
+
+
+@query(
+    "plot_annotation",
+    "SELECT l_returnflag, count(*) AS n, min(l_quantity) AS min_x, max(l_tax) AS max_y FROM lineitem GROUP BY ALL",
+)
+def annotated(t):
+    return annotation(t.lineitem, ["l_returnflag"], "l_quantity", "l_tax")

@@ -48,7 +48,13 @@ _FORM_COLUMNS = {
 
 def effort_form(t):
     numbered = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    return numbered.select(*[F.expr(e).alias(n) for n, e in _FORM_COLUMNS.items()])
+    form = numbered.select(*[F.expr(e).alias(n) for n, e in _FORM_COLUMNS.items()])
+    # as landed: dates are text in either order, and what the SQL has as missing is text that cannot be read
+    written = {
+        "date_deployed": F.coalesce(F.date_format("date_deployed", "M/d/yyyy"), F.lit("rubbish")),
+        "date_collected": F.coalesce(F.date_format("date_collected", "yyyy-MM-dd HH:mm:ss"), F.lit("n/a")),
+    }
+    return form.withColumns(written)
 
 
 _E = "e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)"
@@ -247,9 +253,13 @@ _CORRECTIONS = [("BR2S", "2024-01-10", "2024-01-09"), ("BR1D", "2024-01-20", "20
 
 def count_form(t):
     numbered = t.events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    return numbered.select(*[F.expr(e).alias(n) for n, e in _COUNT_COLUMNS.items()]).withColumn(
-        "number_of_crabs", F.col("number_of_crabs").cast("double")
-    )
+    form = numbered.select(*[F.expr(e).alias(n) for n, e in _COUNT_COLUMNS.items()])
+    # as landed: text, and what the SQL has as missing is text that cannot be read
+    unreadable = ["n/a", "5d", "7F", "nan", ""]
+    counts = [c for c in _COUNT_COLUMNS if c.startswith("number_of_")]
+    written = {c: F.coalesce(F.col(c).cast("string"), F.lit(unreadable[i % 5])) for i, c in enumerate(counts)}
+    written |= {c: F.coalesce(F.date_format(c, "M/d/yyyy"), F.lit("rubbish")) for c in ("collection_date", "sorting_date")}
+    return form.withColumns(written)
 
 
 def _samples(t):

@@ -72,6 +72,22 @@ def double_entry_diff(t):
     return de.quadrat_differences(_quadrats(t, "F"), _quadrats(t, "O"), year=1997)
 
 
+@query(
+    "double_entry_rows",
+    f"""WITH {_QUADRATS},
+         d AS (SELECT {_keys(de.QUADRAT_KEYS)},
+                 {sql_differ('a.substrate', 'b.substrate', False)} AS substrate_raw_diff,
+                 CAST(NULL AS VARCHAR) AS drift_superlayer_raw_diff,
+                 {sql_differ('a.purple', 'b.purple')} AS purple_raw_diff,
+                 {sql_differ('a.cover', 'b.cover')} AS cover_raw_diff
+               FROM a JOIN b ON {_same(de.QUADRAT_KEYS)} WHERE year(a.survey_date) = 1997)
+       SELECT *, '' AS resolved FROM d
+       WHERE coalesce(substrate_raw_diff, purple_raw_diff, cover_raw_diff) IS NOT NULL""",
+)
+def double_entry_rows(t):
+    return de.quadrat_differences(_quadrats(t, "F"), _quadrats(t, "O"), year=1997, pairs="rows")
+
+
 _MISSING = f"""WITH {_QUADRATS},
   m AS (SELECT {_keys(de.QUADRAT_KEYS)}, 'second' AS missing_in FROM a
         WHERE NOT EXISTS (SELECT 1 FROM b WHERE {_same(de.QUADRAT_KEYS)})

@@ -56,6 +56,14 @@ URCHIN_COLUMNS = [
     "number_of_red_urchins",
     "number_of_unidentified_urchins",
 ]
+COUNT_COLUMNS = [
+    "number_of_vials_in_sample",
+    *URCHIN_COLUMNS,
+    "number_of_crabs",
+    "number_of_gastropods",
+    "number_of_bivalves",
+    "number_of_plastic",
+]
 TAXON_LABELS = {
     "total_urchins": "Total urchins",
     "number_of_purple_urchins": "Purple urchins",
@@ -97,3 +105,9 @@ LOG_AXIS_OFFSET = 0.01
 HISTOGRAM_BINS = 25
 BUBBLE_RANGE = (5.0, 25.0)
 SNAPSHOT_RETENTION_DAYS = 90
+
+# --- fixed values: columns of the office, by sheet -----------------------------------------------
+QUADRAT_OFFICE_COLUMNS = ["name_of_data_enterer", "observer_buddy", "write_in", "notes"]
+#: Columns without a heading, as the workbook reader names them.
+UNNAMED_COLUMNS = ["x15", "x16"]
+SPECIES_OFFICE_COLUMNS = ["name_of_data_enterer", "observer", "buddy"]

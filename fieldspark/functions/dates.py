@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.functions.nulls import as_column
 
 YEAR_FIRST = ["yyyy-M-d", "yyyy/M/d", "yyyyMMdd", "yyyy-MM-dd HH:mm:ss"]
 MONTH_FIRST = ["M/d/yyyy", "M-d-yyyy"]
+#: Times as forms write them, in either order.
+MOMENTS = ["yyyy-MM-dd HH:mm:ss[.SSSSSS]", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm"]
+ANY_DATE = [*YEAR_FIRST, *MONTH_FIRST, *MOMENTS]
 
 
 def parse_date(c: Column | str, formats: Sequence[str] = tuple(YEAR_FIRST)) -> Column:
@@ -20,6 +23,18 @@ def parse_date(c: Column | str, formats: Sequence[str] = tuple(YEAR_FIRST)) -> C
     return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
+def day_of(df: DataFrame, name: str) -> Column:
+    """The day in a column of either kind: dates and times as they are, text parsed, unreadable text missing."""
+    return parse_date(name, ANY_DATE) if dict(df.dtypes)[name] == "string" else F.to_date(name)
+
+
+def moment_of(df: DataFrame, name: str) -> Column:
+    """The same for a point in time."""
+    if dict(df.dtypes)[name] != "string":
+        return F.col(name)
+    return F.coalesce(*[F.try_to_timestamp(F.col(name), F.lit(f)) for f in [*MOMENTS, *YEAR_FIRST, *MONTH_FIRST]])
+
+
 def in_year(c: Column | str, year: int) -> Column:
     """Half-open range, so that the predicate can reach a Parquet scan (``year()`` cannot)."""
     c = as_column(c)

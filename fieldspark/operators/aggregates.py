@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldspark.functions.nulls import sum0
+from fieldspark.functions.nulls import mean, present, sum0
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -21,7 +21,7 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 def numeric_means(df: DataFrame, keys: Sequence[str], drop: Sequence[str] = ()) -> DataFrame:
     """Mean of every numeric column per key; ``drop`` names columns left out."""
     return df.groupBy(*keys).agg(
-        *[F.avg(c).alias(c) for c in numeric_columns(df, exclude=[*keys, *drop])]
+        *[mean(c).alias(c) for c in numeric_columns(df, exclude=[*keys, *drop])]
     )
 
 
@@ -72,7 +72,8 @@ def summarise(
     if (by_order or firsts) and order is None:
         raise ValueError("ordered_texts and first_texts need an order")
     sources = {**counted, **by_text, **by_order, **firsts}
-    used = {c: F.col(c) for _, c in measures.values() if c is not None and c not in keys}
+    fractions = {c for c, kind in df.dtypes if kind in ("double", "float")}
+    used = {c: (present(c).alias(c) if c in fractions else F.col(c)) for _, c in measures.values() if c is not None and c not in keys}
     pieces = [F.struct(F.lit("").alias("field"), F.lit(None).cast("string").alias("text"))] + [
         F.struct(F.lit(out).alias("field"), F.col(src).cast("string").alias("text"))
         for out, src in sources.items()
@@ -97,11 +98,11 @@ def summarise(
     )
 
     def listed(out: str) -> Column:
+        if out in firsts:
+            return F.min(F.when(F.col("__field") == out, F.struct("__ord", "__text")))["__text"].alias(out)
         entry = F.struct("__text") if out in by_text else F.struct("__ord", "__text")
         entries = F.array_sort(F.collect_list(F.when(F.col("__field") == out, entry)))
         texts = F.transform(entries, lambda e: e["__text"])
-        if out in firsts:
-            return F.get(texts, F.lit(0)).alias(out)
         return F.nullif(F.array_join(texts, sep), F.lit("")).alias(out)
 
     return reduced.groupBy(*keys).agg(
@@ -113,7 +114,7 @@ def summarise(
 
 def arrival_order(time: str, row_id: str) -> Column:
     """Time, then row number, as one number; rows without a time come last."""
-    micros = F.coalesce(F.unix_micros(F.col(time).cast("timestamp")), F.lit(10**18))
+    micros = F.coalesce(F.unix_micros(F.col(time).try_cast("timestamp")), F.lit(10**18))
     shift = F.lit(10**18).cast("decimal(19,0)")
     return (micros.cast("decimal(19,0)") * shift + F.col(row_id).cast("decimal(19,0)")).cast("decimal(38,0)")
 
@@ -121,7 +122,8 @@ def arrival_order(time: str, row_id: str) -> Column:
 def last_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row that sorts last per key, missing values sorting after all others.
 
-    A max over a struct combines map-side; no group is sorted or held by one task.
+    A max over a struct combines map-side, so no task holds a group. Spark sorts the rows by key for it, as a struct
+    has no fixed width.
     """
     rest = [c for c in df.columns if c not in keys]
     rank = [x for i, c in enumerate(order) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))]
@@ -134,7 +136,7 @@ def last_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     )
 
 
-AGGREGATES = {"sum": lambda c: sum0(c), "mean": lambda c: F.avg(c)}
+AGGREGATES = {"sum": lambda c: sum0(c), "mean": mean}
 
 
 def summarise_by(
@@ -155,3 +157,29 @@ def bounds(df: DataFrame, *cols: str) -> DataFrame:
     return df.agg(
         *[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("min", F.min), ("max", F.max))]
     )
+
+
+def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per column: its type, rows, missing values and text of its least and largest value. One pass."""
+    kinds = dict(df.dtypes)
+    names = list(columns or [c for c, kind in df.dtypes if not kind.startswith(("array", "map", "struct"))])
+    clean = {c: present(c) if kinds[c] in ("double", "float") else F.col(c) for c in names}
+    row = df.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column"), F.lit(kinds[c]).alias("type"), F.count(F.lit(1)).alias("n_rows"),
+                    (F.count(F.lit(1)) - F.count(x)).alias("n_missing"),
+                    F.min(x).cast("string").alias("least"), F.max(x).cast("string").alias("largest"),
+                )
+                for c, x in clean.items()
+            ]
+        ).alias("p")
+    )
+    return row.select(F.explode("p").alias("p")).select("p.*")
+
+
+def annotation(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
+    """What a plot writes beside a group: ``n``, the least x and the largest y of the rows with both values."""
+    both = df.where(present(x).isNotNull() & present(y).isNotNull())
+    return both.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("min_x"), F.max(y).alias("max_y"))

@@ -13,17 +13,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldspark.functions.nulls import as_column
+from fieldspark.functions.nulls import as_column, present
 from fieldspark.operators.joins import join_suffix
 
 CELLS_PER_DOUBLING = 4096
 UNIT = 1e-3
+#: Infinite values lie in the cell of the largest number, so they are ordered like any other.
+LARGEST = 1e300
 
 
 def order_cell(value: Column | str, unit: float = UNIT) -> Column:
     """A whole number that never falls as the value rises."""
     x = as_column(value).cast("double")
-    return F.signum(x).cast("bigint") * F.floor(F.log2(1 + F.abs(x) / F.lit(unit)) * CELLS_PER_DOUBLING)
+    size = F.least(F.abs(x), F.lit(LARGEST))
+    return F.signum(x).cast("bigint") * F.floor(F.log2(1 + size / F.lit(unit)) * CELLS_PER_DOUBLING)
 
 
 def _cell_starts(celled: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
@@ -60,8 +63,8 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, weight: str) -
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Rows per key and non-missing value, as ``__n``."""
-    return df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    """Rows per key and non-missing value, as ``__n``; NaN is missing."""
+    return df.where(present(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
 
 
 def quantiles_of_counts(

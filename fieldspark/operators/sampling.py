@@ -14,6 +14,8 @@ from fieldspark.operators.ordered import running_total
 # probabilities are held as whole numbers of 2^-40, so cumulative sums are exact and leave no gap
 FIXED_POINT = 1 << 40
 SIZES_PER_CELL = 16
+# copies of each range under different keys: chunks of draws of one group go to different ones
+SALTS = 16
 
 
 def hashed_uniform(group: Column, i: Column) -> Column:
@@ -47,8 +49,9 @@ def weighted_sample(
 
     Draws are made in chunks spread over all tasks, so one large group is many tasks' work. A
     draw finds its size by an equi-join on a hash of group and cell of the cumulative range, with
-    group and exact range as residual. A size is listed once per cell it touches, and a group has
-    a cell per few sizes, so no distribution is held whole by a row or task.
+    group and exact range as residual. A size is listed once per cell it touches and salt, and a group has
+    a cell per few sizes, so no distribution is held whole by a row or task. The salt comes from group and chunk, so
+    the draws of one large group, and of all groups on the fallback, meet the ranges in several places.
     """
     keys = list(keys)
     at_random = uniform or (lambda i: hashed_uniform(F.col("__seed"), i))
@@ -70,11 +73,9 @@ def weighted_sample(
                 {"__own": F.lit(False), **{k: F.lit(None).cast(types[k]) for k in keys}}
             )
         )
+        whole = units.agg(F.struct(F.sum("__units").alias("total"), F.count(F.lit(1)).alias("rows"))).scalar()
         wanted = wanted.withColumns(
-            {
-                "__total": F.coalesce("__total", units.agg(F.sum("__units")).scalar()),
-                "__rows": F.coalesce("__rows", units.agg(F.count(F.lit(1))).scalar()),
-            }
+            {"__total": F.coalesce("__total", whole["total"]), "__rows": F.coalesce("__rows", whole["rows"])}
         )
 
     # what depends on the group alone is worked out before the draws multiply its row
@@ -102,8 +103,10 @@ def weighted_sample(
         )
         .select(
             *keys, "__own", size, "weight_before", "__end",
-            F.xxhash64("__group", "__cell").alias("__place"),
+            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"), "__group", "__cell",
         )
+        .withColumn("__place", F.xxhash64("__group", "__cell", "__salt"))
+        .drop("__group", "__cell", "__salt")
     )
 
     last_chunk = F.floor((F.col("__n") - 1) / chunk)
@@ -118,6 +121,7 @@ def weighted_sample(
         .repartition(tasks, *keys, "__chunk")
         .select(
             *keys, "__own", "__total", "__cells", "__group", "__seed",
+            F.pmod(F.xxhash64("__seed", "__chunk"), F.lit(SALTS)).cast("int").alias("__salt"),
             F.explode(
                 F.sequence(
                     F.col("__chunk") * chunk + 1, F.least(F.col("__n"), (F.col("__chunk") + 1) * chunk)
@@ -127,7 +131,7 @@ def weighted_sample(
         # never missing, or the join would add a filter that works the number out a second time
         .withColumn("__at", F.coalesce(F.floor(at_random(F.col("draw")) * F.col("__total")), F.lit(0)))
         .withColumn("__cell", cell(F.col("__at"), "__total"))
-        .select(*keys, "__own", "draw", "__at", F.xxhash64("__group", "__cell").alias("__place"))
+        .select(*keys, "__own", "draw", "__at", F.xxhash64("__group", "__cell", "__salt").alias("__place"))
     )
 
     on = (
@@ -136,9 +140,9 @@ def weighted_sample(
         & (F.col("d.__at") < F.col("r.__end"))
         & _same_group(keys)
     )
-    # Spark sizes the draws by the rows they are exploded from and would broadcast them
+    # Spark sizes the draws by the rows they are exploded from and would broadcast them; the ranges are the small side
     return (
-        draws.hint("merge").alias("d").join(listed.alias("r"), on)
+        draws.alias("d").join(listed.hint("shuffle_hash").alias("r"), on)
         .select(*[F.col(f"d.{k}") for k in keys], F.col("d.draw"), F.col(f"r.{size}"))
     )
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.fixed_values import GROWTH_START, HISTOGRAM_BINS
 from fieldspark.functions.models import growth
-from fieldspark.functions.nulls import ratio
+from fieldspark.functions.nulls import present, ratio
 from fieldspark.operators.joins import join_suffix
 from fieldspark.operators.ordered import quantiles_of_counts, value_counts
 
@@ -41,11 +42,11 @@ def histogram(df: DataFrame, value: str, by: Sequence[str], bins: int = HISTOGRA
     The range is a one-value subquery, so there is no join; the largest value falls into the
     last bin.
     """
-    present = df.where(F.col(value).isNotNull())
-    lo = present.agg(F.min(value)).scalar()
-    hi = present.agg(F.max(value)).scalar()
+    there = df.where(present(value).isNotNull())
+    ends = there.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+    lo, hi = ends["lo"], ends["hi"]
     place = F.coalesce(F.floor(ratio(F.col(value) - lo, hi - lo) * bins), F.lit(0))
-    binned = present.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))
+    binned = there.withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))
     width = (hi - lo) / bins
     return (
         binned.groupBy(*by, "bin")
@@ -62,21 +63,27 @@ def fit_growth(
     start: tuple[float, float, float] = GROWTH_START,
     max_passes: int = 50,
     tolerance: float = 1e-10,
+    strict: bool = False,
 ) -> DataFrame:
     """Least-squares fit of ``y = a + b * exp(c * x)`` by damped Gauss-Newton steps.
 
-    The model sees a row only through x, so rows are first reduced to count, sum and sum of
-    squares of y per distinct x. Each pass is one aggregate of that table to ten sums; the driver
-    holds those ten numbers and solves a 3x3 system. Returns one row: a, b, c, n, rss, passes,
-    converged.
+    The model sees a row only through x, so rows are first reduced to count, mean and centred sum of squares of y
+    per distinct x; missing and NaN values are left out. Each pass is one aggregate of that table to eleven sums, which
+    the driver turns into a 3x3 system. The fit has converged when a step changes no coefficient any more, or when the
+    residuals are as good as at right angles to all three directions. Returns one row: a, b, c, n, rss,
+    passes, converged. If it did not converge there is a warning, or an error where ``strict``.
     """
+    shift = df.where(_both(x, y)).agg(F.avg(F.col(y).cast("double"))).first()[0]
+    if shift is None:
+        raise ValueError("no complete (x, y) rows to fit")
     points = (
-        df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+        df.where(_both(x, y))
         .groupBy(F.col(x).cast("double").alias("x"))
         .agg(
             F.count(F.lit(1)).alias("m"),
-            F.sum(F.col(y).cast("double")).alias("sy"),
-            F.sum(F.col(y).cast("double") * F.col(y)).alias("syy"),
+            # around the overall mean, so that a large offset of y costs no digits
+            F.avg(F.col(y).cast("double") - F.lit(shift)).alias("mean"),
+            (F.var_pop(F.col(y).cast("double") - F.lit(shift)) * F.count(F.lit(1))).alias("m2"),
         )
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
@@ -85,26 +92,24 @@ def fit_growth(
         a, b, c = (float(v) for v in beta)
         e = F.exp(F.lit(c) * F.col("x"))
         gradient = [F.lit(1.0), e, F.lit(b) * F.col("x") * e]
-        fitted = F.lit(a) + F.lit(b) * e
-        miss = F.col("sy") - F.col("m") * fitted
+        miss = F.col("mean") - (F.lit(a) + F.lit(b) * e)
         row = points.agg(
             *[
                 F.sum(F.col("m") * gradient[i] * gradient[j]).alias(f"h{i}{j}")
                 for i in range(3)
                 for j in range(i, 3)
             ],
-            *[F.sum(gradient[i] * miss).alias(f"g{i}") for i in range(3)],
-            F.sum(F.col("syy") - 2 * fitted * F.col("sy") + F.col("m") * fitted * fitted).alias("rss"),
+            *[F.sum(F.col("m") * gradient[i] * miss).alias(f"g{i}") for i in range(3)],
+            F.sum(F.col("m2") + F.col("m") * miss * miss).alias("rss"),
             F.sum("m").alias("n"),
         ).first()
-        if row["n"] is None:
-            raise ValueError("no complete (x, y) rows to fit")
         h = np.array([[row[f"h{min(i, j)}{max(i, j)}"] for j in range(3)] for i in range(3)])
         g = np.array([row[f"g{i}"] for i in range(3)])
         return h, g, float(row["rss"]), int(row["n"])
 
     try:
         beta = np.array(start, dtype=float)
+        beta[0] -= shift
         hessian, slope, rss, n = sums(beta)
         damping, passes, converged = 0.0, 1, False
         while passes < max_passes and not converged:
@@ -119,26 +124,40 @@ def fit_growth(
             trial = sums(beta + step)
             passes += 1
             if np.isfinite(trial[2]) and trial[2] <= rss * (1 + 1e-12):
-                converged = bool(np.all(np.abs(step) <= tolerance * (np.abs(beta) + tolerance)))
+                still = bool(np.all(np.abs(step) <= tolerance * (np.abs(beta) + tolerance)))
                 beta, (hessian, slope, rss, n) = beta + step, trial
+                lengths = np.sqrt(np.diag(hessian) * rss)
+                level = bool(np.all(np.abs(slope) <= tolerance * lengths))
+                converged = level or (still and damping == 0.0)
                 damping = 0.0 if damping < 1e-9 else damping / 10
             else:
+                # no step lowers the residuals any more: right if the slope is gone but for rounding
+                lengths = np.sqrt(np.diag(hessian) * rss)
+                converged = bool(np.all(np.abs(slope) <= 1e-6 * lengths)) and damping > 1e3
                 damping = max(damping * 10, 1e-3)
                 if damping > 1e12:
                     break
     finally:
         points.unpersist()
 
+    if not converged:
+        if strict:
+            raise ArithmeticError(f"the growth fit did not converge in {passes} passes")
+        warnings.warn(f"the growth fit did not converge in {passes} passes", stacklevel=2)
     a, b, c = (float(v) for v in beta)
     return df.sparkSession.createDataFrame(
-        [(a, b, c, n, rss, passes, converged)],
+        [(a + shift, b, c, n, rss, passes, converged)],
         "a double, b double, c double, n bigint, rss double, passes int, converged boolean",
     )
 
 
+def _both(x: str, y: str) -> Column:
+    return present(x).isNotNull() & present(y).isNotNull()
+
+
 def fit_quality(df: DataFrame, x: str, y: str, coefficients: tuple[float, float, float]) -> DataFrame:
     """n, residual and total sums of squares and R² of given coefficients, in one row."""
-    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    rows = df.where(_both(x, y))
     miss = F.col(y) - growth(x, coefficients)
     return (
         rows.agg(

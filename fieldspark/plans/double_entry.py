@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldspark.fixed_values import CANOPY_TAXON
+from fieldspark.fixed_values import CANOPY_TAXON, QUADRAT_OFFICE_COLUMNS, SPECIES_OFFICE_COLUMNS, UNNAMED_COLUMNS
 from fieldspark.functions.dates import in_year
 from fieldspark.functions.nulls import diff_text, sum0
 from fieldspark.functions.text import site_code, strip_side
@@ -39,7 +39,8 @@ SWATH_TYPES = T.StructType(
     + [T.StructField(c, T.DoubleType()) for c in ("stipe_counts_macrocystis_only", "subsample_meter")]
 )
 STAR_TYPES = T.StructType([*SIZE_TYPES.fields, T.StructField("diet", T.StringType())])
-OFFICE_COLUMNS = ["name_of_data_enterer", "observer_buddy", "observer", "buddy", "write_in", "notes"]
+#: Row pairs that one task writes at a time.
+PAIR_CHUNK = 65_536
 
 
 def prepare_entry(
@@ -48,15 +49,21 @@ def prepare_entry(
     *,
     example_row: bool = True,
     side_column: str | None = None,
-    drop: Sequence[str] = OFFICE_COLUMNS,
+    drop: Sequence[str] | None = None,
     unique: bool = False,
 ) -> DataFrame:
-    """A landed sheet made comparable: typed, site names standardised, clerical columns dropped."""
+    """A landed sheet made comparable: typed, site names standardised, clerical columns dropped.
+
+    ``drop`` lists the clerical columns; by default those of the quadrat sheet for its types, else those of the
+    other sheets, which keep their notes: rows that differ in them stay two rows.
+    """
+    if drop is None:
+        drop = QUADRAT_OFFICE_COLUMNS if "quadrat" in types.names else SPECIES_OFFICE_COLUMNS
     df = drop_first_row(raw) if example_row else raw
     if side_column is not None:
         df = df.withColumn(side_column, strip_side(side_column))
     df = apply_schema(df, types).withColumn("site", site_code("site"))
-    clerical = [c for c in df.columns if c in drop or c == ROW_ID or c.startswith("windows_ctrl") or c in ("x15", "x16")]
+    clerical = [c for c in df.columns if c in drop or c == ROW_ID or c.startswith("windows_ctrl") or c in UNNAMED_COLUMNS]
     df = df.drop(*clerical)
     return df.distinct() if unique else df
 
@@ -113,7 +120,21 @@ def compare_entries(
     result = result.where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in told]))
     if pairs == "count":
         return result.groupBy(*keys, *told).agg(F.sum("n_pairs").alias("n_pairs"))
-    return result.select(*keys, *told, F.explode(F.sequence(F.lit(1), "n_pairs")).alias("__i")).drop("__i")
+    # chunks of pairs are dealt to all tasks before they become rows, so no row holds a list of all pairs of a key
+    tasks = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n_pairs") - 1) / PAIR_CHUNK))
+    dealt = result.select(*keys, *told, "n_pairs", F.explode(chunks).alias("__chunk")).repartition(tasks, *keys, "__chunk")
+    size = F.least(F.lit(PAIR_CHUNK), F.col("n_pairs") - F.col("__chunk") * PAIR_CHUNK).cast("int")
+    return dealt.withColumn("__i", F.explode(F.sequence(F.lit(1), size))).select(*keys, *told)
+
+
+def pair_counts(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Row pairs that a comparison of each key makes: ``rows_first``, ``rows_second`` and ``n_pairs``, without a join."""
+    stacked = first.select(*keys, F.lit(1).alias("__a"), F.lit(0).alias("__b")).unionByName(
+        second.select(*keys, F.lit(0).alias("__a"), F.lit(1).alias("__b"))
+    )
+    counts = stacked.groupBy(*keys).agg(F.sum("__a").alias("rows_first"), F.sum("__b").alias("rows_second"))
+    return counts.withColumn("n_pairs", F.col("rows_first") * F.col("rows_second"))
 
 
 def with_resolution(diffs: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.fixed_values import EFFORT_SITE_ALIASES, MEDIA_TYPE_PATTERNS
-from fieldspark.functions.dates import days_between
+from fieldspark.functions.dates import day_of, days_between, moment_of
+from fieldspark.functions.nulls import as_column
 from fieldspark.functions.text import classify, recode, squish_to_null
 from fieldspark.operators.aggregates import arrival_order, summarise
 from fieldspark.operators.asof import prior_event_in_place
@@ -17,17 +18,17 @@ DEPLOYMENT, COLLECTION, SURVEY = "Deployment", "Collection", "Survey"
 EVENT_KEYS = ["site", "event_date", "event_record", "sample_type"]
 
 
-def by_event(deployment: str, collection: str, survey: str | None, *others: str) -> Column:
+def by_event(deployment: Column | str, collection: Column | str, survey: Column | str | None, *others: Column | str) -> Column:
     """The column that holds a value for the row's kind of event.
 
     ``others`` are tried in turn for rows of an unknown kind.
     """
     kind = F.col("event_record")
     return (
-        F.when(kind == DEPLOYMENT, F.col(deployment))
-        .when(kind == COLLECTION, F.col(collection))
-        .when(kind == SURVEY, F.col(survey) if survey else F.lit(None))
-        .otherwise(F.coalesce(*[F.col(c) for c in others]) if others else F.lit(None))
+        F.when(kind == DEPLOYMENT, as_column(deployment))
+        .when(kind == COLLECTION, as_column(collection))
+        .when(kind == SURVEY, as_column(survey) if survey is not None else F.lit(None))
+        .otherwise(F.coalesce(*[as_column(c) for c in others]) if others else F.lit(None))
     )
 
 
@@ -36,15 +37,14 @@ def standardise_form(form: DataFrame, aliases=EFFORT_SITE_ALIASES) -> DataFrame:
     kind_known = form.withColumn("event_record", squish_to_null("event_record"))
     site = by_event("site_9", "site_5", "site_surveyed", "site_5", "site_9", "site_surveyed")
     notes = by_event("notes_11", "notes_7", "notes_13", "notes_7", "notes_11", "notes_13")
-    day = by_event(
-        "date_deployed", "date_collected", "timestamp", "date_collected", "date_deployed", "timestamp"
-    )
+    days = {c: day_of(form, c) for c in ("date_deployed", "date_collected", "timestamp")}
+    day = by_event(*(days[c] for c in ("date_deployed", "date_collected", "timestamp", "date_collected", "date_deployed", "timestamp")))
     extra = [c for c in (ROW_ID,) if c in form.columns]
     return kind_known.select(
-        "timestamp",
+        moment_of(form, "timestamp").alias("timestamp"),
         squish_to_null("email_address").alias("email_address"),
         "event_record",
-        F.to_date(day).alias("event_date"),
+        day.alias("event_date"),
         squish_to_null(site).alias("site"),
         squish_to_null(by_event("samples_deployed", "samples_collected", None)).alias("samples"),
         squish_to_null(notes).alias("notes"),

@@ -8,20 +8,23 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.fixed_values import BUBBLE_RANGE, HABITAT_PATTERNS, TAXON_LABELS, URCHIN_COLUMNS
+from fieldspark.fixed_values import BUBBLE_RANGE, COUNT_COLUMNS, HABITAT_PATTERNS, TAXON_LABELS, URCHIN_COLUMNS
+from fieldspark.functions.dates import day_of
 from fieldspark.functions.models import rescale
-from fieldspark.functions.nulls import level_rank, num_text, row_sum
+from fieldspark.functions.nulls import level_rank, num_text, present, row_sum
 from fieldspark.functions.text import classify, location_id
 from fieldspark.operators.aggregates import bounds, summarise_by
 from fieldspark.operators.joins import join_suffix, keep_members
 from fieldspark.operators.reshape import to_long
+from fieldspark.sources.typing import number, numbers
 
 
 def prepare_counts(form: DataFrame) -> DataFrame:
     """Adds collection day, urchin total, habitat and site id to the count form."""
+    form = numbers(form, *COUNT_COLUMNS)
     return form.withColumns(
         {
-            "collection_date": F.to_date("collection_date"),
+            "collection_date": day_of(form, "collection_date"),
             "total_urchins": row_sum(*URCHIN_COLUMNS),
             "habitat": classify("location", HABITAT_PATTERNS, "Other"),
             "site_id": location_id("location"),
@@ -55,7 +58,7 @@ def count_summary(
     Sum and count are taken per group before taxa become rows, so the shuffle carries groups
     rather than one row per sample and taxon.
     """
-    filled = counts.select(group, by, *[F.coalesce(t, F.lit(0)).cast("double").alias(t) for t in taxa])
+    filled = counts.select(group, by, *[F.coalesce(present(t), F.lit(0)).cast("double").alias(t) for t in taxa])
     wide = filled.groupBy(group, by).agg(
         *[(F.sum(t) if how == "sum" else F.avg(t)).alias(t) for t in taxa]
     )
@@ -76,8 +79,8 @@ def site_positions(sites: DataFrame) -> DataFrame:
     return sites.select(
         F.col("site_name").alias("site_id"),
         F.col("site_name").alias("location"),
-        F.col("latitude").try_cast("double").alias("lat"),
-        F.col("longitude").try_cast("double").alias("lon"),
+        number(F.col("latitude").cast("string")).alias("lat"),
+        number(F.col("longitude").cast("string")).alias("lon"),
         "mpa",
         "depth_m",
     )
@@ -106,7 +109,8 @@ def with_bubbles(
 ) -> DataFrame:
     """Adds bubble radius and label text; the value range is a one-value subquery."""
     sized = mapped.withColumn("__size", F.log1p("value") if log_scale else F.col("value"))
-    lo, hi = sized.agg(F.min("__size")).scalar(), sized.agg(F.max("__size")).scalar()
+    ends = sized.agg(F.struct(F.min("__size").alias("lo"), F.max("__size").alias("hi"))).scalar()
+    lo, hi = ends["lo"], ends["hi"]
     return (
         sized.withColumn("radius", rescale(F.col("__size"), lo, hi, to))
         .withColumn(

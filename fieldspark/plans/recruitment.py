@@ -10,21 +10,24 @@ from pyspark.sql import functions as F
 
 from fieldspark.fixed_values import (
     COLLECTION_DATE_CORRECTIONS,
+    COUNT_COLUMNS,
     COUNT_SITE_ALIASES,
     MEDIA_TO_POSITION,
+    MEDIA_TYPE_PATTERNS,
     PATCH_ORDER,
     PATCH_PATTERNS,
     POSITION_ORDER,
     SUBSTRATE_TO_MEDIA,
     URCHIN_COLUMNS,
 )
-from fieldspark.functions.dates import week_start
+from fieldspark.functions.dates import day_of, moment_of, week_start
 from fieldspark.functions.models import offset_log10
 from fieldspark.functions.nulls import level_rank, ratio, row_sum, sum0
 from fieldspark.functions.text import labelled, recode, squish, squish_to_null
 from fieldspark.operators.aggregates import summarise
 from fieldspark.operators.joins import join_suffix
 from fieldspark.sources.landed import ROW_ID
+from fieldspark.sources.typing import numbers
 
 SAMPLE_KEYS = ["site", "collection_date"]
 EFFORT_KEYS = ["site", "date_collected"]
@@ -53,12 +56,12 @@ def clean_counts(
     form: DataFrame, aliases=COUNT_SITE_ALIASES, corrections=COLLECTION_DATE_CORRECTIONS
 ) -> DataFrame:
     """Typed samples with site code, urchin total, corrected collection date and a flag."""
-    numbers = {c: F.col(c).try_cast("double") for c in URCHIN_COLUMNS}
+    form = numbers(form, *COUNT_COLUMNS)
     squished = form.withColumns(
         {
-            **numbers,
-            "collection_date_raw": F.to_date("collection_date"),
-            "sorting_date": F.to_date("sorting_date"),
+            "timestamp": moment_of(form, "timestamp"),
+            "collection_date_raw": day_of(form, "collection_date"),
+            "sorting_date": day_of(form, "sorting_date"),
             "location": squish("location"),
             "substrate_type": squish("substrate_type"),
             "sorter_name": squish("name_of_person_sorting_first_last"),
@@ -118,7 +121,10 @@ def effort_summary(soak: DataFrame) -> DataFrame:
         {"date_deployed": ("min", "date_deployed"), "soak_time": ("max", "soak_time")},
         sorted_texts={"sample_types": "sample_type"},
         ordered_texts={"deploy_notes": "deploy_notes", "collect_notes": "collect_notes"},
-        order=F.struct("sample_type", "collect_timestamp"),
+        order=F.coalesce(level_rank("sample_type", sorted(label for _, label in MEDIA_TYPE_PATTERNS)), F.when(F.col("sample_type").isNotNull(), 99), F.lit(0)).cast(
+            "decimal(19,0)"
+        ) * F.lit(10**18).cast("decimal(19,0)")
+        + F.coalesce(F.unix_micros(F.col("collect_timestamp").try_cast("timestamp")), F.lit(-(10**17))).cast("decimal(19,0)"),
     )
 
 

@@ -19,7 +19,7 @@ from fieldspark.fixed_values import (
     REGION_BOX,
     SERIES_FIRST_DOY,
 )
-from fieldspark.functions.nulls import level_rank
+from fieldspark.functions.nulls import level_rank, mean
 from fieldspark.operators.grid import cell_index, day_index, grid_stride, grid_subset, last_settled_day
 from fieldspark.operators.quality import require_years
 
@@ -43,7 +43,7 @@ def daily_regional_mean(
     kept = [time, value, *([year_column] if year_column else [])]
     inside = grid_subset(grid, box, time, first, last, kept, year_column)
     keys = [F.to_date(time).alias("date")] + ([F.col(year_column).alias("year")] if year_column else [])
-    daily = inside.groupBy(*keys).agg(F.avg(value).alias("anom_mean")).select(
+    daily = inside.groupBy(*keys).agg(mean(value).alias("anom_mean")).select(
         "date",
         F.col("year").cast("int").alias("year") if year_column else F.year("date").alias("year"),
         F.dayofyear("date").alias("doy"),
@@ -62,13 +62,13 @@ def of_years(daily: DataFrame, years: Sequence[int]) -> DataFrame:
 
 def climatology(daily: DataFrame, years: Sequence[int] = tuple(BASELINE_YEARS)) -> DataFrame:
     """Mean by day of year over the baseline years."""
-    return of_years(daily, years).groupBy("doy").agg(F.avg("anom_mean").alias("anom_mean"))
+    return of_years(daily, years).groupBy("doy").agg(mean("anom_mean").alias("anom_mean"))
 
 
 def climatology_excluding(daily: DataFrame, year: int = LAST_FULL_YEAR, doy_max: int = 360) -> DataFrame:
     """The older baseline: all years but one, up to a day of year."""
     kept = (F.col("year") != year) & (F.col("doy") <= doy_max)
-    return daily.where(kept).groupBy("doy").agg(F.avg("anom_mean").alias("anom_mean"))
+    return daily.where(kept).groupBy("doy").agg(mean("anom_mean").alias("anom_mean"))
 
 
 def baseline_label(years: Sequence[int]) -> str:
@@ -97,15 +97,15 @@ def aligned_series(
     shown = [highlight, *faint, last_full, continuation]
     year = F.col("year")
     own = F.when(year.isin(shown), F.struct(year.cast("int").alias("year"), year.cast("string").alias("line")))
-    mean = F.when(
+    average = F.when(
         year.isin(list(baseline)), F.struct(F.lit(None).cast("int").alias("year"), F.lit(mean_line).alias("line"))
     )
     lines = (
         of_years(daily, sorted({*shown, *baseline}))
-        .select("doy", "anom_mean", F.explode(F.array(own, mean)).alias("to"))
+        .select("doy", "anom_mean", F.explode(F.array(own, average)).alias("to"))
         .where(F.col("to").isNotNull())
         .groupBy(F.col("to.line").alias("line"), F.col("to.year").alias("year"), "doy")
-        .agg(F.avg("anom_mean").alias("anom_mean"))
+        .agg(mean("anom_mean").alias("anom_mean"))
     )
     last_doy = of_years(daily, [continuation]).agg(F.max("doy")).scalar()
     is_mean, is_next = F.col("line") == mean_line, F.col("line") == str(continuation)
@@ -134,12 +134,14 @@ def tidy_fine_grid(
     stride: tuple[int, int, int] = FINE_GRID_STRIDE,
     step: float = 0.01,
     first: date = date.fromisoformat(FINE_GRID_START),
+    year_column: str | None = None,
 ) -> DataFrame:
-    """Strided subset of the fine grid under tidy names, up to the last settled day."""
-    inside = grid_subset(
-        grid, box, "time", first, last_settled_day(as_of),
-        fields=["time", "latitude", "longitude", "sstAnom", "mask"],
-    )
+    """Strided subset of the fine grid under tidy names, up to the last settled day.
+
+    ``year_column`` names the grid's partition column, so that years out of range are not read.
+    """
+    fields = ["time", "latitude", "longitude", "sstAnom", "mask", *([year_column] if year_column else [])]
+    inside = grid_subset(grid, box, "time", first, last_settled_day(as_of), fields, year_column)
     n_t, n_lat, n_lon = stride
     strided = grid_stride(
         inside,

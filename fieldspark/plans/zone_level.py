@@ -18,7 +18,7 @@ from fieldspark.fixed_values import (
     ZONE_AREA_M2,
 )
 from fieldspark.functions.models import biomass_g
-from fieldspark.functions.nulls import ratio, standard_error, sum0
+from fieldspark.functions.nulls import deviation, mean, present, ratio, standard_error, sum0
 from fieldspark.operators.aggregates import numeric_means
 from fieldspark.operators.joins import join_suffix
 from fieldspark.operators.reshape import pivot_stats
@@ -35,16 +35,18 @@ def with_year(df: DataFrame, day: str = "survey_date") -> DataFrame:
 def dissection_summary(
     dissection: DataFrame,
     keys: Sequence[str] = ("year", "site_official", "site_type_official", "zone"),
-    species: Sequence[str] = tuple(DISSECTION_SPECIES),
+    species: Sequence[str] | None = tuple(DISSECTION_SPECIES),
     keep: Sequence[str] = ("purple_urchin",),
 ) -> DataFrame:
     """Gonad index mean, deviation and count by zone and year, one column set per kept species.
 
-    Zones in which only another species was dissected keep their row.
+    Zones in which only another of ``species`` was dissected keep their row; None takes all species.
     """
+    if species is not None:
+        dissection = dissection.where(F.col("species").isin(list(species)))
     stats = {
-        "sd_gonad_index": F.stddev_samp("gonad_index"),
-        "mean_gonad_index": F.avg("gonad_index"),
+        "sd_gonad_index": deviation("gonad_index"),
+        "mean_gonad_index": mean("gonad_index"),
         "n": F.nullif(F.count(F.lit(1)), F.lit(0)),
     }
     return pivot_stats(with_year(dissection), list(keys), "species", list(keep), stats)
@@ -60,7 +62,7 @@ def zone_density(
     return (
         quads.groupBy(*keys)
         .agg(
-            F.avg(value).alias("mean_density"),
+            mean(value).alias("mean_density"),
             standard_error(value).alias("se_density"),
             F.count(F.lit(1)).alias("n_quadrats"),
         )
@@ -126,9 +128,9 @@ def individual_biomass(
 
 def site_biomass(individuals: DataFrame, keys: Sequence[str] = tuple(ZONE_KEYS)) -> DataFrame:
     return individuals.groupBy(*keys).agg(
-        F.sum("biomass_g").alias("total_biomass_g"),
+        F.sum(present("biomass_g")).alias("total_biomass_g"),
         F.count(F.lit(1)).alias("n_biomass"),
-        F.stddev_samp("biomass_g").alias("sd_biomass"),
+        deviation("biomass_g").alias("sd_biomass"),
     )
 
 

@@ -7,14 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldspark.functions.nulls import nulls_last
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sort_by: Sequence[str] = ()) -> None:
+    """``sort_by`` orders the whole report, missing values last; its files are in that order."""
+    if sort_by:
+        df = df.orderBy(*nulls_last(*sort_by))
     df.write.mode(mode).option("header", True).csv(path)
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite", sort_by: Sequence[str] = ()
 ) -> None:
+    if sort_by:
+        df = df.orderBy(*nulls_last(*sort_by))
     writer = df.write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 

@@ -1,4 +1,4 @@
-"""Versioned snapshots of a table with a latest copy and selection of expired versions."""
+"""Versioned snapshots of a table with a pointer to the latest and selection of expired versions."""
 
 from __future__ import annotations
 
@@ -18,21 +18,29 @@ def snapshot_paths(root: str, name: str, at: datetime) -> tuple[str, str]:
 
 
 def snapshot(df: DataFrame, root: str, name: str, at: datetime) -> tuple[str, str]:
-    """Write a version, then refresh the latest copy from it.
+    """Write a version, then let a new pointer name it as the latest.
 
-    The source is computed once. If that fails, or the version exists, the latest copy has not
-    been touched.
+    The source is computed once. Pointers are only ever added, so readers always find a whole version; if the write
+    fails, or the version exists, the latest one stays what it was.
     """
     version, latest = snapshot_paths(root, name, at)
     df.write.mode("error").parquet(version)
-    df.sparkSession.read.parquet(version).write.mode("overwrite").parquet(latest)
+    stamp = version.rsplit("=", 1)[1]
+    df.sparkSession.createDataFrame([(stamp,)], "snapshot_ts string").coalesce(1).write.mode("append").json(latest)
     return version, latest
 
 
 def manifest(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One row per version: ``snapshot_ts``. Read from partition names; no data is scanned."""
-    versions = snapshot_paths(root, name, datetime(2000, 1, 1))[0].rsplit("/", 1)[0]
-    return spark.read.parquet(versions).select("snapshot_ts").distinct()
+    """One row per version: ``snapshot_ts``. Read from the pointers; no version is opened."""
+    return spark.read.schema("snapshot_ts string").json(snapshot_paths(root, name, datetime(2000, 1, 1))[1]).distinct()
+
+
+def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The version that the last pointer names."""
+    stamp = manifest(spark, root, name).agg(F.max("snapshot_ts")).first()[0]
+    if stamp is None:
+        raise ValueError(f"no snapshot of {name}")
+    return spark.read.parquet(snapshot_paths(root, name, datetime.strptime(stamp, "%Y%m%d_%H%M%S"))[0])
 
 
 def expired(

@@ -14,6 +14,21 @@ from fieldspark.functions.nulls import num_text
 from fieldspark.functions.text import sentinel_to_null
 
 
+#: A number in plain or exponent form. Java would also read ``5d``, ``7F`` and ``NaN``.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def number(c: Column) -> Column:
+    """Text as a number; text that is not one from end to end is missing."""
+    return F.when(c.rlike(NUMBER), c.try_cast("double"))
+
+
+def numbers(df: DataFrame, *names: str) -> DataFrame:
+    """Text among the named columns as numbers; columns that are numbers already stay."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({n: number(F.col(n)) for n in names if kinds.get(n) == "string"})
+
+
 def clean_name(name: str) -> str:
     """snake_case: ``Site Name (2024)`` -> ``site_name_2024``, ``% cover`` -> ``percent_cover``."""
     text = name.replace("%", "_percent_").replace("#", "_number_").replace("'", "").replace('"', "")
@@ -44,7 +59,9 @@ def typed(c: Column, target: T.DataType, formats: Sequence[str] = tuple(YEAR_FIR
     if isinstance(target, T.DateType):
         return parse_date(c, formats)
     if isinstance(target, (T.IntegralType,)):
-        return c.try_cast("double").try_cast(target)
+        return number(c).try_cast(target)
+    if isinstance(target, T.NumericType):
+        return number(c).try_cast(target)
     return c.try_cast(target)
 
 
@@ -97,7 +114,7 @@ def infer_schema(df: DataFrame, columns: Sequence[str] | None = None) -> T.Struc
 
     checks = []
     for i, c in enumerate(columns):
-        checks.append(fits(c, F.col(c).try_cast("double")).alias(f"n{i}"))
+        checks.append(fits(c, number(F.col(c))).alias(f"n{i}"))
         checks.append(fits(c, F.try_to_date(F.col(c), "yyyy-MM-dd")).alias(f"d{i}"))
     row = df.agg(*checks).first()
     kinds = []

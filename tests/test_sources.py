@@ -66,8 +66,8 @@ def test_snapshot_versions_and_latest(spark, tmp_path, rows):
     root = str(tmp_path)
     first = spark.createDataFrame([(1,)], "x int")
     snapshot.snapshot(first, root, "Form responses 1", datetime(2025, 1, 1))
-    _, latest = snapshot.snapshot(spark.createDataFrame([(2,)], "x int"), root, "Form responses 1", datetime(2025, 5, 1, 8))
-    assert rows(spark.read.parquet(latest)) == [(2,)]
+    snapshot.snapshot(spark.createDataFrame([(2,)], "x int"), root, "Form responses 1", datetime(2025, 5, 1, 8))
+    assert rows(snapshot.read_latest(spark, root, "Form responses 1")) == [(2,)]
     listing = snapshot.manifest(spark, root, "Form responses 1")
     listing = listing.select(snapshot.parse_stamp(F.col("snapshot_ts").cast("string")).alias("taken"))
     assert listing.count() == 2
@@ -77,11 +77,11 @@ def test_snapshot_versions_and_latest(spark, tmp_path, rows):
 
 def test_failed_snapshot_leaves_latest_alone(spark, tmp_path, rows):
     root = str(tmp_path)
-    _, latest = snapshot.snapshot(spark.createDataFrame([(1,)], "x int"), root, "tab", datetime(2025, 1, 1))
+    snapshot.snapshot(spark.createDataFrame([(1,)], "x int"), root, "tab", datetime(2025, 1, 1))
     broken = spark.range(3).select(F.raise_error(F.lit("mount is missing")).cast("int").alias("x"))
     with pytest.raises(Exception, match="mount is missing"):
         snapshot.snapshot(broken, root, "tab", datetime(2025, 1, 2))
-    assert rows(spark.read.parquet(latest)) == [(1,)]
+    assert rows(snapshot.read_latest(spark, root, "tab")) == [(1,)]
 
 
 def test_retention_counts_whole_days(spark):
