@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.llm import tokens
-from fieldspark.llm.common import landed, slices, workspace
+from fieldspark.llm.common import in_batches, landed, slices, workspace
 from fieldspark.llm.pieces import cut, with_end
 
 #: Bins that a packer holds open, and the pieces that one packer gets.
@@ -72,7 +72,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, longest: int, end_id: int
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, schema)
+    return in_batches(docs.select(F.col("doc_id").cast("long"), "text"), encode, schema, keeps=True)
 
 
 def pack(pieces: DataFrame, capacity: int, open_bins: int = OPEN_BINS, packer_pieces: int = PACKER_PIECES) -> DataFrame:
@@ -102,7 +102,7 @@ def pack(pieces: DataFrame, capacity: int, open_bins: int = OPEN_BINS, packer_pi
             )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return dealt.mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    return in_batches(dealt, place, f"{fields}, sequence_id long, offset long")
 
 
 def pack_documents(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -18,6 +19,8 @@ from fieldspark.session import checkpoint_root
 
 #: Text bytes that a Python worker handles at once.
 SLICE_BYTES = 1 << 20
+#: Bytes of a batch on its way between Spark and a Python worker, where Spark's own default is 64 MB.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
 
 _held: dict = {}
@@ -26,13 +29,48 @@ _held: dict = {}
 def held(key: object, build: Callable[[], object]):
     """A large object that a Python worker keeps between tasks: the latest one only, as workers outlive a step."""
     if key not in _held:
-        _held.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        let_go()
         _held[key] = build()
     return _held[key]
 
 
+def let_go() -> None:
+    """Drop the object that this worker holds."""
+    if _held:
+        _held.clear()
+        hand_back()
+
+
+def hand_back() -> None:
+    """Give freed memory back to the system: workers outlive a step, and an executor's memory is shared by all of them."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def in_batches(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, keeps: bool = False) -> DataFrame:
+    """``mapInArrow`` in bounded memory.
+
+    Batches hold about ``BATCH_BYTES`` at most, unless the session names a bound itself. A step that ``keeps``
+    nothing starts without the ``held`` object of an earlier one, and freed memory is handed back when it ends.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            let_go()
+        try:
+            yield from step(batches)
+        finally:
+            hand_back()
+
+    return df.mapInArrow(bounded, schema)
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's ``spark.checkpoint.dir``; a local one only where that is unset on one machine."""
     fallback = None
@@ -139,7 +177,7 @@ def neighbour_runs(
                     [*columns, "run", "head", "edge"],
                 )
 
-    return dealt.mapInArrow(number, schema)
+    return in_batches(dealt, number, schema)
 
 
 def crossing(numbered: DataFrame, keys: list[str]) -> DataFrame:

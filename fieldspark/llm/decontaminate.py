@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import landed, slices, workspace
+from fieldspark.llm.common import in_batches, landed, slices, workspace
 
 #: Words of benchmark items that are looked up in one pass, which bounds what each task is sent.
 BLOCK_WORDS = 500_000
@@ -81,7 +81,7 @@ def build_index(docs: DataFrame, terms: dict[bytes, int]) -> DataFrame:
             count += 1
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").withColumn("__part", F.spark_partition_id())
-    return rows.mapInArrow(index, INDEX_SCHEMA)
+    return in_batches(rows, index, INDEX_SCHEMA)
 
 
 def term_counts(index: DataFrame) -> DataFrame:
@@ -167,7 +167,7 @@ def find_matches(index: DataFrame, phrases: list[tuple[list[tuple[int, int]], li
         names = ["segment", "ordinal", "doc_id", "n_words", "spans", "items", "near"]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return index.mapInArrow(look_up, MATCH_SCHEMA)
+    return in_batches(index, look_up, MATCH_SCHEMA)
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, width: int = 10, slop: int = 5, block_words: int = BLOCK_WORDS) -> DataFrame:

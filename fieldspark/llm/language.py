@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import held, slices, text_bytes
+from fieldspark.llm.common import held, in_batches, slices, text_bytes
 
 #: Longest context in bytes.
 ORDER = 3
@@ -55,7 +55,7 @@ def context_counts(sample: DataFrame, order: int = ORDER, most_bytes: int = SAMP
                     columns = [pa.array([lang] * m, pa.string()), pa.array(np.full(m, size, np.int32)), pa.array(found >> 8), pa.array((found & 255).astype(np.int32)), pa.array(n.astype(np.int64))]
                     yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "context", "next", "n"])
 
-    counted = sample.select("text", "lang").mapInArrow(count, COUNT_SCHEMA)
+    counted = in_batches(sample.select("text", "lang"), count, COUNT_SCHEMA)
     return counted.groupBy("lang", "size", "context", "next").agg(F.sum("n").alias("n"))
 
 
@@ -189,4 +189,4 @@ def identify(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
                 [*(batch.column(c) for c in columns), pa.array(names, pa.string()), pa.array(scores)], [*columns, "lang_pred", "score"]
             )
 
-    return rows.mapInArrow(score, f"{fields}, lang_pred string, score double")
+    return in_batches(rows, score, f"{fields}, lang_pred string, score double", keeps=True)

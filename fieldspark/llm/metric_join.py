@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import discard, landed, partitions_for, slices, text_bytes, tidy, workspace
+from fieldspark.llm.common import discard, in_batches, landed, partitions_for, slices, text_bytes, tidy, workspace
 from fieldspark.llm.components import connected_components
 from fieldspark.llm.hashing import mix, salt, shingle_sets
 
@@ -112,7 +112,7 @@ def shingle_table(docs: DataFrame, width: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "d1", "d2", "keys", "shared"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(shingle, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, shared array<struct<class:int,n:int>>")
+    return in_batches(rows, shingle, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, shared array<struct<class:int,n:int>>")
 
 
 def region_edges(rows: DataFrame, folder: str, name: str) -> DataFrame:
@@ -145,7 +145,7 @@ def region_edges(rows: DataFrame, folder: str, name: str) -> DataFrame:
             heads = [h for _, h in ends]
             yield _ties(heads, heads, pa.array([k for k, _ in ends], pa.int64()))
 
-    ties = landed(ordered.mapInArrow(tie, "a long, b long, key long"), folder, name)
+    ties = landed(in_batches(ordered, tie, "a long, b long, key long"), folder, name)
     ends = ties.where("key is not null").groupBy("key").agg(F.min("a").alias("a"), F.collect_set("b").alias("b"))
     crossing = ends.where(F.size("b") > 1).select("a", F.explode("b").alias("b")).where("a <> b")
     return ties.where("key is null").select("a", "b").union(crossing).distinct()
@@ -182,7 +182,7 @@ def region_pairs(rows: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
             yield _ties(a, b, pa.nulls(len(a), pa.int64()))
             yield _ties(nodes[large], nodes[large], pa.array(keys[large]))
 
-    found = landed(ordered.mapInArrow(pair, "a long, b long, key long"), folder, "pairs")
+    found = landed(in_batches(ordered, pair, "a long, b long, key long"), folder, "pairs")
     tidy(rows.sparkSession)
     return found.where("key is null").select("a", "b"), found.where("key is not null").select("key", F.col("a").alias("node"))
 
@@ -315,7 +315,7 @@ def _region_links(placed: DataFrame, width: int, percent: int) -> DataFrame:
             tied = roots != nodes
             yield pa.RecordBatch.from_arrays([pa.array([cluster] * int(tied.sum()), pa.int64()), pa.array(roots[tied]), pa.array(nodes[tied])], ["cluster", "a", "b"])
 
-    return placed.mapInArrow(link, "cluster long, a long, b long")
+    return in_batches(placed, link, "cluster long, a long, b long")
 
 
 def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
