@@ -86,6 +86,11 @@ def landed(df: DataFrame, folder: str, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, whatever characters that holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def text_column(name: str = "text") -> Column:
     """A text with null as empty text."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import best_fit, chunk_dedup, content_sort, decontaminate, language, metric_join, sharding, suffixes, token_counts, token_output
+from fieldspark.llm import best_fit, chunk_dedup, content_sort, decontaminate, language, manifest, metric_join, sharding, suffixes, token_counts, token_output
 from fieldspark.llm.common import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,66 @@ def op2(spark: SparkSession, directory: str) -> DataFrame:
 @_query("op8_suffix_sort")
 def op8(spark: SparkSession, directory: str) -> DataFrame:
     return suffixes.substring_dedup(documents(spark, directory)).drop("removed")
+
+
+#: Columns of the registered manifest, in the order of its leaves.
+MANIFEST_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _sql_leaf(n_chars: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text"]
+    shown = [f"coalesce(CAST(octet_length(encode({f})) AS VARCHAR) || ':' || {f}, '-')" for f in fields]
+    return f"sha256({' || '.join(shown)})"
+
+
+@_query(
+    "op11_merkle_climb",
+    f"""
+    WITH RECURSIVE summed AS (
+        -- CRC-32 of the decimal identifier: each byte is mixed in, then shifted out bit by bit (-1 stands for a shift)
+        SELECT *, xor(list_reduce(
+                list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384::BIGINT * (c & 1)) END), 4294967295::BIGINT) AS crc
+        FROM documents
+    ), leaves AS (
+        SELECT doc_id, lang, {_sql_leaf("n_chars")} AS leaf, {_sql_leaf("n_chars + CASE WHEN crc % 7 = 0 THEN 1 ELSE 0 END")} AS presented FROM summed
+    ), placed AS (
+        SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS part, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS position,
+               count(*) OVER (PARTITION BY lang) AS n
+        FROM leaves
+    ), built AS (
+        SELECT part, 0 AS level, position, leaf AS digest, n FROM placed
+        UNION ALL
+        SELECT part, level + 1, position // 2, sha256(string_agg(digest, '' ORDER BY position)), (n + 1) // 2
+        FROM built WHERE n > 1 GROUP BY part, level, position // 2, n
+    ), subroots AS (
+        SELECT part, level AS height, digest AS subroot FROM built WHERE n = 1
+    ), topped AS (
+        SELECT 0 AS level, part AS position, subroot AS digest, (SELECT count(*) FROM subroots) AS n FROM subroots
+        UNION ALL
+        SELECT level + 1, position // 2, sha256(string_agg(digest, '' ORDER BY position)), (n + 1) // 2 FROM topped WHERE n > 1 GROUP BY level, position // 2, n
+    ), nodes AS (
+        SELECT part, level, position, digest, n FROM built WHERE n > 1
+        UNION ALL
+        SELECT s.part, s.height + t.level, t.position + 1099511627776, t.digest, t.n FROM subroots s, topped t WHERE t.n > 1
+    ), climb AS (
+        SELECT p.doc_id, p.part, 0 AS level, CASE WHEN p.n = 1 THEN p.part + 1099511627776 ELSE p.position END AS position, p.leaf, p.presented AS folded, '' AS siblings, s.height FROM placed p JOIN subroots s USING (part)
+        UNION ALL
+        SELECT c.doc_id, c.part, c.level + 1,
+               CASE WHEN c.level + 1 = c.height THEN c.part + 1099511627776 WHEN c.position >= 1099511627776 THEN (c.position - 1099511627776) // 2 + 1099511627776 ELSE c.position // 2 END,
+               c.leaf,
+               CASE WHEN c.position % 2 = 1 THEN sha256(o.digest || c.folded) ELSE sha256(c.folded || coalesce(o.digest, '')) END,
+               c.siblings || coalesce(o.digest, ''), c.height
+        FROM climb c JOIN nodes m ON m.part = c.part AND m.level = c.level AND m.position = c.position
+        LEFT JOIN nodes o ON o.part = c.part AND o.level = c.level AND o.position = xor(c.position, 1)
+    )
+    SELECT c.doc_id, c.leaf, s.subroot, t.digest AS root, sha256(c.siblings) AS proof_sha256, c.folded AS folded_root, c.folded = t.digest AS verified
+    FROM climb c JOIN subroots s ON c.part = s.part JOIN topped t ON t.n = 1 AND c.level = s.height + t.level
+    """,
+)
+def op11(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory)
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    presented = manifest.digest_of(MANIFEST_COLUMNS, {"n_chars": F.col("n_chars") + tampered.cast("long")})
+    built = manifest.build_manifest(docs, MANIFEST_COLUMNS, "lang", workspace(spark, "manifest"), keep={"presented": presented})
+    return manifest.climb(built, "presented").withColumnRenamed("id", "doc_id")
