@@ -3,8 +3,9 @@
 Rows are leaves, gathered in groups and ordered within them; runs of nodes become parents until one is left, and
 the groups' roots become one in the same way. The levels are stored as parent-linked rows: a row names the node that it
 leads to and holds the siblings met on the way, several levels in one row, so that a climb through twenty levels takes
-four steps. ``climb`` is a recursive query that goes up from every leaf at once, appends those siblings and
-folds the digest that is presented for the leaf, which only the right one turns into the root.
+three steps. ``climb`` is a recursive query that goes up from every leaf at once, appends those siblings and
+folds the digest that is presented for the leaf, which only the right one turns into the root. Digests are stored as bytes
+and hashed as hex text.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ from pyspark.sql import functions as F
 
 from fieldspark.llm.common import landed, partitions_for, quoted
 
-#: Most members of a block: the nodes that one group holds while a stretch of levels is built.
-BLOCK = 64
-STEPS = "array<struct<before:string,after:string>>"
+#: Most members of a block: the nodes that one group holds while a stretch of levels is built, and the leaves of a shard.
+BLOCK = 1024
+STEPS = "array<struct<before:binary,after:binary>>"
 ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
 
 
@@ -29,11 +30,14 @@ class Manifest:
     """A built manifest, on tables in the shared folder.
 
     ``leaves``: ``part, position, id, leaf``, what was kept, and the first ``steps`` with the ``parent`` they lead to.
-    ``nodes``: the rows above, ``part, shard, hop, node, parent, steps``. ``parts``: a row for each group, ``part, name, size, hops, subroot, top, root``.
+    ``nodes``: the rows above, ``part, shard, hop, node, parent, steps``, for each shard of ``width`` leaves the path above it.
+    ``parts``: a row for each group, ``part, name, size, hops, subroot``. ``hops`` of the top tree and the ``root`` digest.
     """
 
     folder: str
     width: int
+    top: int
+    root: bytes | None
     leaves: DataFrame
     nodes: DataFrame
     parts: DataFrame
@@ -90,18 +94,19 @@ def _block_levels(members: DataFrame, extra: list[str], most: int, fanout: int)
         f"r -> sha2(array_join(slice(d, r * {fanout} + 1, {fanout}), ''), 256))"
     )
     tree = (
-        "aggregate(sequence(1, to.l), array(transform(members, m -> m.digest)), "
+        "aggregate(sequence(1, to.l), array(transform(members, m -> lower(hex(m.digest)))), "
         f"(t, i) -> concat(t, array(transform(array(element_at(t, -1)), d -> {above})[0])))"
     )
-    blocks = blocks.withColumn("tree", F.expr(tree)).withColumn("up", F.expr("element_at(tree, -1)[0]"))
-    rows = blocks.select("part", "n", "block", "to", "tree", "up", F.posexplode("members").alias("i", "member"))
+    blocks = blocks.withColumn("tree", F.expr(tree)).withColumn("up", F.expr("unhex(element_at(tree, -1)[0])"))
     place = f"cast(i div cast(pow({fanout}, j) AS int) AS int)"
     siblings = (
         f"transform(sequence(0, to.l - 1), j -> struct("
-        f"array_join(slice(tree[j], {place} - {place} % {fanout} + 1, {place} % {fanout}), '') AS before, "
-        f"array_join(slice(tree[j], {place} + 2, {fanout} - 1 - {place} % {fanout}), '') AS after))"
+        f"unhex(array_join(slice(tree[j], {place} - {place} % {fanout} + 1, {place} % {fanout}), '')) AS before, "
+        f"unhex(array_join(slice(tree[j], {place} + 2, {fanout} - 1 - {place} % {fanout}), '')) AS after))"
     )
-    return rows.select("part", "n", "block", F.col("to.n").alias("left"), "up", "member.*", F.expr(siblings).cast(STEPS).alias("steps"))
+    # the steps are worked out inside the block, so that its tree is not copied to each row
+    rows = blocks.select("part", "n", "block", F.col("to.n").alias("left"), "up", F.explode(F.expr(f"transform(members, (m, i) -> struct(m, {siblings} AS steps))")).alias("row"))
+    return rows.select("part", "n", "block", "left", "up", "row.m.*", F.col("row.steps").cast(STEPS).alias("steps"))
 
 
 def _hops(members: DataFrame, extra: list[str], most: int, fanout: int, folder: str, name: str) -> list[DataFrame]:
@@ -126,7 +131,7 @@ def build_manifest(
     A leaf is ``digest_of(columns)``. The leaves of a value of ``group`` ascend by ``id_column`` (then by leaf, so that rows equal
     in both are interchangeable); groups ascend by value in UTF-8 bytes; nulls come first and are a group of their own.
     While several nodes remain, each ``fanout`` consecutive ones become the SHA-256 of their hex digests, one after another; the last
-    run may hold fewer, even one. ``keep`` names further values stored with each leaf. No rows give empty tables. Only the
+    run may hold fewer, even one. ``keep`` names further digests (hex) stored with each leaf. No rows give empty tables. Only the
     columns named are read, whatever else the table holds.
     """
     most = 1
@@ -136,7 +141,7 @@ def build_manifest(
         most += 1
     width, keep = fanout**most, keep or {}
     kept = [f"keep_{i}" for i in range(len(keep))]
-    rows = docs.select(quoted(group).alias("name"), quoted(id_column).alias("id"), digest_of(columns).alias("digest"), *[c.alias(k) for c, k in zip(keep.values(), kept)])
+    rows = docs.select(quoted(group).alias("name"), quoted(id_column).alias("id"), F.unhex(digest_of(columns)).alias("digest"), *[F.unhex(c).alias(k) for c, k in zip(keep.values(), kept)])
     rows = numbered(landed(rows, folder, "rows"), ["name"], ["id", "digest"], folder, "ordered")
     groups = rows.where("position = 0").select("name", F.col("n").alias("size"), F.lit(0).alias("one"))
     names = landed(numbered(groups, ["one"], ["name"], folder, "names").select("name", "size", F.col("position").alias("part")), folder, "groups")
@@ -151,14 +156,12 @@ def build_manifest(
         climbing = first.union(climbing)
     for i, hop in enumerate(hops):
         subroots = subroots.union(hop.where("left = 1 and position = 0").select("part", F.lit(i + 1), "up"))
-    parts = landed(names.join(subroots, "part"), folder, "subroots")
+    parts = landed(names.join(subroots, "part"), folder, "parts")
     members = parts.select(F.lit(-1).cast("long").alias("part"), F.lit(parts.count()).cast("long").alias("n"), F.col("part").alias("position"), F.col("subroot").alias("digest"))
     tops = _hops(members, [], most, fanout, folder, "top")
-    last = tops[-1].where("left = 1").select("up") if tops else parts.select("subroot")
-    root = last.first()
-    parts = parts.select("*", F.lit(len(tops)).alias("top"), F.lit(root[0] if root else None).cast("string").alias("root"))
+    root = (tops[-1].where("left = 1").select("up") if tops else parts.select("subroot")).first()
     nodes = landed(_dealt(hops, tops, parts, width), folder, "nodes")
-    return Manifest(folder, width, climbing.withColumnsRenamed(dict(zip(kept, keep))), nodes, landed(parts, folder, "parts"))
+    return Manifest(folder, width, len(tops), bytes(root[0]) if root else None, climbing.withColumnsRenamed(dict(zip(kept, keep))), nodes, parts)
 
 
 def _parent() -> Column:
@@ -169,49 +172,43 @@ def _parent() -> Column:
 def _dealt(hops: list[DataFrame], tops: list[DataFrame], parts: DataFrame, width: int) -> DataFrame:
     """The rows above the first hop, ``part, shard, hop, node, parent, steps``.
 
-    A shard is a stretch of ``width`` squared leaves. Each has the whole path above it to itself, so the rows near the root are
+    A shard is a stretch of ``width`` leaves. Each has the whole path above it to itself, so the rows near the root are
     repeated for every shard, and a climb never brings more leaves than those of one shard to one key.
     """
-    shards = parts.where("hops < 3").select("part", F.lit(0).cast("long").alias("shard"))
-    if len(hops) > 2:
-        shards = shards.union(hops[2].select("part", "position"))
-    out = []
+    none = F.lit(None).cast("long")
+    shards = parts.where("hops < 2").select("part", F.lit(0).cast("long").alias("shard"))
+    if len(hops) > 1:
+        shards = shards.union(hops[1].select("part", "position"))
+    out = [parts.select("part", none.alias("shard"), F.lit(0).alias("hop"), none.alias("node"), none.alias("parent"), F.lit(None).cast(STEPS).alias("steps")).where(F.lit(False))]
     for h, hop in enumerate(hops[1:], 1):
         rows = hop.select("part", F.lit(h).alias("hop"), F.col("position").alias("node"), _parent(), "steps")
-        if h <= 2:
-            dealt = rows.withColumn("shard", F.expr(f"node div {width}") if h == 1 else F.col("node"))
-        else:
-            under = shards.withColumn("node", F.expr(f"shard div {width ** (h - 2)}"))
-            dealt = under.join(rows, ["part", "node"])
-        out.append(dealt)
+        out.append(shards.withColumn("node", F.expr(f"shard div {width ** (h - 1)}")).join(rows, ["part", "node"]))
     for t, top in enumerate(tops):
         rows = top.select(F.col("position").alias("node"), F.col("block").alias("parent"), "steps")
         under = shards.join(parts.select("part", "hops"), "part").withColumn("node", F.expr(f"part div {width ** t}"))
         out.append(under.withColumn("hop", F.col("hops") + t).join(rows, "node"))
-    columns = ["part", "shard", "hop", "node", "parent", "steps"]
-    if not out:
-        return parts.select("part", F.lit(0).cast("long").alias("shard"), F.lit(0).alias("hop"), F.col("part").alias("node"), F.col("part").alias("parent"), F.lit(None).cast(STEPS).alias("steps")).where(F.lit(False))
-    return reduce(DataFrame.union, [x.select(*columns) for x in out])
+    return reduce(DataFrame.union, [x.select("part", "shard", "hop", "node", "parent", "steps") for x in out])
 
 
-_FOLD = "aggregate({steps}, {start}, (h, s) -> sha2(concat(s.before, h, s.after), 256))"
-_PROOF = "array_join(transform({steps}, s -> concat(s.before, s.after)), '')"
+_FOLD = "aggregate({steps}, {start}, (h, s) -> unhex(sha2(concat(lower(hex(s.before)), lower(hex(h)), lower(hex(s.after))), 256)))"
+_SIBLINGS = "aggregate({steps}, {start}, (b, s) -> concat(b, s.before, s.after))"
 
 #: The climb of every leaf at once. A row is a leaf on its way: where it stands, what it folded to, the siblings so far.
 CLIMB = f"""
-    WITH RECURSIVE climb (id, part, shard, hop, node, leaf, folded, siblings) AS (
-        SELECT id, part, position div {{shard_leaves}}, hop, parent, leaf,
-               coalesce({_FOLD.format(steps="steps", start="presented")}, presented),
-               coalesce({_PROOF.format(steps="steps")}, '')
-        FROM {{leaves}}
+    WITH RECURSIVE climb (id, part, shard, hop, last, node, leaf, folded, siblings) AS (
+        SELECT l.id, l.part, l.position div {{width}}, l.hop, p.hops + {{top}}, l.parent, l.leaf,
+               {_FOLD.format(steps="coalesce(l.steps, array())", start="l.presented")},
+               {_SIBLINGS.format(steps="coalesce(l.steps, array())", start="X''")}
+        FROM {{leaves}} l JOIN {{parts}} p ON l.part = p.part
         UNION ALL
-        SELECT c.id, c.part, c.shard, c.hop + 1, n.parent, c.leaf,
+        SELECT c.id, c.part, c.shard, c.hop + 1, c.last, n.parent, c.leaf,
                {_FOLD.format(steps="n.steps", start="c.folded")},
-               concat(c.siblings, {_PROOF.format(steps="n.steps")})
+               {_SIBLINGS.format(steps="n.steps", start="c.siblings")}
         FROM climb c JOIN {{nodes}} n ON n.part = c.part AND n.shard = c.shard AND n.hop = c.hop AND n.node = c.node
+        WHERE c.hop < c.last
     )
-    SELECT c.id, c.leaf, p.subroot, p.root, sha2(c.siblings, 256) AS proof_sha256, c.siblings, c.folded AS folded_root
-    FROM climb c JOIN {{parts}} p ON c.part = p.part AND c.hop = p.hops + p.top
+    SELECT c.id, lower(hex(c.leaf)) AS leaf, lower(hex(p.subroot)) AS subroot, lower(hex(c.siblings)) AS siblings, lower(hex(c.folded)) AS folded_root
+    FROM climb c JOIN {{parts}} p ON c.part = p.part WHERE c.hop = c.last
 """
 
 
@@ -225,8 +222,12 @@ def climb(manifest: Manifest, presented: str = "leaf", siblings: bool = False) -
     """
     spark = manifest.nodes.sparkSession
     leaves = manifest.leaves.withColumn("presented", quoted(presented)) if presented != "presented" else manifest.leaves
-    found = spark.sql(CLIMB, leaves=leaves, nodes=manifest.nodes, parts=manifest.parts, shard_leaves=manifest.width**2)
-    found = found.withColumn("verified", F.coalesce(F.col("folded_root") == F.col("root"), F.lit(False)))
+    found = spark.sql(CLIMB, leaves=leaves, nodes=manifest.nodes, parts=manifest.parts, width=manifest.width, top=manifest.top)
+    root = F.lit(manifest.root.hex() if manifest.root else None).cast("string")
+    found = found.select(
+        "id", "leaf", "subroot", root.alias("root"), F.sha2("siblings", 256).alias("proof_sha256"), "folded_root",
+        F.coalesce(F.col("folded_root") == root, F.lit(False)).alias("verified"), "siblings",
+    )
     before = spark.conf.get(ROW_LIMIT)
     spark.conf.set(ROW_LIMIT, "-1")
     try:
