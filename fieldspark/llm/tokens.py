@@ -1,9 +1,9 @@
-"""Token ids of whole texts by the tokenizers library, with a bounded memory of the pieces between spaces.
+"""Token ids of whole texts, exactly as the tokenizers library gives them for a tokenizer file.
 
-Both supported kinds cut a text at spaces before they merge, so the ids of a text are the ids of its pieces one
-after another: byte-level BPE with its own pattern (a piece keeps the space before it) and lower-case BPE with
-word ends (white space is dropped). The library encodes each piece that is not remembered. A tokenizer of any other kind
-encodes whole texts.
+Byte-pair encoding needs only the order of the merges. For two kinds of file the vocabulary is in that order, and the
+texts go to a faster encoder over the same vocabulary: byte-level BPE with its own pattern, and lower-case BPE with
+word ends, whose texts are first normalised and cut here. A file of any other kind, and a text whose characters the
+two libraries may class differently, is encoded by the tokenizers library.
 """
 
 from __future__ import annotations
@@ -12,144 +12,129 @@ import hashlib
 import json
 import os
 import re
+import unicodedata
 from array import array
-from itertools import chain, islice
 
-import numpy as np
+import regex
+import tiktoken
 
 from fieldspark.llm.common import held
 
-#: Pieces and plain words that one Python worker remembers, and the longest of them.
-MOST_PIECES, LONGEST_PIECE = 200_000, 64
-#: A space that surely ends a token of byte-level BPE: one between two other characters.
-LONE_SPACE, NOT_LONE = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s | \s")
-#: Marks after a word that both kinds of tokenizer take as a token of their own run.
-MARKS = ".,;:!?"
+ID_BYTES = 4
+
+# fixed values: how these two kinds of tokenizer cut a text
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
+#: The same for a lower-case text of the first 256 characters, spelt out so that the faster standard library can run it.
+_LETTERS, _DIGITS, _SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", r" \t-\r\x85\xa0"
+LATIN_PATTERN = rf"[{_LETTERS}]+|[{_DIGITS}]|'(?:s|t|re|ve|m|ll|d)|[^{_SPACES}{_LETTERS}{_DIGITS}]+"
+
+#: Characters that old and new versions of Unicode class alike and whose lower case does not depend on what follows.
+SETTLED = re.compile("[^\\x00-\u03a2\u03a4-\u0557\u1e00-\u208e\u20a0-\ua7ca\uac00-\ud7a3]")
+BEYOND_LATIN = re.compile("[^\\x00-\xff]")
+#: What ends a word on its way to the encoder; words themselves hold no white space.
+LINE = "\n"
 
 #: How byte-level vocabularies show bytes: printable ones as themselves, the others in order from 256 on.
 BYTE_LETTERS = dict(zip((b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)), range(256, 512)))
+_LETTER_BYTES = {chr(BYTE_LETTERS.get(b, b)): b for b in range(256)}
+
+
+def entry_bytes(entry: str) -> bytes:
+    """The bytes that a byte-level vocabulary entry stands for."""
+    return bytes(map(_LETTER_BYTES.__getitem__, entry))
+
 
+class TextTokenizer:
+    """``encode(texts)`` gives the ids of each text as little-endian unsigned 32-bit bytes; no special tokens are added.
 
-class PieceTokenizer:
-    """``encode(texts)`` gives the ids of each text as little-endian unsigned 32-bit bytes; no special tokens are added."""
+    With ``special`` their strings inside a text count as the library counts them, without they are ordinary text.
+    """
 
-    def __init__(self, path: str, most: int = MOST_PIECES):
+    def __init__(self, path: str, special: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = not special
         with open(path, encoding="utf-8") as file:
-            self.kind = _kind(json.load(file))
-        self.most = most
-        self.known: dict = {}
-        self._words: dict[str, bytes] = {}
-        self._marks: dict[str, bytes] = {}
+            spec = json.load(file)
+        self.kind = _kind(spec)
+        self.vocabulary, self._added = spec["model"]["vocab"], {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
+        self._special = set(self._added) if special else set()
+        if self.kind == "bytes":
+            ranks = {entry_bytes(e): i for e, i in self.vocabulary.items() if e not in self._added}
+            self._fast = tiktoken.Encoding("byte-level", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens=self._added)
+        elif self.kind == "words":
+            ranks = {}
+            for entry, i in self.vocabulary.items():
+                if entry not in self._added:
+                    end = entry.endswith(WORD_END)
+                    ranks[entry_bytes(entry.removesuffix(WORD_END)) + LINE.encode() * end] = i
+            # a line end is never a token of its own here, as it first merges with the byte before it
+            ranks[LINE.encode()] = len(self.vocabulary)
+            self._fast = tiktoken.Encoding("words", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={})
+            self._words, self._latin_words = regex.compile(WORD_PATTERN), re.compile(LATIN_PATTERN)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if self.kind == "whole":
-            return [_packed(e.ids) for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        if self.kind == "bytes":
+            fast, special = self._fast.encode_to_numpy, self._special
+            return [fast(t, allowed_special=special, disallowed_special=()).tobytes() for t in texts]
         if self.kind == "words":
-            lists = [t.replace("\n", " ").split(" ") for t in texts]
+            return [self._of_words(t) for t in texts]
+        return [_packed(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _of_words(self, text: str) -> bytes:
+        if any(s in text for s in self._added):
+            return _packed(self.library.encode(text, add_special_tokens=False).ids)
+        if not BEYOND_LATIN.search(text):
+            words = self._latin_words.findall(text.lower())
+        elif not SETTLED.search(text):
+            words = self._words.findall(unicodedata.normalize("NFC", text).lower())
         else:
-            lists = [_spaced(t) for t in texts]
-        long = self._learn(set(chain.from_iterable(lists)))
-        out = [b"".join(map(self.known.__getitem__, pieces)) for pieces in lists]
-        for p in long:
-            del self.known[p]
-        return out
-
-    def _learn(self, wanted: set) -> list:
-        """Make all wanted pieces known; returns those too long to stay so."""
-        missing = wanted.difference(self.known)
-        if missing and len(self.known) + len(missing) > self.most:
-            self.known = _older_half(self.known)
-            missing = wanted.difference(self.known)
-        if len(self._words) > self.most:
-            self._words = _older_half(self._words)
-        long, together = [], []
-        for p in missing:
-            if isinstance(p, tuple) or len(p) > LONGEST_PIECE or p == "":
-                text = p[0] if isinstance(p, tuple) else " " + p if self.kind == "bytes" else p
-                self.known[p] = self._library(text)
-                if len(text) > LONGEST_PIECE:
-                    long.append(p)
-                continue
-            word = p.rstrip(MARKS)
-            if word.isalpha() and max(word) <= "\xff":
-                self.known[p] = self._word(word) + self._mark(p[len(word) :])
-            else:
-                together.append(p)
-        for i in range(0, len(together), 20_000):
-            self._encode_joined(together[i : i + 20_000])
-        return long
-
-    def _word(self, word: str) -> bytes:
-        """A run of Latin letters, which for both kinds is a token run of its own and normal already but for its case."""
-        word = word.lower() if self.kind == "words" else " " + word
-        found = self._words.get(word)
-        if found is None:
-            shown = word if self.kind == "words" and word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
-            found = self._words[word] = _packed([t.id for t in self.library.model.tokenize(shown)])
-        return found
-
-    def _mark(self, marks: str) -> bytes:
-        found = self._marks.get(marks)
-        if found is None:
-            found = self._library(marks)
-            if len(marks) < 4:
-                self._marks[marks] = found
-        return found
-
-    def _encode_joined(self, pieces: list[str]) -> None:
-        starts = np.cumsum([0] + [len(p) + 1 for p in pieces])
-        encoded = self.library.encode(" " + " ".join(pieces), add_special_tokens=False)
-        ids = np.array(encoded.ids, np.uint32)
-        at = np.array(encoded.offsets, np.int64).reshape(-1, 2)[:, 0]
-        cuts = np.searchsorted(at, starts)
-        for j, p in enumerate(pieces):
-            self.known[p] = ids[cuts[j] : cuts[j + 1]].tobytes()
-
-    def _library(self, text: str) -> bytes:
-        return _packed(self.library.encode(text, add_special_tokens=False).ids)
-
-
-def _older_half(known: dict) -> dict:
-    """The pieces met first: the frequent ones."""
-    return dict(islice(known.items(), len(known) // 2))
+            return _packed(self.library.encode(text, add_special_tokens=False).ids)
+        if not words:
+            return b""
+        words.append("")
+        return self._fast.encode_to_numpy(LINE.join(words), disallowed_special=()).tobytes()
 
 
 def _kind(spec: dict) -> str:
-    """How a tokenizer file lets texts be cut; anything not recognised is encoded whole."""
-    pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
-    tokens = spec.get("added_tokens") or []
-    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in tokens):
+    """Which encoder gives the library's ids for a tokenizer file; anything not recognised is left to the library."""
+    pre, norm, model = spec.get("pre_tokenizer") or {}, spec.get("normalizer"), spec.get("model") or {}
+    added = [t["content"] for t in spec.get("added_tokens") or []]
+    plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec.get("added_tokens") or [])
+    apart = not any(a != b and a in b for a in added for b in added)
+    if not (plain and apart and model.get("type") == "BPE" and not model.get("ignore_merges") and not model.get("dropout")):
         return "whole"
-    if norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre["add_prefix_space"]:
-        return "bytes"
+    suffix = model.get("end_of_word_suffix")
+    if norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre["add_prefix_space"] and not suffix:
+        return "bytes" if _in_merge_order(model, 256) else "whole"
     parts = pre.get("pretokenizers") or [{}]
     steps = [n["type"] for n in (norm or {}).get("normalizers", [])]
-    split = parts[0]
-    drops = split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert")
-    if drops and r"[^\s\p{L}\p{N}]+" in split["pattern"].get("Regex", "") and steps == ["NFC", "Replace", "Lowercase"]:
-        return "words"
+    split, last = parts[0], parts[-1]
+    drops = split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") and split["pattern"].get("Regex") == WORD_PATTERN
+    level = last.get("type") == "ByteLevel" and not last.get("add_prefix_space") and not last.get("use_regex")
+    if drops and level and len(parts) == 2 and steps == ["NFC", "Replace", "Lowercase"] and suffix == WORD_END:
+        return "words" if _in_merge_order(model, 512) else "whole"
     return "whole"
 
 
-def _spaced(text: str) -> list:
-    """The pieces of a text; the first, which has no space before it, in a tuple to tell it apart."""
-    odd = text[:1].isspace() or text[-1:].isspace() or NOT_LONE.search(text)
-    pieces = LONE_SPACE.split(text) if odd else text.split(" ")
-    pieces[0] = (pieces[0],)
-    return pieces
+def _in_merge_order(model: dict, first: int) -> bool:
+    """Whether the ids from ``first`` on are those of the merges, in their order, so that an id is a rank."""
+    vocabulary, merges = model["vocab"], model["merges"]
+    joined = ("".join(m if isinstance(m, list) else m.split(" ")) for m in merges)
+    return all(vocabulary.get(entry) == first + i for i, entry in enumerate(joined))
 
 
 def _packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
-def tokenizer(path: str) -> PieceTokenizer:
+def tokenizer(path: str, special: bool = True) -> TextTokenizer:
     """One tokenizer for each worker process."""
-    return held(("tokenizer", path), lambda: PieceTokenizer(path))
+    return held(("tokenizer", path, special), lambda: TextTokenizer(path, special))
 
 
 def version(path: str) -> str:

@@ -16,26 +16,53 @@ from tokenizers import Tokenizer
 from fieldspark.llm import best_fit, decontaminate, language, sharding, token_counts, token_output
 from fieldspark.llm.common import workspace
 from fieldspark.llm.queries import held_out, language_model
-from fieldspark.llm.tokens import PieceTokenizer
+from fieldspark.llm.tokens import TextTokenizer
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 PIECES = [
     "a", "B", "é", "é", "́", " ", "  ", "   ", "\n", " \n", "\t", "\x85", "\xa0", "　", "'s", "'S", "don't", "12", "<|endoftext|>",
-    "<|startoftext|>", "!", "?", "Σ", "İ", "ß", "漢字", "😀", "\x1c", "​", "\r\n", "Hello", "world,", "x" * 80, "µ", "ª",
+    "<|startoftext|>", "!", "?", "Σ", "İ", "ß", "漢字", "😀", "\x1c", "​", "\r\n", "Hello", "world,", "x" * 80, "µ", "ª", "for.\nWhb", "ende\nAnfang", "\n\n",
 ]
 
 
-@pytest.fixture(scope="module", params=[WORDS, BYTES])
-def pieces(request):
-    return PieceTokenizer(request.param, most=40)
+@pytest.fixture(scope="module", params=[(WORDS, True), (BYTES, True), (WORDS, False), (BYTES, False)], ids=str)
+def encoder(request):
+    return TextTokenizer(*request.param)
 
 
 @settings(max_examples=300, deadline=None)
 @given(parts=st.lists(st.sampled_from(PIECES), max_size=30))
-def test_pieces_give_the_library_s_ids(pieces, parts):
+def test_encoder_gives_the_library_s_ids(encoder, parts):
     text = "".join(parts)
-    want = pieces.library.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(pieces.encode([text, text[::2]])[0], np.uint32).tolist() == want
+    want = encoder.library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode([text, text[::2]])[0], np.uint32).tolist() == want
+
+
+def test_encoder_gives_the_library_s_ids_for_every_character(encoder):
+    """Each character between letters, digits, spaces and marks, and twice in a row."""
+    assert encoder.kind != "whole"
+    for block in range(0, 0x110000, 2048):
+        chars = [chr(c) for c in range(block, block + 2048) if not 0xD800 <= c <= 0xDFFF]
+        texts = [f"a{c}b 1{c}2 {c}{c} {c}\n.{c}." for c in chars]
+        if block >= 0x20000:  # beyond, blocks are alike: every 16th character
+            texts = texts[::16]
+        want = [np.array(e.ids, np.uint32).tobytes() for e in encoder.library.encode_batch_fast(texts, add_special_tokens=False)]
+        assert encoder.encode(texts) == want
+
+
+def test_other_kinds_are_left_to_the_library(tmp_path):
+    """A file whose ids are not in the order of its merges is encoded by the library itself."""
+    import json
+
+    with open(BYTES, encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["model"]["merges"][10], spec["model"]["merges"][11] = spec["model"]["merges"][11], spec["model"]["merges"][10]
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    other = TextTokenizer(str(path))
+    assert other.kind == "whole"
+    text = "The committee's reports\n\nwere 12 pages"
+    assert np.frombuffer(other.encode([text])[0], np.uint32).tolist() == Tokenizer.from_file(str(path)).encode(text).ids
 
 
 def ids_of(path, docs):
