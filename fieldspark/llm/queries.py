@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import best_fit, chunk_dedup, content_sort, decontaminate, language, manifest, metric_join, sharding, suffixes, token_counts, token_output
+from fieldspark.llm import alignment, best_fit, chunk_dedup, content_sort, decontaminate, language, manifest, metric_join, sharding, suffixes, token_counts, token_output
 from fieldspark.llm.common import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,9 @@ def op11(spark: SparkSession, directory: str) -> DataFrame:
     presented = manifest.digest_of(MANIFEST_COLUMNS, {"n_chars": F.col("n_chars") + tampered.cast("long")})
     built = manifest.build_manifest(docs, MANIFEST_COLUMNS, "lang", workspace(spark, "manifest"), keep={"presented": presented})
     return manifest.climb(built, "presented").withColumnRenamed("id", "doc_id")
+
+
+@_query("op12_identity_alignment")
+def op12(spark: SparkSession, directory: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_tokenizers(documents(spark, directory), a, b).documents
