@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldspark.llm import alignment, best_fit, chunk_dedup, content_sort, decontaminate, language, manifest, metric_join, sharding, suffixes, token_counts, token_output
+from fieldspark.llm import alignment, best_fit, chunk_dedup, content_sort, decontaminate, language, license_scan, manifest, metric_join, sharding, suffixes, token_counts, token_output
 from fieldspark.llm.common import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,8 @@ def op11(spark: SparkSession, directory: str) -> DataFrame:
 def op12(spark: SparkSession, directory: str) -> DataFrame:
     a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment.align_tokenizers(documents(spark, directory), a, b).documents
+
+
+@_query("op13_fuzzy_notices")
+def op13(spark: SparkSession, directory: str) -> DataFrame:
+    return license_scan.summary(license_scan.scan_licenses(documents(spark, directory)))
