@@ -504,14 +504,9 @@ def rate_boxes(t):
 )
 def explore_summary(t):
     form = count_form(t)
-    typed = form.withColumns(
-        {
-            **{c: F.col(c).try_cast("double") for c in ex.URCHIN_COLUMNS},
-            "substrate_type": squish("substrate_type"),
-        }
-    )
+    squished = form.withColumn("substrate_type", squish("substrate_type"))
     chosen = ex.select_counts(
-        ex.prepare_counts(typed), first=date(2024, 1, 5), last=date(2024, 1, 25),
+        ex.prepare_counts(squished), first=date(2024, 1, 5), last=date(2024, 1, 25),
         substrate_type=["Benthic", "suspended"], location=None,
     )
     taxa = ["total_urchins", "number_of_bivalves", "number_of_crabs"]

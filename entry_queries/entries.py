@@ -106,7 +106,7 @@ def missing_rows(t):
     return de.quadrat_missing_keys(_quadrats(t, "F"), _quadrats(t, "O"), each_row=True)
 
 
-def _species_rows(t, status, types, **extra):
+def _species_rows(t, status, types, unique=False, **extra):
     raw = _lines(t).where(F.col("l_linestatus") == status).select(
         F.concat(F.lit("REC"), text_of("l_orderkey")).alias("site"),
         F.expr(_SITE_TYPE).alias("site_type"),
@@ -119,7 +119,7 @@ def _species_rows(t, status, types, **extra):
         text_of("l_quantity").alias("count"),
         *[c.alias(n) for n, c in extra.items()],
     )
-    return de.prepare_entry(raw, types, example_row=False, unique=types is not de.STAR_TYPES)
+    return de.prepare_entry(raw, types, example_row=False, unique=unique)
 
 
 _SPECIES = f"""
@@ -146,10 +146,10 @@ def distinct_entry_diff(t):
     return de.size_differences(*entries, year=1998)
 
 
-def _swaths(t):
+def _swaths(t, unique=False):
     return [
         _species_rows(
-            t, s, de.SWATH_TYPES,
+            t, s, de.SWATH_TYPES, unique,
             stipe_counts_macrocystis_only=text_of(F.nullif("l_tax", F.lit(0.0)) * 100),
             subsample_meter=text_of("l_discount"),
         )
@@ -204,7 +204,7 @@ def full_join_diff_missing(t):
        SELECT *, '' AS resolved FROM d WHERE coalesce(n_plants_diff, total_stipes_diff) IS NOT NULL""",
 )
 def grouped_entry_diff(t):
-    return de.swath_total_differences(*_swaths(t), taxon="R", year=1999)
+    return de.swath_total_differences(*_swaths(t, unique=True), taxon="R", year=1999)
 
 
 @query(

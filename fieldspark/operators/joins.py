@@ -77,8 +77,7 @@ def missing_keys(
     occurs.
     """
     if each_row:
-        known = right.select(*keys).distinct()
-        one = join_suffix(left.select(*keys), known, keys, "left_anti")
+        one = join_suffix(left.select(*keys), right.select(*keys), keys, "left_anti")
         if not both:
             return one
         other = missing_keys(right, left, keys, each_row=True)
@@ -104,4 +103,4 @@ def keep_members(
     """Rows whose key occurs in the (optionally filtered) lookup."""
     (a, b), = key_pairs([key])
     chosen = lookup if where is None else lookup.where(where)
-    return df.join(chosen.select(F.col(b).alias("__member")).distinct(), F.col(a) == F.col("__member"), "left_semi")
+    return df.join(chosen.select(F.col(b).alias("__member")), F.col(a) == F.col("__member"), "left_semi")

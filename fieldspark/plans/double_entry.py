@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldspark.fixed_values import CANOPY_TAXON, QUADRAT_OFFICE_COLUMNS, SPECIES_OFFICE_COLUMNS, UNNAMED_COLUMNS
 from fieldspark.functions.dates import in_year
-from fieldspark.functions.nulls import diff_text, sum0
+from fieldspark.functions.nulls import diff_text, differs, present, sum0
 from fieldspark.functions.text import site_code, strip_side
-from fieldspark.operators.joins import join_suffix, missing_keys
+from fieldspark.operators.joins import missing_keys
 from fieldspark.sources.landed import ROW_ID, drop_first_row
 from fieldspark.sources.typing import apply_schema
 
@@ -41,6 +41,8 @@ SWATH_TYPES = T.StructType(
 STAR_TYPES = T.StructType([*SIZE_TYPES.fields, T.StructField("diet", T.StringType())])
 #: Row pairs that one task writes at a time.
 PAIR_CHUNK = 65_536
+#: Distinct values of a key, of each entry, that are compared at a time.
+PAIR_BLOCK = 256
 
 
 def prepare_entry(
@@ -79,6 +81,7 @@ def compare_entries(
     year: int | None = None,
     date_column: str | None = None,
     pairs: str = "count",
+    unique: bool = False,
 ) -> DataFrame:
     """Value differences on shared keys, as text ``first ≠ second``.
 
@@ -88,9 +91,14 @@ def compare_entries(
     ``missing_in``. ``year`` keeps one year of ``date_column``.
 
     Where a key is repeated, every pair of its rows is compared. Rows equal in key and compared
-    values are counted first and joined as one, so copies of a key do not multiply in the join;
+    values are counted first and compared as one, so copies of a key do not multiply;
     the result has one row per distinct difference with the number of row pairs behind it in
     ``n_pairs``. With ``pairs="rows"`` each pair is a row of its own instead.
+
+    With ``unique``, rows of an entry that agree in all columns are one row.
+
+    Both entries are stacked and shuffled twice: by key and values to count copies, then by key. There is no join. The distinct
+    values of a key meet in blocks of ``PAIR_BLOCK``, so no row holds more of them, however many a key has.
     """
     if pairs not in ("count", "rows"):
         raise ValueError("pairs must be 'count' or 'rows'")
@@ -100,32 +108,62 @@ def compare_entries(
         first, second = (d.where(in_year(date_column, year)) for d in (first, second))
 
     numeric = {f.name for f in first.schema if isinstance(f.dataType, T.NumericType)}
-    counted = [
-        d.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("__n")) for d in (first, second)
-    ]
-    joined = join_suffix(*counted, keys, "full" if report_missing else "inner", ("__1", "__2"))
-    diffs = {
-        out: diff_text(f"{c}__1", f"{c}__2", numeric=c in numeric, null_aware=null_aware)
-        for c, out in names.items()
-    }
-    both = F.col("__n__1").isNotNull() & F.col("__n__2").isNotNull()
-    result = joined.select(
+    # a fraction among the keys goes as text, in which Spark sees one partitioning through all steps
+    fractions = {f.name: f.dataType for f in first.schema if f.name in keys and isinstance(f.dataType, T.FractionalType)}
+    texts = {c: (F.col(c) + F.lit(0.0)).cast("string") for c in fractions}
+    sides = [(d if unique else d.select(*keys, *names)).withColumn("__side", F.lit(i)).withColumns(texts) for i, d in enumerate((first, second))]
+    stacked = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    # equal rows are counted as one before anything is brought together by key
+    counted = (stacked.distinct() if unique else stacked).groupBy(*keys, "__side", *names).agg(F.count(F.lit(1)).alias("__n"))
+    of_key = Window.partitionBy(*keys).orderBy("__side")
+    whole = of_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = counted.withColumns(
+        {
+            "__n1": F.count_if(F.col("__side") == 0).over(whole),
+            "__n2": F.count_if(F.col("__side") == 1).over(whole),
+            "__at": F.row_number().over(of_key) - 1,
+        }
+    )
+    if not report_missing:
+        placed = placed.where("__n1 > 0 and __n2 > 0")
+    # values of a key meet block by block: the first entry's in blocks i, the second's in blocks j
+    is_first, block = F.col("__side") == 0, F.floor(F.when(F.col("__side") == 0, F.col("__at")).otherwise(F.col("__at") - F.col("__n1")) / PAIR_BLOCK)
+    others = F.greatest(F.lit(1), F.ceil(F.when(is_first, F.col("__n2")).otherwise(F.col("__n1")) / PAIR_BLOCK))
+    spread = placed.select(
+        *keys, "__side", F.struct(*names, "__n").alias("__v"), block.alias("__own"), F.explode(F.sequence(F.lit(0).cast("bigint"), others - 1)).alias("__other")
+    )
+    blocks = spread.groupBy(
+        *keys, F.when(is_first, F.col("__own")).otherwise(F.col("__other")).alias("__i"), F.when(is_first, F.col("__other")).otherwise(F.col("__own")).alias("__j")
+    ).agg(F.collect_list(F.when(is_first, F.col("__v"))).alias("__1"), F.collect_list(F.when(~is_first, F.col("__v"))).alias("__2"))
+    met = blocks.select(*keys, F.explode_outer("__1").alias("__1"), "__2").select(*keys, "__1", F.explode_outer("__2").alias("__2"))
+    both = F.col("__1").isNotNull() & F.col("__2").isNotNull()
+    unlike = [both & _unlike(f"__1.{c}", f"__2.{c}", c in numeric, null_aware) for c in names]
+    found = reduce(lambda a, b: a | b, [*unlike, *([~both] if report_missing else [])])
+    result = met.where(found).select(
         *keys,
-        *[F.when(both, d).alias(out) for out, d in diffs.items()],
-        *([F.when(F.col("__n__2").isNull(), "second").when(F.col("__n__1").isNull(), "first").alias("missing_in")]
-          if report_missing else []),
-        (F.coalesce("__n__1", F.lit(1)) * F.coalesce("__n__2", F.lit(1))).alias("n_pairs"),
+        *[
+            F.when(both, diff_text(f"__1.{c}", f"__2.{c}", numeric=c in numeric, null_aware=null_aware)).alias(out)
+            for c, out in names.items()
+        ],
+        *([F.when(F.col("__2").isNull(), "second").when(F.col("__1").isNull(), "first").alias("missing_in")] if report_missing else []),
+        (F.coalesce("__1.__n", F.lit(1)) * F.coalesce("__2.__n", F.lit(1))).alias("n_pairs"),
     )
     told = [*names.values(), *(["missing_in"] if report_missing else [])]
-    result = result.where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in told]))
+    numbers = {c: F.col(c).cast(kind) for c, kind in fractions.items()}
     if pairs == "count":
-        return result.groupBy(*keys, *told).agg(F.sum("n_pairs").alias("n_pairs"))
+        return result.groupBy(*keys, *told).agg(F.sum("n_pairs").alias("n_pairs")).withColumns(numbers)
     # chunks of pairs are dealt to all tasks before they become rows, so no row holds a list of all pairs of a key
     tasks = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n_pairs") - 1) / PAIR_CHUNK))
     dealt = result.select(*keys, *told, "n_pairs", F.explode(chunks).alias("__chunk")).repartition(tasks, *keys, "__chunk")
     size = F.least(F.lit(PAIR_CHUNK), F.col("n_pairs") - F.col("__chunk") * PAIR_CHUNK).cast("int")
-    return dealt.withColumn("__i", F.explode(F.sequence(F.lit(1), size))).select(*keys, *told)
+    return dealt.withColumn("__i", F.explode(F.sequence(F.lit(1), size))).select(*keys, *told).withColumns(numbers)
+
+
+def _unlike(a: str, b: str, numeric: bool, null_aware: bool) -> Column:
+    """Whether ``diff_text`` tells a difference, without writing it out."""
+    x, y = (present(c) if numeric else F.col(c) for c in (a, b))
+    return differs(x, y) if null_aware else F.coalesce(x != y, F.lit(False))
 
 
 def pair_counts(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -166,11 +204,11 @@ def quadrat_missing_keys(
 
 
 def size_differences(
-    first: DataFrame, second: DataFrame, year: int | None = 2025, pairs: str = "count"
+    first: DataFrame, second: DataFrame, year: int | None = 2025, pairs: str = "count", unique: bool = True
 ) -> DataFrame:
-    """Counts per species and size; both entries prepared with ``unique=True``."""
+    """Counts per species and size. Rows entered twice over count once, whether or not ``prepare_entry`` has dropped them."""
     return compare_entries(
-        first, second, SIZE_KEYS, ["count"], year=year, date_column="date", pairs=pairs
+        first, second, SIZE_KEYS, ["count"], year=year, date_column="date", pairs=pairs, unique=unique
     )
 
 
@@ -180,11 +218,11 @@ def swath_differences(
     excluded: str = CANOPY_TAXON,
     report_missing: bool = False,
     pairs: str = "count",
+    unique: bool = True,
 ) -> DataFrame:
     """Stipes, counts and subsample length of all species but one.
 
-    Only keys present in both entries can differ, so an inner join gives the whole answer unless
-    one-sided keys are asked for.
+    Only keys present in both entries can differ; one-sided keys come only if asked for. Rows entered twice over count once.
     """
     first, second = (d.where(F.col("species") != excluded) for d in (first, second))
     names = {
@@ -192,7 +230,7 @@ def swath_differences(
         "count": "count_diff",
         "subsample_meter": "subsample_diff",
     }
-    return compare_entries(first, second, SPECIES_KEYS, names, report_missing=report_missing, pairs=pairs)
+    return compare_entries(first, second, SPECIES_KEYS, names, report_missing=report_missing, pairs=pairs, unique=unique)
 
 
 def entry_totals(

@@ -34,14 +34,16 @@ def by_event(deployment: Column | str, collection: Column | str, survey: Column
 
 def standardise_form(form: DataFrame, aliases=EFFORT_SITE_ALIASES) -> DataFrame:
     """One date, site, sample list and note per form row. Stateless, so it also runs on a stream."""
-    kind_known = form.withColumn("event_record", squish_to_null("event_record"))
+    # dates are read here, once for each cell, and only passed on from here
+    moments, days = {"timestamp": moment_of(form, "timestamp")}, {c: day_of(form, c) for c in ("date_deployed", "date_collected")}
+    kind_known = form.withColumns({"event_record": squish_to_null("event_record"), **moments, **days})
     site = by_event("site_9", "site_5", "site_surveyed", "site_5", "site_9", "site_surveyed")
     notes = by_event("notes_11", "notes_7", "notes_13", "notes_7", "notes_11", "notes_13")
-    days = {c: day_of(form, c) for c in ("date_deployed", "date_collected", "timestamp")}
-    day = by_event(*(days[c] for c in ("date_deployed", "date_collected", "timestamp", "date_collected", "date_deployed", "timestamp")))
+    sent = F.to_date("timestamp")
+    day = by_event("date_deployed", "date_collected", sent, "date_collected", "date_deployed", sent)
     extra = [c for c in (ROW_ID,) if c in form.columns]
     return kind_known.select(
-        moment_of(form, "timestamp").alias("timestamp"),
+        "timestamp",
         squish_to_null("email_address").alias("email_address"),
         "event_record",
         day.alias("event_date"),

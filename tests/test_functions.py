@@ -104,6 +104,44 @@ def test_dates(spark):
     }
 
 
+#: Every form with good, bad and borderline text.
+WRITTEN = [
+    "2024-01-05", "2024-1-5", "2024/2/30", "2024/2/29", "20240105", "20241305", "2024-01-05 10:11:12", "2024-01-05T10:11:12", "2024-01-05T10:11:12.123",
+    "2024-01-05 25:11:12", "1/5/2024", "13/5/2024", "1-5-2024", "1/5/2024 9:05", "1/5/2024 9:05:59", "1/5/2024 24:05", "2024", "2024-05", " 2024-01-05",
+    "2024-01-05 ", "rubbish", "", "2024-01-05 1:02:03", "2024-13-01", "2024-02-29\n", "2023-02-29", "12/31/1999", "5d", "7F", None, "2024-01-05 10:11",
+    "99999-01-01", "+2024-01-01", "2024-01-05Z", "2/30/2024", "1/5/24", "2024-00-10", "0/5/2024",
+]
+
+
+def test_one_parse_reads_what_a_parse_for_each_form_reads(spark):
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(WRITTEN)], "i int, c string")
+    moments = [*d.MOMENTS, *d.YEAR_FIRST, *d.MONTH_FIRST]
+    by_form = {
+        "any": (d.parse_date("c", d.ANY_DATE), F.coalesce(*[F.try_to_date("c", f) for f in d.ANY_DATE])),
+        "year_first": (d.parse_date("c"), F.coalesce(*[F.try_to_date("c", f) for f in d.YEAR_FIRST])),
+        "moment": (d.parse_moment("c"), F.coalesce(*[F.try_to_timestamp(F.col("c"), F.lit(f)) for f in moments])),
+    }
+    for name, (got, want) in by_form.items():
+        for r in df.select("c", got.alias("got"), want.alias("want")).collect():
+            assert r.got == r.want, (name, r)
+
+
+def test_forms_given_by_the_caller(spark):
+    df = spark.createDataFrame([("31/1/2024",), ("2/1/2024",), ("5 Jan 2024",), ("1/31/2024",)], "c string")
+    read = lambda *forms: [r.x for r in df.select(d.day_of(df, "c", forms).alias("x")).collect()]
+    assert read("d/M/yyyy") == [date(2024, 1, 31), date(2024, 1, 2), None, None]
+    # the first form that can be meant is taken; a form with a month's name is left to the parser
+    assert read("M/d/yyyy", "d/M/yyyy", "d MMM yyyy") == [date(2024, 1, 31), date(2024, 2, 1), date(2024, 1, 5), date(2024, 1, 31)]
+
+
+def test_a_cell_is_parsed_once(spark):
+    """The plan holds one pattern for a date column, whatever the number of forms and of columns built on it."""
+    df = spark.createDataFrame([("2024-01-05",)], "c string").withColumn("day", d.parse_date("c", d.ANY_DATE))
+    df = df.select("day", F.coalesce("day", F.current_date()).alias("x"), F.when(F.col("day") > date(2024, 1, 1), F.col("day")).alias("y"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace") == 1 and "gettimestamp" not in plan
+
+
 def test_models(spark):
     got = one(
         spark, small=m.biomass_g(F.lit(1.0)), none=m.biomass_g(F.lit(None).cast("double")),

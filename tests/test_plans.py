@@ -1,5 +1,6 @@
 """The survey jobs on small hand-made tables, quirks included."""
 
+import math
 import random
 from collections import Counter
 from datetime import date, datetime
@@ -74,6 +75,74 @@ def test_labels_follow_the_argument_order(spark):
     assert de.compare_entries(b, a, ["k"], ["v"]).first().v_diff == "2 ≠ 1"
 
 
+def brute_differences(a, b, null_aware, report_missing):
+    """Rows (key, difference, missing_in) with the number of pairs behind them; a value may be missing or not a number."""
+    plain = lambda v: None if v is None or math.isnan(v) else v
+    shown = lambda v: "NA" if v is None else str(int(v)) if v == int(v) else str(v)
+    want = Counter()
+    for k, v in a:
+        for j, w in b:
+            if k != j:
+                continue
+            x, y = plain(v), plain(w)
+            if x != y and (null_aware or None not in (x, y)):
+                want[k, f"{shown(x)} ≠ {shown(y)}", None] += 1
+    if report_missing:
+        known = [{k for k, _ in rows} for rows in (a, b)]
+        for rows, other, side in ((a, known[1], "second"), (b, known[0], "first")):
+            want.update((k, None, side) for k, _ in rows if k not in other)
+    return want
+
+
+@pytest.mark.parametrize("block", [2, 256])
+@pytest.mark.parametrize("null_aware, report_missing", [(False, False), (True, False), (False, True), (True, True)])
+def test_blocks_compare_every_pair_of_a_key(spark, monkeypatch, block, null_aware, report_missing):
+    """A hot key with many distinct values, keys that are fractions or missing, copies, and values that are missing or not numbers."""
+    monkeypatch.setattr(de, "PAIR_BLOCK", block)
+    rng = random.Random(block)
+    key = lambda: 0.5 if rng.random() < 0.4 else rng.choice([None, 1.0, 2.25, 1e-7, 1e20, rng.random()])
+    value = lambda: rng.choice([None, float("nan"), 0.25, *map(float, range(9))])
+    a, b = ([(key(), value()) for _ in range(n)] for n in (60, 45))
+    frames = [spark.createDataFrame(x, "k double, v double") for x in (a, b)]
+    got = de.compare_entries(*frames, ["k"], ["v"], null_aware=null_aware, report_missing=report_missing)
+    found = {(r.k, r.v_diff, r["missing_in"] if report_missing else None): r.n_pairs for r in got.collect()}
+    assert found == dict(brute_differences(a, b, null_aware, report_missing))
+
+
+def test_pairs_over_several_chunks(spark, monkeypatch):
+    monkeypatch.setattr(de, "PAIR_CHUNK", 7)
+    a = spark.createDataFrame([("k", 1.0)] * 9 + [("k", 2.0)], "k string, v double")
+    b = spark.createDataFrame([("k", 3.0)] * 11, "k string, v double")
+    each = Counter(tuple(r) for r in de.compare_entries(a, b, ["k"], ["v"], pairs="rows").collect())
+    assert each == {("k", "1 ≠ 3"): 99, ("k", "2 ≠ 3"): 11}
+
+
+def test_tiny_numbers_and_negative_zero(spark, rows):
+    a = spark.createDataFrame([(0.0, 1e-15), (1.0, 1.5e-7), (2.0, 3.0)], "k double, v double")
+    b = spark.createDataFrame([(-0.0, 2e-15), (1.0, 1.5e-7), (2.0, 3.0000000000000004)], "k double, v double")
+    assert rows(de.compare_entries(a, b, ["k"], ["v"]), "k", "v_diff") == [
+        (0.0, "0.000000000000001 ≠ 0.000000000000002"), (2.0, "3 ≠ 3.0000000000000004"),
+    ]
+
+
+def test_rows_that_differ_in_their_notes_stay_two(spark):
+    schema = "site string, site_type string, zone string, date string, transect string, depth string, depth_units string, species string, size string, count string, notes string"
+    row = ("REC1", "FOR", "deep", "2025-07-01", "1", "10", "m", "S", "7")
+    first = spark.createDataFrame([(*row, "1", "a"), (*row, "1", "b"), (*row, "1", "b")], schema)
+    second = spark.createDataFrame([(*row, "2", "c")], schema)
+    first, second = (de.prepare_entry(d, de.SIZE_TYPES, example_row=False) for d in (first, second))
+    assert [(r.count_diff, r.n_pairs) for r in de.size_differences(first, second).collect()] == [("1 ≠ 2", 2)]
+    assert [r.n_pairs for r in de.size_differences(first, second, unique=False).collect()] == [3]
+
+
+@pytest.mark.parametrize("unique, most", [(False, 2), (True, 3)])
+def test_comparison_shuffles_twice(spark, unique, most):
+    frames = [spark.range(10).selectExpr("cast(id AS double) AS k", "id AS v", "id AS w") for _ in range(2)]
+    got = de.compare_entries(*frames, ["k"], ["v"], unique=unique)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == most and "Join" not in plan
+
+
 SWATH = """site string, site_type string, zone string, date string, transect string, depth string,
   depth_units string, species string, stipe_counts_macrocystis_only string, count string, subsample_meter string"""
 
@@ -355,6 +424,25 @@ def test_daily_mean_and_fine_grid(spark, rows):
 
 
 # --- explorers ----------------------------------------------------------------------------------
+def test_text_columns_reach_the_explorer_as_they_were_typed(spark):
+    """``5d`` and ``7F`` are no numbers, though a plain cast reads them as such."""
+    columns = ["collection_date", "location", "substrate_type", *ex.COUNT_COLUMNS]
+    row = dict.fromkeys(columns) | {"collection_date": "2024-01-05", "location": "Kelp forest 1", "substrate_type": "Benthic"}
+    forms = [row | {ex.URCHIN_COLUMNS[0]: v} for v in ("5d", "7F", "NaN", " 3 ", "1e1")]
+    form = spark.createDataFrame([tuple(r[c] for c in columns) for r in forms], ", ".join(f"{c} string" for c in columns))
+    assert sorted(r.total_urchins for r in ex.prepare_counts(form).collect()) == [0, 0, 0, 3, 10]
+    assert sorted(r[ex.URCHIN_COLUMNS[0]] or 0 for r in rc.clean_counts(form.withColumns(dict.fromkeys(("timestamp", "sorting_date", "name_of_person_sorting_first_last", "notes", "sample_number"), F.lit(None).cast("string")))).collect()) == [0, 0, 0, 3, 10]
+
+
+def test_rubbish_dates_become_missing_in_every_plan(spark):
+    columns = ["timestamp", "email_address", "event_record", "date_deployed", "date_collected", "site_5", "site_9", "site_surveyed", "samples_deployed", "samples_collected", "notes_7", "notes_11", "notes_13"]
+    row = dict.fromkeys(columns) | {"event_record": "Deployment", "site_9": "KF1", "samples_deployed": "benthic brush 1"}
+    written = {"2025-02-30": None, "7/4/2025": date(2025, 7, 4), "soon": None, "2025-07-04 08:00:00": date(2025, 7, 4), "": None}
+    form = spark.createDataFrame([tuple((row | {"date_deployed": w, "timestamp": w, "notes_11": w})[c] for c in columns) for w in written], ", ".join(f"{c} string" for c in columns))
+    got = {r.notes or "": (r.event_date, r.timestamp and r.timestamp.date()) for r in ef.standardise_form(form).collect()}
+    assert got == {w: (day, day) for w, day in written.items()}
+
+
 def test_explorers(spark, rows):
     counts = spark.createDataFrame([
         (datetime(2026, 1, 1), "Kelp Forest 1 Deep", "benthic", 1.0, None, 2.0),

@@ -1,6 +1,7 @@
 """Every registered query beside its SQL on the smallest tables, and the shape of its plan."""
 
 import os
+import re
 import sys
 
 import pytest
@@ -32,6 +33,20 @@ def test_plan_has_no_cross_join_and_no_python(spark, name):
     assert not [p for p in UNWANTED if p in plan]
 
 
+@pytest.mark.parametrize("name, most", [("count_summary", 2), ("cpue", 4), ("soak_time", 2), ("collapse_events", 2)])
+def test_dates_are_parsed_once(spark, name, most):
+    """Plans hold one pattern for each date column of a form, and none of the calls that fail by exception."""
+    plan = QUERIES[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
+    assert "gettimestamp" not in plan
+    assert len(re.findall(r"regexp_replace\([^()]*, \\A", plan)) <= most
+
+
+@pytest.mark.parametrize("name, most", [("double_entry_diff", 2), ("two_field_diff", 2), ("distinct_entry_diff", 3), ("full_join_diff", 3), ("full_join_diff_missing", 3)])
+def test_reconciliation_shuffles(spark, name, most):
+    plan = QUERIES[name](spark, DIRECTORY)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= most
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
