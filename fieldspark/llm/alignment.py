@@ -3,7 +3,8 @@
 A text is cut into groups wherever tokens of both end at one byte. Most groups hold one token of each, with the same bytes:
 an array made beforehand names for every id of A the id of B with its bytes, and such groups are counted in a vector
 as long as the vocabulary, one for each task. Only the other groups' id pairs are shuffled, a row for each pair and
-slice of the corpus. Every slice is then sent the counts of its own pairs back.
+slice of the corpus. Every slice is then sent the counts of its own pairs back, and meets there the pairs that each of its texts
+holds, with how often, which is all that is kept of a text.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldspark.llm.common import held, in_batches, landed, slices, workspace
-from fieldspark.llm.tokens import ID_BYTES, TextTokenizer, entry_bytes
+from fieldspark.llm.tokens import TextTokenizer, entry_bytes
 
 #: Text bytes of a slice.
 SLICE_BYTES = 2 << 20
@@ -28,8 +29,9 @@ WRITTEN_LINKS = 256
 
 PARTS_SCHEMA = (
     "kind string, slice long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-    "a_ids binary, b_ids binary, keys array<long>, docs array<long>"
+    "exact binary, exact_times binary, pairs binary, pairs_times binary, keys array<long>, docs array<long>"
 )
+_LINKS = ["exact", "exact_times", "pairs", "pairs_times"]
 RESULT_SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
@@ -53,7 +55,6 @@ class Pair:
         by_bytes |= {p: i for i, p in enumerate(self.b_bytes) if not self.b.is_byte(i)}
         self.same = np.array([by_bytes.get(p, -1) for p in self.a_bytes], np.int64)
         self.width = len(self.b_bytes)
-        self.small = max(len(self.a_bytes), self.width) <= 1 << 16
         self._flat = [_flat(self.a_bytes), _flat(self.b_bytes)]
         # decimal ids: of A before a comma, then before the bar; of B before a comma, then before the semicolon
         self._shown = [f"{i}{c}".encode() for n, ends in ((len(self.a_bytes), ",|"), (self.width, ",;")) for c in ends for i in range(n)]
@@ -150,6 +151,25 @@ class Aligned:
             parts.append((np.full(len(keys), self.text[g]), keys, (n_a[:, None] * n_b).ravel()))
         return tuple(np.concatenate(x) for x in zip(*parts))
 
+    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text the distinct pairs of the map, as ``text * vocabulary + a``, and the others, as ``text * vocabulary * width + pair``,
+        both in order and with how often they are linked. A pair of the map counts as such wherever it stands."""
+        pair, size = self.pair, len(self.pair.a_bytes)
+        text, ids = self.exact_ids()
+        other, keys, times = self.irregular_links()
+        mapped = pair.same[keys // pair.width] == keys % pair.width
+        exact = np.concatenate([text * size + ids, other[mapped] * size + keys[mapped] // pair.width])
+        exact = _counted(exact, np.concatenate([np.ones(len(ids), np.int64), times[mapped]]))
+        return *exact, *_counted(other[~mapped] * (size * pair.width) + keys[~mapped], times[~mapped])
+
+
+def _counted(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of their times."""
+    order = np.argsort(keys, kind="stable")
+    keys, times = keys[order], times[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(times, first) if len(first) else times
+
 
 def _sums(text: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Sums of whole numbers by text; the texts ascend."""
@@ -167,24 +187,20 @@ def _encoded(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(a_path, b_path)
-        kind = np.uint16 if pair.small else np.uint32
         vector = np.zeros(len(pair.a_bytes), np.int64)
         place = TaskContext.get().partitionId() << 32
         for batch in slices(batches, "text", SLICE_BYTES):
             a, b = pair.encode([t or "" for t in batch.column("text").to_pylist()])
             aligned = pair.align(a, b)
-            text, ids = aligned.exact_ids()
-            other, keys, _ = aligned.irregular_links()
-            # a pair of the map counts with the exact ones wherever it stands, once for a text
-            mapped = pair.same[keys // pair.width] == keys % pair.width
-            exact = np.unique(np.concatenate([text * len(vector) + ids, other[mapped] * len(vector) + keys[mapped] // pair.width]))
+            exact, exact_times, keys, times = aligned.links()
             vector += np.bincount(exact % len(vector), minlength=len(vector))
             span = len(vector) * pair.width
-            keys, docs = np.unique(np.unique(other[~mapped] * span + keys[~mapped]) % span, return_counts=True)
-            packed = [[x.astype(kind).tobytes() for x in np.split(ids, np.cumsum(n)[:-1])] for ids, n in (a, b)]
-            columns = [batch.column("doc_id").to_pylist(), *aligned.counts(), pair.shown(aligned), *packed]
-            yield _parts("doc", place, batch.num_rows, dict(zip(["doc_id", *_COUNTS, "groups_sha256", "a_ids", "b_ids"], columns)))
-            yield _parts("pairs", place, 1, {"keys": [keys], "docs": [docs]})
+            known, docs = np.unique(keys % span, return_counts=True)
+            parts = _packed(exact // len(vector), exact % len(vector), exact_times, len(vector), batch.num_rows)
+            parts += _packed(keys // span, np.searchsorted(known, keys % span), times, len(known), batch.num_rows)
+            columns = [batch.column("doc_id").to_pylist(), *aligned.counts(), pair.shown(aligned), *parts]
+            yield _parts("doc", place, batch.num_rows, dict(zip(["doc_id", *_COUNTS, "groups_sha256", *_LINKS], columns)))
+            yield _parts("pairs", place, 1, {"keys": [known], "docs": [docs]})
             place += 1
         found = np.flatnonzero(vector)
         yield _parts("same", place, 1, {"keys": [found], "docs": [vector[found]]})
@@ -241,31 +257,34 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str) -> Alignment:
     links = links.union(spark.createDataFrame(mapped, "a_id long, b_id long, documents long, best boolean"))
 
     def score(own: pa.Table, theirs: pa.Table) -> pa.Table:
-        pair = _pair(a_path, b_path)
-        ids = [_ids(own.column(c), np.uint16 if pair.small else np.uint32) for c in ("a_ids", "b_ids")]
-        aligned = pair.align(*ids)
         order = np.argsort(theirs.column("keys").to_numpy())
-        known, n, best = (theirs.column(c).to_numpy()[order] for c in ("keys", "n", "best"))
-        text, exact = aligned.exact_ids()
-        n_best, count_sum = (_sums(text, x, aligned.texts) for x in (vectors[0, exact] == vectors[1, exact], vectors[0, exact]))
-        text, keys, times = aligned.irregular_links()
-        order = np.argsort(text, kind="stable")
-        text, keys, times = text[order], keys[order], times[order]
-        ids = keys // pair.width
-        mapped = pair.same[ids] == keys % pair.width
-        at = np.searchsorted(known, keys[~mapped])
-        count, good = vectors[0, ids], vectors[0, ids] == vectors[1, ids]
-        count[~mapped], good[~mapped] = n[at], best[at]
-        n_best += _sums(text, good * times, aligned.texts)
-        count_sum += _sums(text, count * times, aligned.texts)
+        n, best = (theirs.column(c).to_numpy()[order].astype(np.int64) for c in ("n", "best"))
+        n_best, count_sum = np.zeros((2, own.num_rows), np.int64)
+        for name, count, good in (("exact", vectors[0], (vectors[0] == vectors[1]).astype(np.int64)), ("pairs", n, best)):
+            text, ids, times = _unpacked(own.column(name), own.column(f"{name}_times"), len(count))
+            n_best += _sums(text, good[ids] * times, own.num_rows)
+            count_sum += _sums(text, count[ids] * times, own.num_rows)
         columns = [own.column(c) for c in ("doc_id", *_COUNTS)] + [pa.array(n_best), pa.array(count_sum), own.column("groups_sha256")]
         return pa.table(columns, names=[f.split()[0] for f in RESULT_SCHEMA.split(", ")])
 
-    own = parts.where("kind = 'doc'").select("slice", "doc_id", *_COUNTS, "groups_sha256", "a_ids", "b_ids")
+    own = parts.where("kind = 'doc'").select("slice", "doc_id", *_COUNTS, "groups_sha256", *_LINKS)
     return Alignment(own.groupBy("slice").cogroup(back.groupBy("of")).applyInArrow(score, RESULT_SCHEMA), links)
 
 
-def _ids(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts and how many each has, from packed ids."""
-    lists = [np.frombuffer(x, kind) for x in column.to_pylist()]
-    return np.concatenate(lists).astype(np.int64), np.array([len(x) for x in lists], np.int64)
+def _kind(most: int) -> type:
+    """The narrowest of a few number types for values below ``most``."""
+    return next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(k).max + 1)
+
+
+def _packed(text: np.ndarray, ids: np.ndarray, times: np.ndarray, most: int, n: int) -> list[list[bytes]]:
+    """For each text its ids, and how often it has each, as bytes; the texts ascend, ids are below ``most``."""
+    cuts = np.searchsorted(text, np.arange(1, n))
+    return [[x.tobytes() for x in np.split(ids.astype(_kind(most)), cuts)], [x.astype(_kind(int(x.max(initial=0)) + 1)).tobytes() for x in np.split(times, cuts)]]
+
+
+def _unpacked(ids: pa.ChunkedArray, times: pa.ChunkedArray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The inverse of ``_packed``: texts, ids and how often."""
+    lists = [np.frombuffer(x, _kind(most)) for x in ids.to_pylist()]
+    sizes = np.array([len(x) for x in lists], np.int64)
+    often = [np.frombuffer(t, f"u{len(t) // n}") if n else np.zeros(0, np.uint8) for t, n in zip(times.to_pylist(), sizes.tolist())]
+    return np.repeat(np.arange(len(lists)), sizes), np.concatenate(lists).astype(np.int64), np.concatenate(often).astype(np.int64)
