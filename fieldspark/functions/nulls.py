@@ -18,6 +18,12 @@ def present(c: Column | str) -> Column:
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
 
 
+def finite(c: Column | str) -> Column:
+    """A numeric value with NaN and the two infinities as missing, as charts and their statistics mean it."""
+    c = as_column(c)
+    return F.when(F.abs(c) < float("inf"), c)
+
+
 def sum0(c: Column | str) -> Column:
     """Sum without missing values; a group with none left sums to zero."""
     return F.coalesce(F.sum(present(c)), F.lit(0))

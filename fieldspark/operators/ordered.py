@@ -1,32 +1,35 @@
 """Running totals and exact quantiles that do not sort a whole group in one task.
 
-Values are laid into cells that keep their order: equal steps of ``log(1 + |x| / unit)``, so a cell
-spans a fixed share of its value and no pass over the data is needed to place it. Only per-cell
-totals are ever ordered across a group, and those are bounded by the range of the numbers (about
-4,000 cells per doubling); rows are ordered within a cell.
+Values are laid into cells that keep their order. The cells are cut from the data: a sketch of each group gives splitters
+between which about equally many values lie, wherever and however densely they lie. The splitters only spread the work;
+what is in a cell is counted exactly. Only per-cell totals are ever ordered across a group, and a group has no more than ``CELLS``;
+rows are ordered within a cell.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldspark.functions.nulls import as_column, present
+from fieldspark.functions.nulls import finite
 from fieldspark.operators.joins import join_suffix
 
-CELLS_PER_DOUBLING = 4096
-UNIT = 1e-3
-#: Infinite values lie in the cell of the largest number, so they are ordered like any other.
-LARGEST = 1e300
+#: Cells of a group, and neighbouring splitters that are looked at together.
+CELLS, BLOCK = 256, 16
 
 
-def order_cell(value: Column | str, unit: float = UNIT) -> Column:
-    """A whole number that never falls as the value rises."""
-    x = as_column(value).cast("double")
-    size = F.least(F.abs(x), F.lit(LARGEST))
-    return F.signum(x).cast("bigint") * F.floor(F.log2(1 + size / F.lit(unit)) * CELLS_PER_DOUBLING)
+def with_cells(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Adds ``__cell``, which never falls as the value rises within a key; of few values each has a cell of its own."""
+    x = F.col(value).cast("double")
+    shares = [i / CELLS for i in range(1, CELLS)]
+    splitters = df.groupBy(*keys).agg(F.array_sort(F.array_distinct(F.percentile_approx(x, shares, 16 * CELLS))).alias("__split"))
+    # the last of each block first, then the splitters of one block
+    splitters = splitters.withColumn("__last", F.filter("__split", lambda s, i: i % BLOCK == BLOCK - 1))
+    blocks = F.size(F.filter("__last", lambda s: s < x))
+    inside = F.size(F.filter(F.slice("__split", blocks * BLOCK + 1, BLOCK), lambda s: s < x))
+    return join_suffix(df, splitters, keys).withColumn("__cell", blocks * BLOCK + inside).drop("__split", "__last")
 
 
 def _cell_starts(celled: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
@@ -48,7 +51,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, weight: str) -
     ``order`` must be unique within a key and not missing; ``weight`` is an integer column, so
     the sums are exact whatever the order of addition.
     """
-    celled = df.withColumn("__cell", order_cell(order))
+    celled = with_cells(df, keys, order)
     starts = _cell_starts(celled, keys, weight).drop("__in_cell")
     within = (
         Window.partitionBy(*keys, "__cell").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -63,8 +66,8 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, weight: str) -
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Rows per key and non-missing value, as ``__n``; NaN is missing."""
-    return df.where(present(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    """Rows per key and value, as ``__n``; missing, NaN and infinite values are left out."""
+    return df.where(finite(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
 
 
 def quantiles_of_counts(
@@ -78,7 +81,7 @@ def quantiles_of_counts(
     ``probs`` maps output names to probabilities. Only the cells that hold a wanted rank have
     their values put in order.
     """
-    celled = counts.withColumn("__cell", order_cell(value))
+    celled = with_cells(counts, keys, value)
     starts = _cell_starts(celled, keys, "__n")
     position = {name: F.lit(float(p)) * (F.col("__total") - 1) for name, p in probs.items()}
     ranks = [r for p in position.values() for r in (F.floor(p), F.ceil(p))]

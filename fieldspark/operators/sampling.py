@@ -14,8 +14,8 @@ from fieldspark.operators.ordered import running_total
 # probabilities are held as whole numbers of 2^-40, so cumulative sums are exact and leave no gap
 FIXED_POINT = 1 << 40
 SIZES_PER_CELL = 16
-# copies of each range under different keys: chunks of draws of one group go to different ones
-SALTS = 16
+# draws of a group for each place where they meet its ranges
+PLACE_DRAWS = 65_536
 
 
 def hashed_uniform(group: Column, i: Column) -> Column:
@@ -49,33 +49,41 @@ def weighted_sample(
 
     Draws are made in chunks spread over all tasks, so one large group is many tasks' work. A
     draw finds its size by an equi-join on a hash of group and cell of the cumulative range, with
-    group and exact range as residual. A size is listed once per cell it touches and salt, and a group has
-    a cell per few sizes, so no distribution is held whole by a row or task. The salt comes from group and chunk, so
-    the draws of one large group, and of all groups on the fallback, meet the ranges in several places.
+    group and exact range as residual. A size is listed once per cell it touches and place, and a group has
+    a cell per few sizes, so no distribution is held whole by a row or task. The places of a group grow with its draws, those
+    of the fallback with all draws: about ``PLACE_DRAWS`` meet in one, however many there are.
     """
     keys = list(keys)
     at_random = uniform or (lambda i: hashed_uniform(F.col("__seed"), i))
 
+    places = F.greatest(F.lit(1), F.ceil(half_even(n) / PLACE_DRAWS)).cast("bigint")
     own_units = _share_units(distribution, prob).select(*keys, size, "__units")
-    ranges = running_total(own_units, keys, size, "__units").withColumn("__own", F.lit(True))
+    ranges = join_suffix(
+        running_total(own_units, keys, size, "__units"), groups.select(*keys, places.alias("__places")), keys
+    ).withColumn("__own", F.lit(True))
     totals = own_units.groupBy(*keys).agg(
         F.sum("__units").alias("__total"), F.count(F.lit(1)).alias("__rows")
     )
     wanted = join_suffix(
         groups.select(*keys, half_even(n).cast("bigint").alias("__n")), totals, keys, "left"
     ).withColumn("__own", F.col("__total").isNotNull())
+    wanted = wanted.withColumn("__places", F.greatest(F.lit(1), F.ceil(F.col("__n") / PLACE_DRAWS)).cast("bigint"))
     if fallback is not None:
         units = _share_units(fallback, prob).select(size, "__units")
         types = {f.name: f.dataType for f in groups.schema}
         other = running_total(units.withColumn("__all", F.lit(0)), ["__all"], size, "__units")
+        all_places = groups.agg(F.coalesce(F.sum(places), F.lit(1))).scalar()
         ranges = ranges.unionByName(
             other.drop("__all").withColumns(
-                {"__own": F.lit(False), **{k: F.lit(None).cast(types[k]) for k in keys}}
+                {"__own": F.lit(False), "__places": all_places, **{k: F.lit(None).cast(types[k]) for k in keys}}
             )
         )
         whole = units.agg(F.struct(F.sum("__units").alias("total"), F.count(F.lit(1)).alias("rows"))).scalar()
         wanted = wanted.withColumns(
-            {"__total": F.coalesce("__total", whole["total"]), "__rows": F.coalesce("__rows", whole["rows"])}
+            {
+                "__total": F.coalesce("__total", whole["total"]), "__rows": F.coalesce("__rows", whole["rows"]),
+                "__places": F.when(F.col("__own"), F.col("__places")).otherwise(all_places),
+            }
         )
 
     # what depends on the group alone is worked out before the draws multiply its row
@@ -103,7 +111,7 @@ def weighted_sample(
         )
         .select(
             *keys, "__own", size, "weight_before", "__end",
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"), "__group", "__cell",
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__places") - 1)).alias("__salt"), "__group", "__cell",
         )
         .withColumn("__place", F.xxhash64("__group", "__cell", "__salt"))
         .drop("__group", "__cell", "__salt")
@@ -121,7 +129,8 @@ def weighted_sample(
         .repartition(tasks, *keys, "__chunk")
         .select(
             *keys, "__own", "__total", "__cells", "__group", "__seed",
-            F.pmod(F.xxhash64("__seed", "__chunk"), F.lit(SALTS)).cast("int").alias("__salt"),
+            # neighbouring chunks of a group go to neighbouring places, groups on the fallback begin anywhere
+            F.pmod(F.when(F.col("__own"), F.lit(0)).otherwise(F.col("__seed")) + F.col("__chunk"), F.col("__places")).alias("__salt"),
             F.explode(
                 F.sequence(
                     F.col("__chunk") * chunk + 1, F.least(F.col("__n"), (F.col("__chunk") + 1) * chunk)

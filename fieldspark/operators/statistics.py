@@ -12,37 +12,41 @@ from pyspark.sql import functions as F
 
 from fieldspark.fixed_values import GROWTH_START, HISTOGRAM_BINS
 from fieldspark.functions.models import growth
-from fieldspark.functions.nulls import present, ratio
+from fieldspark.functions.nulls import finite, present, ratio
 from fieldspark.operators.joins import join_suffix
 from fieldspark.operators.ordered import quantiles_of_counts, value_counts
 
 
 def box_summary(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Five-number summary per key with whiskers at 1.5 times the quartile distance."""
+    """Five-number summary per key with whiskers at 1.5 times the quartile distance.
+
+    Missing, NaN and infinite values are left out; a key without others has no row.
+    """
     keys = list(keys)
     counts = value_counts(df, keys, value)
     quartiles = quantiles_of_counts(counts, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     fences = quartiles.withColumn("__reach", 1.5 * (F.col("q3") - F.col("q1")))
     inside = F.col(value).between(F.col("q1") - F.col("__reach"), F.col("q3") + F.col("__reach"))
-    whiskers = (
+    # the quartiles travel with the counts, so they are not worked out a second time for the result
+    return (
         join_suffix(counts, fences, keys)
         .groupBy(*keys)
         .agg(
+            *[F.max(c).alias(c) for c in quartiles.columns if c not in keys],
             F.min(F.when(inside, F.col(value))).alias("lower_whisker"),
             F.max(F.when(inside, F.col(value))).alias("upper_whisker"),
             F.coalesce(F.sum(F.when(~inside, F.col("__n"))), F.lit(0)).alias("n_outliers"),
         )
     )
-    return join_suffix(quartiles, whiskers, keys)
 
 
 def histogram(df: DataFrame, value: str, by: Sequence[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Counts in equal-width bins over the range of the whole table, split by ``by``.
 
     The range is a one-value subquery, so there is no join; the largest value falls into the
-    last bin.
+    last bin. Missing, NaN and infinite values are left out.
     """
-    there = df.where(present(value).isNotNull())
+    there = df.where(finite(value).isNotNull())
     ends = there.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
     lo, hi = ends["lo"], ends["hi"]
     place = F.coalesce(F.floor(ratio(F.col(value) - lo, hi - lo) * bins), F.lit(0))

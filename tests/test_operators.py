@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldspark.operators import aggregates as ag
-from fieldspark.operators import ordered, quality, reshape
+from fieldspark.operators import ordered, quality, reshape, sampling
 from fieldspark.operators.asof import prior_event_asof, prior_event_in_place
 from fieldspark.operators.joins import join_suffix, keep_members, missing_keys
 from fieldspark.operators.sampling import weighted_sample
@@ -221,6 +221,28 @@ def test_box_summary(spark):
     assert got[None].median == 5.0
 
 
+@pytest.mark.parametrize("low, step", [(7.0, 1e-10), (-5e8, 1e5), (1e-12, 1e-15)])
+def test_a_narrow_or_wide_range_has_many_cells(spark, low, step):
+    """No task orders more than a small share of a group's values, however close together they lie."""
+    df = spark.range(20_000).select(F.lit("a").alias("k"), (F.lit(low) + F.col("id") * F.lit(step)).alias("v"))
+    counted = ordered.with_cells(df.unionByName(df.limit(1).withColumn("k", F.lit("b"))), ["k"], "v")
+    sizes = [r["count"] for r in counted.where("k = 'a'").groupBy("__cell").count().collect()]
+    assert len(sizes) >= 200 and max(sizes) <= 20_000 // 100
+    rising = counted.where("k = 'a'").groupBy("__cell").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("__cell").collect()
+    assert all(x.hi < y.lo for x, y in zip(rising, rising[1:]))
+    got = {r.k: r for r in ordered.exact_quantiles(df, ["k"], "v", {"q": 0.25, "m": 0.5}).collect()}
+    values = np.array([r.v for r in df.collect()])
+    assert got["a"].m == pytest.approx(np.quantile(values, 0.5), rel=1e-12) and got["a"].q == pytest.approx(np.quantile(values, 0.25), rel=1e-12)
+
+
+def test_infinite_and_missing_values_are_left_out_of_charts(spark, rows):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([("a", v) for v in (1.0, 3.0, inf, -inf, nan, None)] + [("b", inf)], "k string, v double")
+    got = box_summary(df, ["k"], "v").collect()
+    assert [(r.k, r.n, r.q1, r.median, r.q3, r.lower_whisker, r.upper_whisker, r.n_outliers) for r in got] == [("a", 2, 1.5, 2.0, 2.5, 1.0, 3.0, 0)]
+    assert rows(histogram(df, "v", ["k"], 2), "k", "bin", "n", "bin_start", "bin_end") == [("a", 0, 1, 1.0, 2.0), ("a", 1, 1, 2.0, 3.0)]
+
+
 def test_histogram_ends(spark):
     df = spark.createDataFrame([(0.0,), (5.0,), (10.0,), (None,)], "v double")
     got = {r.bin: (r.n, r.bin_start, r.bin_end) for r in histogram(df, "v", [], 5).collect()}
@@ -282,6 +304,29 @@ def test_weighted_draws_repeat_exactly(spark):
     assert other != runs[0] and len(other) == len(runs[0])
 
 
+def test_places_grow_with_the_draws(spark, monkeypatch):
+    """One size takes all draws of a group, and all other groups share the fallback: no place gets more than its share."""
+    monkeypatch.setattr(sampling, "PLACE_DRAWS", 500)
+    zones = spark.createDataFrame([("a", 20_000.0)] + [(f"z{i}", 400.0) for i in range(40)], "site string, n double")
+    dist = spark.createDataFrame([("a", 1.0, 1.0)], "site string, size double, prob double")
+    fallback = spark.createDataFrame([(9.0, 1.0)], "size double, prob double")
+    out = weighted_sample(zones, dist, ["site"], "n", "size", "prob", fallback, chunk=100)
+    got = Counter((r.site, r["size"]) for r in out.collect())
+    assert got == Counter({("a", 1.0): 20_000, **{(f"z{i}", 9.0): 400 for i in range(40)}})
+    seen = []
+    kind = type(zones)
+    join = kind.join
+
+    def spy(self, other, *rest, **named):
+        if "__place" in self.columns and "draw" in self.columns:
+            seen.append(Counter(r["__place"] for r in self.select("__place").collect()))
+        return join(self, other, *rest, **named)
+
+    monkeypatch.setattr(kind, "join", spy)
+    weighted_sample(zones, dist, ["site"], "n", "size", "prob", fallback, chunk=100)
+    assert len(seen[0]) > 50 and max(seen[0].values()) <= 1600
+
+
 def test_weighted_draws_hit_every_point_of_the_range(spark):
     zones = spark.createDataFrame([("a", 1000.0)], "site string, n double")
     dist = spark.createDataFrame([("a", float(i), 1 / 7) for i in range(7)], "site string, size double, prob double")
