@@ -18,7 +18,7 @@ from fieldspark.plans.explore import filter_choices
 from fieldspark.plans.site_tables import margin_site_table, recovery_site_table
 from fieldspark.sources.landed import drop_first_row
 from fieldspark.sources.snapshot import expired
-from fieldspark.sources.typing import all_text, apply_schema, infer_schema
+from fieldspark.sources.typing import all_text, apply_schema, infer_schema, type_convert
 
 
 @query(
@@ -88,6 +88,39 @@ def null_sentinel(t):
     return apply_schema(text, infer_schema(text))
 
 
+_K, _DAY = "CAST(o_orderkey AS BIGINT)", "CAST(o_orderdate AS DATE)"
+
+
+@query(
+    "type_convert",
+    f"""SELECT CAST(o_orderkey AS DOUBLE) AS id, CASE WHEN o_orderpriority <> '1-URGENT' THEN o_orderstatus = 'F' END AS filled,
+              o_totalprice AS price, {_DAY} AS day, CASE WHEN {_K} % 3 > 0 THEN {_DAY} END AS shown_day,
+              CAST({_DAY} AS TIMESTAMP) + to_hours({_K} % 24) + to_minutes({_K} % 60) AS sent,
+              CASE WHEN {_K} % 7 = 0 THEN CAST({_DAY} AS TIMESTAMP) ELSE CAST({_DAY} AS TIMESTAMP) + to_hours({_K} % 24) + to_minutes({_K} % 60) END AS shown_sent,
+              CASE WHEN {_K} % 2 = 0 THEN strftime({_DAY}, '%Y-%m-%d') ELSE strftime({_DAY}, '%-m/%-d/%Y') END AS either,
+              CASE WHEN {_K} % 5 = 0 THEN 'n/a' ELSE CAST({_K} AS VARCHAR) END AS mixed
+       FROM orders""",
+)
+def converted(t):
+    """A column of each kind as text, months first and years first, with missing values; two columns that no kind fits."""
+    key, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    clock = F.concat_ws(":", (key % 24).cast("string"), F.lpad((key % 60).cast("string"), 2, "0"))
+    padded = F.concat_ws(":", F.lpad((key % 24).cast("string"), 2, "0"), F.lpad((key % 60).cast("string"), 2, "0"), F.lit("00"))
+    month_first, year_first = F.date_format(day, "M/d/yyyy"), day.cast("string")
+    text = t.orders.select(
+        text_of("o_orderkey").alias("id"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "NULL").when(F.col("o_orderstatus") == "F", "T").otherwise("false").alias("filled"),
+        text_of("o_totalprice").alias("price"),
+        year_first.alias("day"),
+        F.when(key % 3 > 0, month_first).alias("shown_day"),
+        F.concat_ws(" ", year_first, padded).alias("sent"),
+        F.when(key % 7 == 0, month_first).otherwise(F.concat_ws(" ", month_first, clock)).alias("shown_sent"),
+        F.when(key % 2 == 0, year_first).otherwise(month_first).alias("either"),
+        F.when(key % 5 == 0, "n/a").otherwise(text_of("o_orderkey")).alias("mixed"),
+    )
+    return type_convert(all_text(text))
+
+
 @query(
     "profile_range",
     """SELECT count(*) AS n, min(l_shipdate) AS min_l_shipdate, max(l_shipdate) AS max_l_shipdate,

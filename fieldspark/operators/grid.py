@@ -7,7 +7,9 @@ they prune partitions and row groups.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date, timedelta
+from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +63,31 @@ def grid_stride(df: DataFrame, axes: Mapping[str, tuple[Column, int]]) -> DataFr
     return df
 
 
+@dataclass(frozen=True)
+class Tiling:
+    """How the cells of an axis are numbered (``origin`` is cell 0) and the stride that a landed grid is laid out for."""
+
+    origin: float
+    step: float
+    stride: int
+
+
+def tiled_stride(df: DataFrame, strides: Mapping[str, tuple[float, int]], tiles: Mapping[str, Tiling]) -> DataFrame:
+    """``grid_stride`` of a grid that ``write_grid`` landed with the same ``tiles``: from a first value on every n-th cell of an axis.
+
+    A stride that divides the layout's is a choice of residues, and a pushed filter on them; any other one is also tested cell by cell.
+    """
+    for axis, (first, n) in strides.items():
+        laid, start = tiles[axis].stride, round((first - tiles[axis].origin) / tiles[axis].step)
+        wanted = [r for r in range(laid) if (r - start) % gcd(n, laid) == 0]
+        if len(wanted) < laid:
+            residue = F.col(f"{axis}_residue")
+            df = df.where(residue == wanted[0] if len(wanted) == 1 else residue.isin(wanted))
+        if laid % n:
+            df = df.where(F.pmod(F.col(f"{axis}_cell") - start, F.lit(n)) == 0)
+    return df
+
+
 def day_index(time: Column | str, first: date) -> Column:
     return F.datediff(F.to_date(as_column(time)), F.lit(first)).cast("bigint")
 

@@ -20,7 +20,7 @@ from fieldspark.fixed_values import (
     SERIES_FIRST_DOY,
 )
 from fieldspark.functions.nulls import level_rank, mean
-from fieldspark.operators.grid import cell_index, day_index, grid_stride, grid_subset, last_settled_day
+from fieldspark.operators.grid import Tiling, cell_index, day_index, grid_stride, grid_subset, last_settled_day, tiled_stride
 from fieldspark.operators.quality import require_years
 
 
@@ -135,20 +135,24 @@ def tidy_fine_grid(
     step: float = 0.01,
     first: date = date.fromisoformat(FINE_GRID_START),
     year_column: str | None = None,
+    tiles: Mapping[str, Tiling] | None = None,
 ) -> DataFrame:
     """Strided subset of the fine grid under tidy names, up to the last settled day.
 
-    ``year_column`` names the grid's partition column, so that years out of range are not read.
+    ``year_column`` names the grid's partition column, so that years out of range are not read. ``tiles`` is how the grid was landed,
+    if by stride (``write_grid``); then the cells between are not read either.
     """
     fields = ["time", "latitude", "longitude", "sstAnom", "mask", *([year_column] if year_column else [])]
+    if tiles:
+        fields += [f"{axis}_{kind}" for axis in tiles for kind in ("cell", "residue")]
     inside = grid_subset(grid, box, "time", first, last_settled_day(as_of), fields, year_column)
     n_t, n_lat, n_lon = stride
+    steps = {"latitude": n_lat, "longitude": n_lon}
     strided = grid_stride(
-        inside,
+        tiled_stride(inside, {axis: (box[axis][0], steps[axis]) for axis in tiles}, tiles) if tiles else inside,
         {
             "time": (day_index("time", first), n_t),
-            "latitude": (cell_index("latitude", box["latitude"][0], step), n_lat),
-            "longitude": (cell_index("longitude", box["longitude"][0], step), n_lon),
+            **{axis: (cell_index(axis, box[axis][0], step), n) for axis, n in steps.items() if axis not in (tiles or {})},
         },
     )
     return strided.select(

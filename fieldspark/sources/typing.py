@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldspark.functions.dates import YEAR_FIRST, parse_date
+from fieldspark.functions.dates import YEAR_FIRST, parse_date, parse_moment
 from fieldspark.functions.nulls import num_text
 from fieldspark.functions.text import sentinel_to_null
 
@@ -23,6 +23,12 @@ def number(c: Column) -> Column:
     return F.when(c.rlike(NUMBER), c.try_cast("double"))
 
 
+def logical(c: Column) -> Column:
+    """Text as true or false: ``TRUE``, ``FALSE``, ``T`` or ``F`` in any case; all else is missing."""
+    letters = F.upper(c)
+    return F.when(letters.isin("T", "TRUE"), True).when(letters.isin("F", "FALSE"), False)
+
+
 def numbers(df: DataFrame, *names: str) -> DataFrame:
     """Text among the named columns as numbers; columns that are numbers already stay."""
     kinds = dict(df.dtypes)
@@ -54,10 +60,14 @@ def clean_names(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return df.toDF(*names)
 
 
-def typed(c: Column, target: T.DataType, formats: Sequence[str] = tuple(YEAR_FIRST)) -> Column:
+def typed(c: Column, target: T.DataType, formats: Sequence[str] | None = None) -> Column:
     """Text to the target type; text that does not fit is missing, never an error."""
     if isinstance(target, T.DateType):
-        return parse_date(c, formats)
+        return parse_date(c, formats or YEAR_FIRST)
+    if isinstance(target, T.TimestampType) and formats:
+        return parse_moment(c, formats)
+    if isinstance(target, T.BooleanType):
+        return logical(c)
     if isinstance(target, (T.IntegralType,)):
         return number(c).try_cast(target)
     if isinstance(target, T.NumericType):
@@ -70,7 +80,10 @@ def apply_schema(
     schema: T.StructType,
     date_formats: dict[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Cast the columns named in ``schema``; other columns stay as they are."""
+    """Cast the columns named in ``schema``; other columns stay as they are.
+
+    A date or time is read by the forms given in ``date_formats``, else by those in the field's metadata.
+    """
     formats = date_formats or {}
     present = dict(df.dtypes)
     out = {}
@@ -83,7 +96,7 @@ def apply_schema(
         if text and present[field.name] == "double":
             out[field.name] = num_text(c)
         elif present[field.name] == "string":
-            out[field.name] = typed(c, field.dataType, formats.get(field.name, tuple(YEAR_FIRST)))
+            out[field.name] = typed(c, field.dataType, formats.get(field.name) or (field.metadata or {}).get(FORMATS))
         elif isinstance(field.dataType, T.DateType):
             out[field.name] = F.to_date(c)
         else:
@@ -101,24 +114,51 @@ def all_text(df: DataFrame, sentinel: str = "NULL", exclude: Sequence[str] = ())
     )
 
 
+#: Kinds that re-inference knows, narrowest first, with the forms that make a date or a time of a text. A text that fits several is the first.
+DAY_FORMS = {"year_first": ("yyyy-M-d", "yyyy/M/d"), "month_first": ("M/d/yyyy", "M-d-yyyy")}
+MOMENT_FORMS = {
+    "year_first": ("yyyy-M-d HH:mm", "yyyy-M-d HH:mm:ss[.SSSSSS]", "yyyy-M-d'T'HH:mm:ss[.SSSSSS]", "yyyy/M/d HH:mm", "yyyy/M/d HH:mm:ss"),
+    "month_first": ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M-d-yyyy H:mm", "M-d-yyyy H:mm:ss"),
+}
+#: Metadata of an inferred field: the forms that its text is read by.
+FORMATS = "formats"
+
+
+def _lattice() -> list[tuple[T.DataType, tuple[str, ...], object]]:
+    """Kinds with their forms and what reads a text as one (missing if it is not)."""
+    days = [(T.DateType(), forms, lambda c, f=forms: parse_date(c, f)) for forms in DAY_FORMS.values()]
+    moments = [(T.TimestampType(), forms, lambda c, f=forms: parse_moment(c, f)) for forms in MOMENT_FORMS.values()]
+    return [(T.BooleanType(), (), logical), (T.DoubleType(), (), number), *days, *moments]
+
+
 def infer_schema(df: DataFrame, columns: Sequence[str] | None = None) -> T.StructType:
-    """Narrowest of double, date and text that fits every non-missing value of a text column.
+    """Narrowest type that fits every non-missing value of a text column: logical, number, date, time or text.
 
-    One aggregate over the table, one row to the driver. Columns without values stay text.
+    Logical is ``TRUE``, ``FALSE``, ``T`` or ``F`` in any case; dates and times have year or month first, the same order in the whole column
+    (year first if both fit), which the field's metadata tells ``apply_schema``. A column of dates some of which carry a time is one of times. One aggregate
+    over the table, one row to the driver, whatever the number of kinds. Columns without values stay text.
     """
     columns = list(columns or [f.name for f in df.schema if isinstance(f.dataType, T.StringType)])
-
-    def fits(c: str, cast: Column) -> Column:
-        ok = F.bool_and(F.when(F.col(c).isNotNull(), cast.isNotNull()))
-        return F.coalesce(ok, F.lit(False))
-
+    kinds = _lattice()
     checks = []
-    for i, c in enumerate(columns):
-        checks.append(fits(c, number(F.col(c))).alias(f"n{i}"))
-        checks.append(fits(c, F.try_to_date(F.col(c), "yyyy-MM-dd")).alias(f"d{i}"))
-    row = df.agg(*checks).first()
-    kinds = []
-    for i, c in enumerate(columns):
-        kind = T.DoubleType() if row[f"n{i}"] else T.DateType() if row[f"d{i}"] else T.StringType()
-        kinds.append(T.StructField(c, kind))
-    return T.StructType(kinds)
+    for i, name in enumerate(columns):
+        c = F.col(name)
+        days = {k: kinds[2 + k][2](c) for k in range(2)}
+        for j, (kind, _, read) in enumerate(kinds):
+            fits = read(c).isNotNull()
+            if isinstance(kind, T.TimestampType):
+                fits = fits | days[j - 4].isNotNull()
+            checks.append(F.coalesce(F.bool_and(F.when(c.isNotNull(), fits)), F.lit(False)).alias(f"c{i}_{j}"))
+    row = df.agg(*checks).first() if checks else {}
+    fields = []
+    for i, name in enumerate(columns):
+        kind, forms = next(((kind, forms) for j, (kind, forms, _) in enumerate(kinds) if row[f"c{i}_{j}"]), (T.StringType(), ()))
+        if isinstance(kind, T.TimestampType):
+            forms = (*forms, *DAY_FORMS[next(k for k, v in MOMENT_FORMS.items() if v == forms)])
+        fields.append(T.StructField(name, kind, metadata={FORMATS: list(forms)} if forms else None))
+    return T.StructType(fields)
+
+
+def type_convert(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The table with its text columns as ``infer_schema`` finds them."""
+    return apply_schema(df, infer_schema(df, columns))

@@ -1,11 +1,15 @@
 """Landing, typing, sinks and snapshots."""
 
+import glob
 from datetime import date, datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldspark.operators import grid
+from fieldspark.plans import sst
 from fieldspark.sources import landed, sinks, snapshot, typing
 
 
@@ -55,6 +59,91 @@ def test_sentinel_and_inference(spark):
     assert tuple(typing.apply_schema(text, schema).first()) == (1.5, date(2025, 7, 1), None, "x")
 
 
+def test_every_kind_is_inferred(spark):
+    cells = {
+        "logical": ["T", "false", None, "TRUE"], "number": ["1", "-2.5e3", None, " 3 "], "year_first": ["2025-07-01", "2025/7/2", None, "2024-2-29"],
+        "month_first": ["7/1/2025", "12-31-2024", None, "1/2/2025"], "both_orders": ["2025-07-01", "7/1/2025", None, None], "bad_day": ["2025-02-30", "2025-02-03", None, None],
+        "moment": ["2025-07-01 08:00:00", "2025-07-01T08:00:00.25", None, "2025-07-02"], "month_moment": ["7/1/2025 8:05", "7/1/2025 23:59:59", None, "7/2/2025"],
+        "digits": ["20250701", "20250702", None, None], "zeros": ["0", "1", None, None], "suffix": ["5d", "7F", None, None], "empty": [None] * 4, "code": ["T", "B", None, None],
+    }
+    df = spark.createDataFrame(list(zip(*cells.values())), ", ".join(f"{c} string" for c in cells))
+    kinds = {f.name: f.dataType.simpleString() for f in typing.infer_schema(df)}
+    assert kinds == {
+        "logical": "boolean", "number": "double", "year_first": "date", "month_first": "date", "both_orders": "string", "bad_day": "string", "moment": "timestamp",
+        "month_moment": "timestamp", "digits": "double", "zeros": "double", "suffix": "string", "empty": "string", "code": "string",
+    }
+    got = typing.type_convert(df).collect()
+    assert [r.logical for r in got] == [True, False, None, True]
+    assert [r.month_first for r in got] == [date(2025, 7, 1), date(2024, 12, 31), None, date(2025, 1, 2)]
+    assert [r.moment for r in got] == [datetime(2025, 7, 1, 8), datetime(2025, 7, 1, 8, 0, 0, 250000), None, datetime(2025, 7, 2)]
+    assert [r.month_moment for r in got] == [datetime(2025, 7, 1, 8, 5), datetime(2025, 7, 1, 23, 59, 59), None, datetime(2025, 7, 2)]
+    assert typing.type_convert(df.limit(0)).dtypes == df.dtypes
+
+
+def test_inference_is_one_aggregate(spark, monkeypatch):
+    df = spark.createDataFrame([("1", "x")], "a string, b string")
+    calls = []
+    kind, agg = type(df), type(df).agg
+    monkeypatch.setattr(kind, "agg", lambda self, *x: calls.append(len(x)) or agg(self, *x))
+    typing.infer_schema(df)
+    assert calls == [12]
+
+
+LAT, LON = grid.Tiling(32.0, 0.01, 10), grid.Tiling(-130.0, 0.01, 10)
+
+
+@pytest.fixture(scope="module")
+def tiled(spark, tmp_path_factory):
+    """Four days of 100 x 100 cells, landed by stride in small row groups."""
+    path = str(tmp_path_factory.mktemp("grid") / "fine")
+    cells = spark.range(40_000).selectExpr(
+        "timestamp_ntz '2025-06-01' + make_dt_interval(cast(id div 10000 AS int)) AS time", "32D + (id div 100) % 100 * 0.01D AS latitude",
+        "-130D + id % 100 * 0.01D AS longitude", "cast(id AS double) AS sstAnom", "cast(id % 3 AS int) AS mask",
+    )
+    sinks.write_grid(cells.coalesce(1), path, tiles={"latitude": LAT, "longitude": LON}, row_group_bytes=16_384)
+    return cells, path
+
+
+def test_stride_skips_row_groups(spark, tiled):
+    _, path = tiled
+    strided = grid.tiled_stride(spark.read.parquet(path), {"latitude": (32.0, 10), "longitude": (-130.0, 10)}, {"latitude": LAT, "longitude": LON})
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = strided._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(latitude_residue,0)" in plan and "EqualTo(longitude_residue,0)" in plan
+    groups = wanted = 0
+    for file in glob.glob(f"{path}/**/*.parquet", recursive=True):
+        meta = pq.ParquetFile(file).metadata
+        names = [meta.schema.column(i).name for i in range(meta.num_columns)]
+        for g in range(meta.num_row_groups):
+            ends = [meta.row_group(g).column(names.index(f"{axis}_residue")).statistics for axis in ("latitude", "longitude")]
+            groups += 1
+            wanted += all(s.min <= 0 <= s.max for s in ends)
+    assert groups >= 20 and wanted <= groups // 5
+    assert strided.count() == 400
+
+
+@pytest.mark.parametrize("first, n", [((32.0, -130.0), (10, 10)), ((32.03, -129.98), (5, 2)), ((32.0, -130.0), (4, 3)), ((32.07, -130.0), (20, 1))])
+def test_tiled_stride_is_the_plain_stride(spark, tiled, first, n):
+    cells, path = tiled
+    axes = ("latitude", "longitude")
+    strides = dict(zip(axes, zip(first, n)))
+    got = grid.tiled_stride(spark.read.parquet(path), strides, {"latitude": LAT, "longitude": LON})
+    want = grid.grid_stride(cells, {a: (grid.cell_index(a, start, 0.01), step) for a, (start, step) in strides.items()})
+    assert sorted(r.sstAnom for r in got.collect()) == sorted(r.sstAnom for r in want.collect())
+
+
+def test_fine_grid_from_a_tiled_landing(spark, tiled, rows):
+    cells, path = tiled
+    box = {"latitude": (32.0, 32.5), "longitude": (-130.0, -129.5)}
+    plain = sst.tidy_fine_grid(cells, date(2025, 7, 1), box, stride=(2, 10, 10), first=date(2025, 6, 1))
+    tiles = {"latitude": LAT, "longitude": LON}
+    laid = sst.tidy_fine_grid(spark.read.parquet(path), date(2025, 7, 1), box, stride=(2, 10, 10), first=date(2025, 6, 1), year_column="year", tiles=tiles)
+    assert rows(laid) == rows(plain) and laid.count() == 72
+
+
 def test_typing_never_fails(spark):
     df = spark.createDataFrame([("12", "3.0", "yes"), ("x", "4", "7/4/2025")], "a string, b string, c string")
     schema = T.StructType([T.StructField("a", T.DoubleType()), T.StructField("b", T.LongType()), T.StructField("c", T.DateType())])
