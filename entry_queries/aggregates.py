@@ -8,7 +8,8 @@ from entry_queries.registry import query, rounded
 from fieldspark.functions.models import growth, offset_log10
 from fieldspark.functions.nulls import deviation, mean, row_sum, standard_error, sum0
 from fieldspark.operators import quality
-from fieldspark.operators.aggregates import annotation, count_by, last_per_group, profile
+from fieldspark.operators.aggregates import annotation, count_by, last_per_group, profile, summarise
+from fieldspark.operators.joins import join_suffix
 from fieldspark.operators.statistics import box_summary, fit_growth, fit_quality, histogram
 from fieldspark.sources.typing import clean_names
 
@@ -169,11 +170,12 @@ def cleaned(t):
 
 @query(
     "profile",
-    """SELECT 'l_tax' AS column, 'double' AS type, count(*) AS n_rows, count(*) - count(l_tax) AS n_missing FROM lineitem
-       UNION ALL SELECT 'l_returnflag', 'string', count(*), count(*) - count(l_returnflag) FROM lineitem""",
+    """SELECT 'l_tax' AS column, 'double' AS type, count(*) AS n_rows, count(*) - count(l_tax) AS n_missing,
+              CAST(min(l_tax) AS VARCHAR) AS least, CAST(max(l_tax) AS VARCHAR) AS largest FROM lineitem
+       UNION ALL SELECT 'l_returnflag', 'string', count(*), count(*) - count(l_returnflag), min(l_returnflag), max(l_returnflag) FROM lineitem""",
 )
 def profiled(t):
-    return profile(t.lineitem, ["l_tax", "l_returnflag"]).select("column", "type", "n_rows", "n_missing")
+    return profile(t.lineitem, ["l_tax", "l_returnflag"])
 
 
 @query(
@@ -182,3 +184,54 @@ def profiled(t):
 )
 def annotated(t):
     return annotation(t.lineitem, ["l_returnflag"], "l_quantity", "l_tax")
+
+
+_NAMES = ["alamo", "Alamo", "álamo", "Álamo", "beta", "Beta", "zebra", "Ökologie"]
+#: The same as dictionaries have them: accents and capitals count after all letters.
+_NAMES_IN_ORDER = ["alamo", "Alamo", "álamo", "Álamo", "beta", "Beta", "Ökologie", "zebra"]
+_NAME = f"[{', '.join(repr(n) for n in _NAMES)}][CAST(c_custkey % {len(_NAMES)} AS INTEGER) + 1]"
+
+
+@query(
+    "collated_texts",
+    f"""WITH x AS (SELECT DISTINCT c_nationkey, c_mktsegment, {_NAME} AS name FROM customer WHERE c_custkey % 3 > 0)
+       SELECT c_nationkey, c_mktsegment, string_agg(name, ' | ' ORDER BY list_position([{', '.join(repr(n) for n in _NAMES_IN_ORDER)}], name)) AS by_collation,
+              string_agg(name, ' | ' ORDER BY encode(name)) AS by_bytes
+       FROM x GROUP BY ALL""",
+)
+def collated(t):
+    names = F.array(*[F.lit(n) for n in _NAMES])
+    customers = t.customer.where("c_custkey % 3 > 0").withColumn("name", F.get(names, (F.col("c_custkey") % len(_NAMES)).cast("int")))
+    keys = ["c_nationkey", "c_mktsegment"]
+    by_collation = summarise(customers, keys, {}, sorted_texts={"by_collation": "name"}, collation="UNICODE")
+    return join_suffix(by_collation, summarise(customers, keys, {}, sorted_texts={"by_bytes": "name"}), keys)
+
+
+_REPORTED = """WITH x AS (
+         SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderpriority, c_name, o_totalprice - 150000 AS spare,
+           CASE WHEN o_orderpriority LIKE '%URGENT' THEN 'now' WHEN o_orderpriority LIKE '%HIGH' THEN 'soon' END AS label, year(o_orderdate) AS year
+         FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 9000) c ON o_custkey = c_custkey)"""
+
+
+@query(
+    "quality_report",
+    f"""{_REPORTED}
+       SELECT 'rows' AS "check", '' AS subject, '' AS finding, count(*) AS n FROM x
+       UNION ALL SELECT 'duplicate_key', 'o_custkey | day', o_custkey || ' | ' || day, count(*) FROM x GROUP BY ALL HAVING count(*) > 1
+       UNION ALL SELECT 'unclassified', 'o_orderpriority', o_orderpriority, count(*) FROM x WHERE label IS NULL GROUP BY ALL
+       UNION ALL SELECT 'unmatched', 'c_name', CAST(o_custkey AS VARCHAR), count(*) FROM x WHERE c_name IS NULL GROUP BY ALL
+       UNION ALL SELECT 'bad_duration', 'days', o_custkey || ' | ' || day || ' | ' || CAST(floor(spare / 1000) AS BIGINT), count(*) FROM x WHERE floor(spare / 1000) <= 0 GROUP BY ALL
+       UNION ALL SELECT 'recode', 'label', o_orderpriority || ' -> ' || coalesce(label, 'NA'), count(*) FROM x GROUP BY ALL
+       UNION ALL SELECT 'empty', 'year', CAST(y AS VARCHAR), 0 FROM (VALUES (1997), (2030)) v(y) WHERE y NOT IN (SELECT year FROM x)""",
+)
+def report(t):
+    orders = t.orders.select(
+        "o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderpriority", F.floor((F.col("o_totalprice") - 150000) / 1000).alias("days"),
+        F.when(F.col("o_orderpriority").endswith("URGENT"), "now").when(F.col("o_orderpriority").endswith("HIGH"), "soon").alias("label"),
+        F.year("o_orderdate").alias("year"),
+    )
+    joined = join_suffix(orders, t.customer.where("c_acctbal > 9000").select("c_custkey", "c_name"), [("o_custkey", "c_custkey")], "left")
+    return quality.quality_report(
+        joined, ["o_custkey", "day"], labels={"label": "o_orderpriority"}, partners={"c_name": ["o_custkey"]}, durations=["days"],
+        recodes={"o_orderpriority": "label"}, required={"year": [1997, 2030]},
+    )

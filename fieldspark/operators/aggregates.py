@@ -52,6 +52,7 @@ def summarise(
     first_texts: Mapping[str, str] | None = None,
     order: Column | None = None,
     sep: str = " | ",
+    collation: str | None = None,
 ) -> DataFrame:
     """Measures and text lists per key in one pass over the input.
 
@@ -59,7 +60,9 @@ def summarise(
     out: a sum of nothing is zero, an any of nothing false. The text mappings are
     ``{output: column}``: ``sorted_texts`` joins the distinct texts in text order,
     ``ordered_texts`` in order of first appearance by ``order``, ``first_texts`` keeps the first
-    one. ``distinct_counts`` counts distinct values.
+    one. ``distinct_counts`` counts distinct values. Text order is that of the characters' numbers, or that of ``collation``, one of Spark's
+    (``UNICODE``: letters with and without accents side by side, small before capital); texts that a collation takes as equal
+    stay apart, in order of their numbers.
 
     Every row gives one piece for its measures and one per text column. Pieces are reduced to one
     row per key, column and text (combining map-side) before any list is built, so a list holds
@@ -100,7 +103,8 @@ def summarise(
     def listed(out: str) -> Column:
         if out in firsts:
             return F.min(F.when(F.col("__field") == out, F.struct("__ord", "__text")))["__text"].alias(out)
-        entry = F.struct("__text") if out in by_text else F.struct("__ord", "__text")
+        collated = [F.collate("__text", collation).alias("__key")] if collation else []
+        entry = F.struct(*collated, "__text") if out in by_text else F.struct("__ord", "__text")
         entries = F.array_sort(F.collect_list(F.when(F.col("__field") == out, entry)))
         texts = F.transform(entries, lambda e: e["__text"])
         return F.nullif(F.array_join(texts, sep), F.lit("")).alias(out)

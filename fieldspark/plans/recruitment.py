@@ -81,8 +81,8 @@ def clean_counts(
     )
 
 
-def sample_summary(samples: DataFrame) -> DataFrame:
-    """Totals, dates and text lists per site and collection date; notes in sheet order."""
+def sample_summary(samples: DataFrame, collation: str | None = None) -> DataFrame:
+    """Totals, dates and text lists per site and collection date; notes in sheet order, other texts in that of ``collation``."""
     order = ROW_ID if ROW_ID in samples.columns else "timestamp"
     return summarise(
         samples,
@@ -110,21 +110,27 @@ def sample_summary(samples: DataFrame) -> DataFrame:
         },
         ordered_texts={"notes": "notes"},
         order=F.col(order),
+        collation=collation,
     )
 
 
-def effort_summary(soak: DataFrame) -> DataFrame:
-    """Earliest deployment, longest soak and text lists per site and collection date."""
+def effort_summary(soak: DataFrame, patterns=MEDIA_TYPE_PATTERNS, collation: str | None = None) -> DataFrame:
+    """Earliest deployment, longest soak and text lists per site and collection date.
+
+    Notes come by media type, in order of the labels of ``patterns`` (those that ``media_events`` was given; a type without one after
+    all others), then by time.
+    """
+    labels = sorted({label for _, label in patterns})
+    rank = F.coalesce(level_rank("sample_type", labels), F.when(F.col("sample_type").isNotNull(), len(labels) + 1), F.lit(0))
+    micros = F.coalesce(F.unix_micros(F.col("collect_timestamp").try_cast("timestamp")), F.lit(-(10**17)))
     return summarise(
         soak,
         EFFORT_KEYS,
         {"date_deployed": ("min", "date_deployed"), "soak_time": ("max", "soak_time")},
         sorted_texts={"sample_types": "sample_type"},
         ordered_texts={"deploy_notes": "deploy_notes", "collect_notes": "collect_notes"},
-        order=F.coalesce(level_rank("sample_type", sorted(label for _, label in MEDIA_TYPE_PATTERNS)), F.when(F.col("sample_type").isNotNull(), 99), F.lit(0)).cast(
-            "decimal(19,0)"
-        ) * F.lit(10**18).cast("decimal(19,0)")
-        + F.coalesce(F.unix_micros(F.col("collect_timestamp").try_cast("timestamp")), F.lit(-(10**17))).cast("decimal(19,0)"),
+        order=rank.cast("decimal(19,0)") * F.lit(10**18).cast("decimal(19,0)") + micros.cast("decimal(19,0)"),
+        collation=collation,
     )
 
 

@@ -346,6 +346,32 @@ def test_quality_checks(spark, rows):
     assert rows(quality.recode_audit(df, "k", "label")) == [("a", "x", 1), ("a", None, 1), ("b", "x", 1), ("c", None, 1)]
 
 
+def test_quality_report_is_the_single_checks_in_one_pass(spark, rows):
+    df = spark.createDataFrame(
+        [("a", 1, 1.0, None, "x", 2024), ("a", 1, -1.0, "l", None, 2024), ("b", None, 0.0, "l", "x", 2025), (None, 2, None, None, None, 2025)],
+        "k string, j int, d double, label string, partner string, year int",
+    )
+    report = quality.quality_report(df, ["k", "j"], {"label": "k"}, {"partner": ["k", "j"]}, ["d"], {"k": "label"}, {"year": [2024, 2026]})
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") <= 2 and "Join" not in plan
+    assert rows(report) == sorted([
+        ("rows", "", "", 4), ("duplicate_key", "k | j", "a | 1", 2), ("unclassified", "k", "a", 1), ("unclassified", "k", "NA", 1),
+        ("unmatched", "partner", "a | 1", 1), ("unmatched", "partner", "NA | 2", 1), ("bad_duration", "d", "a | 1 | -1.0", 1), ("bad_duration", "d", "b | NA | 0.0", 1),
+        ("recode", "label", "a -> NA", 1), ("recode", "label", "a -> l", 1), ("recode", "label", "b -> l", 1), ("recode", "label", "NA -> NA", 1), ("empty", "year", "2026", 0),
+    ], key=lambda r: tuple((v is None, str(v)) for v in r))
+    assert rows(quality.quality_report(df.limit(0), ["k"], required={"year": [2024]})) == [("empty", "year", "2024", 0)]
+
+
+def test_text_lists_in_the_order_of_a_collation(spark):
+    names = ["zebra", "Ökologie", "Beta", "beta", "Álamo", "alamo", "álamo", "Alamo", None]
+    df = spark.createDataFrame([("k", n) for n in names] + [("none", None)], "k string, name string")
+    listed = lambda **how: {r.k: r.names for r in ag.summarise(df, ["k"], {}, sorted_texts={"names": "name"}, **how).collect()}
+    assert listed(collation="UNICODE") == {"k": "alamo | Alamo | álamo | Álamo | beta | Beta | Ökologie | zebra", "none": None}
+    # texts that are equal to a collation stay apart
+    assert listed(collation="UNICODE_CI_AI")["k"] == "Alamo | alamo | Álamo | álamo | Beta | beta | Ökologie | zebra"
+    assert listed()["k"] == " | ".join(sorted(n for n in names if n))
+
+
 def test_years_must_have_rows(spark, rows):
     df = spark.createDataFrame([(2024, 1), (2025, 2), (2030, 3)], "year int, v int")
     assert rows(quality.require_years(df, "year", [2024, 2025])) == rows(df)

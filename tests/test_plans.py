@@ -319,6 +319,16 @@ def test_type_rates_and_weeks(spark, rows):
     assert rows(rc.weekly_totals(rates)) == [(date(2026, 1, 26), "benthic", 6.0), (date(2026, 1, 26), "suspended", 0.0)]
 
 
+def test_notes_come_in_the_order_of_the_types_given(spark):
+    schema = "site string, sample_type string, date_deployed date, date_collected date, soak_time double, deploy_timestamp timestamp, collect_timestamp timestamp, deploy_notes string, collect_notes string"
+    day, at = date(2025, 7, 1), lambda h: datetime(2025, 7, 2, h)
+    soak = spark.createDataFrame(
+        [("s", kind, day, day, 1.0, None, at(h), None, note) for kind, h, note in (("zeta", 1, "first sent"), ("alpha", 2, "second sent"), ("other", 0, "no label"), (None, 3, "no type"))], schema
+    )
+    patterns = [("(?i)z", "zeta"), ("(?i)a", "alpha")]
+    assert rc.effort_summary(soak, patterns).first().collect_notes == "no type | second sent | first sent | no label"
+
+
 def test_zero_soak_gives_no_rate(spark):
     zero = soak(spark).withColumn("soak_time", F.lit(0.0))
     assert rc.type_rates(samples(spark), zero).count() == 0
