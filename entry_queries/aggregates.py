@@ -171,7 +171,7 @@ def cleaned(t):
 @query(
     "profile",
     """SELECT 'l_tax' AS column, 'double' AS type, count(*) AS n_rows, count(*) - count(l_tax) AS n_missing,
-              CAST(min(l_tax) AS VARCHAR) AS least, CAST(max(l_tax) AS VARCHAR) AS largest FROM lineitem
+              CAST(min(l_tax) + 0.0 AS VARCHAR) AS least, CAST(max(l_tax) + 0.0 AS VARCHAR) AS largest FROM lineitem
        UNION ALL SELECT 'l_returnflag', 'string', count(*), count(*) - count(l_returnflag), min(l_returnflag), max(l_returnflag) FROM lineitem""",
 )
 def profiled(t):
