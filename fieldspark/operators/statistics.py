@@ -17,6 +17,10 @@ from fieldspark.operators.joins import join_suffix
 from fieldspark.operators.ordered import quantiles_of_counts, value_counts
 
 
+#: Values of c in a grid after the first.
+NODES = 16
+
+
 def box_summary(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Five-number summary per key with whiskers at 1.5 times the quartile distance.
 
@@ -65,96 +69,103 @@ def fit_growth(
     x: str,
     y: str,
     start: tuple[float, float, float] = GROWTH_START,
-    max_passes: int = 50,
-    tolerance: float = 1e-10,
-    strict: bool = False,
+    steepest: float = 30.0,
+    strict: bool = True,
 ) -> DataFrame:
-    """Least-squares fit of ``y = a + b * exp(c * x)`` by damped Gauss-Newton steps.
+    """Least-squares fit of ``y = a + b * exp(c * x)`` by variable projection.
+
+    For a given c the curve is linear in a and b, so six sums tell how well it can be. One aggregate works them out for a whole grid
+    of c, and the best c lies where the slope of the residuals changes its sign, which a polynomial through the grid's slopes locates. Three grids, each
+    within the best cell of the one before, take four jobs together with the one that looks at the range. c is looked for up to ``steepest``
+    over half the range of x, and at the c of ``start``.
 
     The model sees a row only through x, so rows are first reduced to count, mean and centred sum of squares of y
-    per distinct x; missing and NaN values are left out. Each pass is one aggregate of that table to eleven sums, which
-    the driver turns into a 3x3 system. The fit has converged when a step changes no coefficient any more, or when the
-    residuals are as good as at right angles to all three directions. Returns one row: a, b, c, n, rss,
-    passes, converged. If it did not converge there is a warning, or an error where ``strict``.
+    per distinct x; missing, NaN and infinite values are left out. Returns one row: a, b, c, n, rss, passes, converged.
+    It has converged if the residuals fall on one side of the c found and rise on the other, inside the range; if not there is
+    an error, or without ``strict`` a warning.
     """
-    shift = df.where(_both(x, y)).agg(F.avg(F.col(y).cast("double"))).first()[0]
+    rows = df.where(finite(x).isNotNull() & finite(y).isNotNull()).select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    shift, low, high = rows.agg(F.avg("y"), F.min("x"), F.max("x")).first()
     if shift is None:
         raise ValueError("no complete (x, y) rows to fit")
+    middle, half = (low + high) / 2, (high - low) / 2 or 1.0
+    # around the overall mean, so that a large offset of y costs no digits
+    miss = F.col("y") - F.lit(shift)
     points = (
-        df.where(_both(x, y))
-        .groupBy(F.col(x).cast("double").alias("x"))
-        .agg(
-            F.count(F.lit(1)).alias("m"),
-            # around the overall mean, so that a large offset of y costs no digits
-            F.avg(F.col(y).cast("double") - F.lit(shift)).alias("mean"),
-            (F.var_pop(F.col(y).cast("double") - F.lit(shift)) * F.count(F.lit(1))).alias("m2"),
-        )
+        rows.groupBy("x")
+        .agg(F.count(F.lit(1)).alias("m"), F.avg(miss).alias("mean"), (F.var_pop(miss) * F.count(F.lit(1))).alias("m2"))
+        .select(((F.col("x") - middle) / half).alias("z"), "m", "mean", "m2")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-
-    def sums(beta: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, int]:
-        a, b, c = (float(v) for v in beta)
-        e = F.exp(F.lit(c) * F.col("x"))
-        gradient = [F.lit(1.0), e, F.lit(b) * F.col("x") * e]
-        miss = F.col("mean") - (F.lit(a) + F.lit(b) * e)
-        row = points.agg(
-            *[
-                F.sum(F.col("m") * gradient[i] * gradient[j]).alias(f"h{i}{j}")
-                for i in range(3)
-                for j in range(i, 3)
-            ],
-            *[F.sum(F.col("m") * gradient[i] * miss).alias(f"g{i}") for i in range(3)],
-            F.sum(F.col("m2") + F.col("m") * miss * miss).alias("rss"),
-            F.sum("m").alias("n"),
-        ).first()
-        h = np.array([[row[f"h{min(i, j)}{max(i, j)}"] for j in range(3)] for i in range(3)])
-        g = np.array([row[f"g{i}"] for i in range(3)])
-        return h, g, float(row["rss"]), int(row["n"])
-
+    first = float(np.clip(start[2] * half, -steepest, steepest))
+    grid = np.unique(np.append(np.sinh(np.linspace(-4.5, 4.5, 60)) * steepest / np.sinh(4.5), first))
     try:
-        beta = np.array(start, dtype=float)
-        beta[0] -= shift
-        hessian, slope, rss, n = sums(beta)
-        damping, passes, converged = 0.0, 1, False
-        while passes < max_passes and not converged:
-            ridge = hessian + damping * np.diag(np.diag(hessian))
-            try:
-                step = np.linalg.solve(ridge, slope)
-            except np.linalg.LinAlgError:
-                damping = max(damping * 10, 1e-6)
-                if damping > 1e12:
-                    break
-                continue
-            trial = sums(beta + step)
-            passes += 1
-            if np.isfinite(trial[2]) and trial[2] <= rss * (1 + 1e-12):
-                still = bool(np.all(np.abs(step) <= tolerance * (np.abs(beta) + tolerance)))
-                beta, (hessian, slope, rss, n) = beta + step, trial
-                lengths = np.sqrt(np.diag(hessian) * rss)
-                level = bool(np.all(np.abs(slope) <= tolerance * lengths))
-                converged = level or (still and damping == 0.0)
-                damping = 0.0 if damping < 1e-9 else damping / 10
-            else:
-                # no step lowers the residuals any more: right if the slope is gone but for rounding
-                lengths = np.sqrt(np.diag(hessian) * rss)
-                converged = bool(np.all(np.abs(slope) <= 1e-6 * lengths)) and damping > 1e3
-                damping = max(damping * 10, 1e-3)
-                if damping > 1e12:
-                    break
+        found = _projected(points, grid)
+        best = int(np.argmin(found["rss"]))
+        inside = 0 < best < len(grid) - 1
+        left, right = grid[max(best - 1, 0)], grid[min(best + 1, len(grid) - 1)]
+        for passes in (3, 4):
+            grid = (0.5 - 0.5 * np.cos(np.pi * (np.arange(NODES) + 0.5) / NODES)) * (right - left) + left
+            found = _projected(points, grid)
+            best = int(np.argmin(found["rss"]))
+            k, reach = _sign_change(grid, found["slope"], best), (right - left) * 1e-3
+            left, right = k - reach, k + reach
     finally:
         points.unpersist()
 
+    alpha, beta, rss = (float(_through(grid, found[c])(k)) for c in ("alpha", "beta", "rss"))
+    turns = found["slope"][0] < 0 < found["slope"][-1]
+    converged = bool(inside and np.isfinite([k, alpha, beta, rss]).all() and k != 0 and beta != 0 and turns)
     if not converged:
         if strict:
-            raise ArithmeticError(f"the growth fit did not converge in {passes} passes")
-        warnings.warn(f"the growth fit did not converge in {passes} passes", stacklevel=2)
-    a, b, c = (float(v) for v in beta)
+            raise ArithmeticError("the growth fit did not converge")
+        warnings.warn("the growth fit did not converge", stacklevel=2)
+    # alpha + beta * (exp(k * z) - 1) / k in terms of x
+    c = k / half
+    b = beta / k * float(np.exp(-c * middle)) if k else 0.0
+    a = alpha - beta / k + shift if k else alpha + shift
     return df.sparkSession.createDataFrame(
-        [(a + shift, b, c, n, rss, passes, converged)],
+        [(a, b, c, int(found["n"][best]), max(rss, 0.0), passes, converged)],
         "a double, b double, c double, n bigint, rss double, passes int, converged boolean",
     )
 
 
+def _projected(points: DataFrame, grid: np.ndarray) -> dict[str, np.ndarray]:
+    """For each k of a grid the best line in ``u = (exp(k z) - 1) / k``: its coefficients, residuals, and their slope with k. One aggregate."""
+    k, z, m, mean = (F.col(c) for c in ("k", "z", "m", "mean"))
+    grown = F.expm1(k * z)
+    u = F.when(F.abs(k) < 1e-9, z).otherwise(grown / k)
+    v = F.when(F.abs(k) < 1e-4, z * z / 2 + k * z * z * z / 3).otherwise((z * (grown + 1) - grown / k) / k)
+    tried = points.select("*", F.posexplode(F.array(*[F.lit(float(g)) for g in grid])).alias("i", "k")).select("i", "m", "m2", "mean", u.alias("u"), v.alias("v"))
+    u, v = F.col("u"), F.col("v")
+    sums = {
+        "n": m, "y": m * mean, "yy": F.col("m2") + m * mean * mean, "u": m * u, "uu": m * u * u, "uy": m * u * mean,
+        "v": m * v, "uv": m * u * v, "vy": m * v * mean,
+    }
+    found = sorted(tried.groupBy("i").agg(*[F.sum(x).alias(c) for c, x in sums.items()]).collect())
+    s = {c: np.array([float(r[c]) for r in found]) for c in sums}
+    with np.errstate(all="ignore"):
+        spread = s["uu"] - s["u"] ** 2 / s["n"]
+        beta = np.where(spread > 0, (s["uy"] - s["u"] * s["y"] / s["n"]) / spread, 0.0)
+        alpha = (s["y"] - beta * s["u"]) / s["n"]
+        rss = s["yy"] - alpha * s["y"] - beta * s["uy"]
+        turn = beta * (s["vy"] - alpha * s["v"] - beta * s["uv"])
+    return {"n": s["n"], "alpha": alpha, "beta": beta, "rss": np.where(np.isfinite(rss), rss, np.inf), "slope": -2 * turn}
+
+
+def _through(grid: np.ndarray, values: np.ndarray) -> np.polynomial.Chebyshev:
+    return np.polynomial.Chebyshev.fit(grid, values, len(grid) - 1)
+
+
+def _sign_change(grid: np.ndarray, slope: np.ndarray, best: int) -> float:
+    """Where the slope turns from falling to rising, nearest to the best point; that point if it does not."""
+    curve = _through(grid, slope)
+    roots = curve.roots()
+    real = roots[np.abs(roots.imag) < 1e-9 * (grid[-1] - grid[0])].real
+    rising = [r for r in real if grid[0] <= r <= grid[-1] and curve.deriv()(r) > 0]
+    return float(min(rising, key=lambda r: abs(r - grid[best]))) if rising else float(grid[best])
+
+
 def _both(x: str, y: str) -> Column:
     return present(x).isNotNull() & present(y).isNotNull()
 

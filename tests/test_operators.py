@@ -266,6 +266,35 @@ def test_growth_fit_recovers_coefficients(spark):
         assert rss(fit.a + step[0], fit.b + step[1], fit.c + step[2]) >= fit.rss - 1e-9
 
 
+@pytest.mark.parametrize("a, b, c, noise", [
+    (-14.2, 7.44, 0.041, 0.0), (1e9, 7.44, 0.041, 0.5), (3.0, -2.0, -0.2, 0.01), (0.0, 1e-6, 0.3, 1e-3), (5.0, 1.0, 1e-3, 1e-6),
+])
+def test_growth_fit_of_other_curves(spark, a, b, c, noise):
+    """No noise, a large offset, decay, a steep and a nearly straight curve; infinite and missing values are left out."""
+    rng = np.random.default_rng(7)
+    x = rng.uniform(10, 70, 300)
+    y = a + b * np.exp(c * x) + noise * rng.normal(size=300)
+    rows = [(float(p), float(q)) for p, q in zip(x, y)] + [(None, 1.0), (float("nan"), 1.0), (20.0, float("inf")), (20.0, None)]
+    fit = fit_growth(spark.createDataFrame(rows, "x double, y double"), "x", "y").first()
+    assert fit.converged and fit.n == 300 and fit.passes == 4
+    assert abs(fit.c - c) < max(1e-7, 2e-2 * abs(c) * (noise > 0))
+    grown = np.exp(fit.c * x)
+    design = np.stack([np.ones(300), grown, x * grown], axis=1)
+    design /= np.linalg.norm(design, axis=0)
+    miss = y - fit.a - fit.b * grown
+    # residuals at right angles to what each coefficient changes
+    assert np.abs(design.T @ miss).max() <= 1e-5 * np.linalg.norm(miss) + 1e-9 * np.abs(y).max()
+
+
+def test_growth_fit_says_when_there_is_no_curve(spark):
+    flat = spark.createDataFrame([(float(i), 2.0) for i in range(9)], "x double, y double")
+    with pytest.raises(ArithmeticError):
+        fit_growth(flat, "x", "y")
+    with pytest.warns(UserWarning, match="did not converge"):
+        fit = fit_growth(flat, "x", "y", strict=False).first()
+    assert not fit.converged and fit.n == 9
+
+
 def test_growth_fit_needs_data(spark):
     with pytest.raises(ValueError):
         fit_growth(spark.createDataFrame([(None, 1.0)], "x double, y double"), "x", "y")
