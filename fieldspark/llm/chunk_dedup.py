@@ -138,9 +138,14 @@ def chunk_repeats(docs: DataFrame, least_run: int = LEAST_RUN, least: int = LEAS
 
 
 def without(text: str | None, removed: list) -> str:
-    """A text without byte ranges; a character cut in two at a border goes."""
+    """A text without byte ranges. A character that a border runs through stays whole."""
     data, out, at = (text or "").encode(), [], 0
     for span in removed:
-        out.append(data[at : span["start"]])
-        at = span["stop"]
-    return b"".join([*out, data[at:]]).decode(errors="ignore")
+        start, stop = span["start"], span["stop"]
+        while stop < len(data) and stop > start and data[stop] & 0xC0 == 0x80:  # the character goes on: back to its first byte
+            stop -= 1
+        while start < stop and data[start] & 0xC0 == 0x80:  # the character began before: on to the next one
+            start += 1
+        out.append(data[at:start])
+        at = max(stop, start)
+    return b"".join([*out, data[at:]]).decode()

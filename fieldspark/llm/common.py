@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -19,54 +17,30 @@ from fieldspark.session import checkpoint_root
 
 #: Text bytes that a Python worker handles at once.
 SLICE_BYTES = 1 << 20
-#: Bytes of a batch on its way between Spark and a Python worker, where Spark's own default is 64 MB.
+#: Bytes of a batch on its way between Spark and a Python worker while a table is written, where Spark's own default is 64 MB.
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
-
 _held: dict = {}
 
 
 def held(key: object, build: Callable[[], object]):
     """A large object that a Python worker keeps between tasks: the latest one only, as workers outlive a step."""
     if key not in _held:
-        let_go()
+        _held.clear()
         _held[key] = build()
     return _held[key]
 
 
-def let_go() -> None:
-    """Drop the object that this worker holds."""
-    if _held:
-        _held.clear()
-        hand_back()
-
-
-def hand_back() -> None:
-    """Give freed memory back to the system: workers outlive a step, and an executor's memory is shared by all of them."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def in_batches(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, keeps: bool = False) -> DataFrame:
-    """``mapInArrow`` in bounded memory.
-
-    Batches hold about ``BATCH_BYTES`` at most, unless the session names a bound itself. A step that ``keeps``
-    nothing starts without the ``held`` object of an earlier one, and freed memory is handed back when it ends.
-    """
-    spark = df.sparkSession
-    if spark.conf.get(BATCH_SETTING, None) is None:
-        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+    """``mapInArrow`` whose step, if it ``keeps`` nothing, starts without the ``held`` object of an earlier one."""
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not keeps:
-            let_go()
+            _held.clear()
         try:
             yield from step(batches)
         finally:
-            hand_back()
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(bounded, schema)
 
@@ -80,9 +54,18 @@ def workspace(spark: SparkSession, name: str) -> str:
 
 
 def landed(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Write a table in the shared folder and read it back, so that nothing before it runs again."""
+    """Write a table in the shared folder and read it back, so that nothing before it runs again.
+
+    Python workers get small batches meanwhile, unless the session names a bound itself.
+    """
     spark, path = df.sparkSession, f"{folder}/{name}"
-    df.write.parquet(path)
+    own = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, own or BATCH_BYTES)
+    try:
+        df.write.parquet(path)
+    finally:
+        if own is None:
+            spark.conf.unset(BATCH_SETTING)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -96,6 +79,61 @@ def text_column(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def numbered_rows(docs: DataFrame, folder: str) -> tuple[DataFrame, bool]:
+    """``row``, a number of its own for each row, rising with ``doc_id`` (null first), and the row itself as the struct ``it``.
+
+    Unique identifiers are their own numbers; the flag tells whether they are. Otherwise the rows are sorted in ranges and written
+    with a number; rows equal in identifier follow one another in order of their text's hash.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(quoted("doc_id").cast("long").alias("row"), F.struct(*map(quoted, docs.columns)).alias("it"))
+    total, distinct = rows.agg(F.count("*"), F.countDistinct("row")).first()
+    if total == distinct:
+        return rows, True
+    order = [F.col("row"), F.xxhash64("it.text")]
+    dealt = rows.repartitionByRange(partitions_for(spark), *order).sortWithinPartitions(*order)
+    return landed(dealt.select(F.monotonically_increasing_id().alias("row"), "it"), folder, "rows"), False
+
+
+#: Bits of a ``RowBits`` mask, which bounds what is broadcast: 64 to a row of its table.
+MASK_BITS = 1 << 24
+
+
+class RowBits:
+    """A mask of some rows, by a hash of their number: a bit that is not set tells that a row is surely not among them.
+
+    It spares a shuffle to most rows where few are looked for. Its size is fixed; with very many rows it tells
+    nothing any more, and then all of them are shuffled, with the same result.
+    """
+
+    def __init__(self, chosen: DataFrame, folder: str, name: str):
+        """``chosen``: a written table with column ``row``."""
+        self.chosen = chosen.select("row")
+        bits = self.chosen.select(self._bit("row").alias("bit")).groupBy(F.expr("bit div 64").alias("word"))
+        self.words = landed(bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS int))")).alias("bits")), folder, name)
+
+    @staticmethod
+    def _bit(row: str) -> Column:
+        return F.pmod(F.xxhash64(row), F.lit(MASK_BITS))
+
+    def _marked(self, rows: DataFrame) -> DataFrame:
+        """Adds ``maybe``, true for every chosen row and few others."""
+        words = F.broadcast(self.words.withColumnsRenamed({"word": "mask_word", "bits": "mask_bits"}))
+        bit = self._bit("row")
+        joined = rows.withColumn("mask_bit", bit).join(words, F.expr("mask_bit div 64") == F.col("mask_word"), "left")
+        maybe = F.coalesce(F.expr("getbit(mask_bits, cast(mask_bit % 64 AS int))") == 1, F.lit(False))
+        return joined.withColumn("maybe", maybe).drop("mask_bit", "mask_word", "mask_bits")
+
+    def maybe(self, rows: DataFrame) -> DataFrame:
+        """The rows without most of those that are not chosen."""
+        return self._marked(rows).where("maybe").drop("maybe")
+
+    def drop(self, rows: DataFrame) -> DataFrame:
+        """The rows that are not chosen."""
+        marked = self._marked(rows)
+        return marked.where("not maybe").union(marked.where("maybe").join(self.chosen, "row", "left_anti").select(*marked.columns)).drop("maybe")
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that each holds about ``most`` bytes of one text column, or one row."""
     for batch in batches:
@@ -199,14 +237,7 @@ def partitions_for(spark: SparkSession, least: int = 1) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), least)
 
 
-
 def discard(spark: SparkSession, folder: str, name: str) -> None:
     """Remove a table that ``landed`` wrote, once all that is read from it has been landed itself."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def tidy(spark: SparkSession) -> None:
-    """Let go of the shuffle files of finished steps now, not when the driver happens to collect its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import landed
+from fieldspark.llm.common import discard, landed
 
 #: Rounds after which something must be wrong: each round at least halves what is left to contract.
 MOST_ROUNDS = 60
@@ -16,10 +16,11 @@ def connected_components(edges: DataFrame, folder: str) -> DataFrame:
 
     Each round gives every node's larger neighbours, and then its smaller ones, the least of its neighbourhood;
     it ends when nothing but stars is left. The heaviest node spreads over tasks by Spark's skew handling
-    of the joins; minima are combined before the shuffle. Every round is written to ``folder``.
+    of the joins; minima are combined before the shuffle. Every round is written to ``folder``, where only the last one stays.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = landed(edges, folder, "edges")
+    spark, known = edges.sparkSession, "edges"
+    edges = landed(edges, folder, known)
     for round_ in range(MOST_ROUNDS):
         # large star: a node's larger neighbours are tied to the least of all
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -33,7 +34,9 @@ def connected_components(edges: DataFrame, folder: str) -> DataFrame:
         small = landed(small, folder, f"small{round_}")
         # stars are left when every node has one neighbour and no centre is tied to another
         state = small.groupBy("a").agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-        edges = small
+        for name in (known, f"large{round_}m", f"large{round_}", f"small{round_}m"):
+            discard(spark, folder, name)
+        edges, known = small, f"small{round_}"
         if state <= 1 and small.join(small.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
             break
     else:

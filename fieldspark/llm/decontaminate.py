@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import in_batches, landed, slices, workspace
+from fieldspark.llm.common import RowBits, in_batches, landed, numbered_rows, slices, workspace
 
 #: Words of benchmark items that are looked up in one pass, which bounds what each task is sent.
 BLOCK_WORDS = 500_000
@@ -229,7 +229,9 @@ def contamination(matches: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
-    """The rows of ``docs`` in which no window of the benchmark stands. Rows equal in id and text share their fate."""
-    key = F.xxhash64("doc_id", "text")
-    hit = benchmark_matches(docs.select(key.alias("doc_id"), "text"), benchmark, width).where(F.size("spans") > 0)
-    return docs.withColumn("__key", key).join(hit.select(F.col("doc_id").alias("__key")).distinct(), "__key", "left_anti").select(*docs.columns)
+    """The rows of ``docs``, all columns, in which no window of the benchmark stands; each row is decided on by its own text."""
+    folder = workspace(docs.sparkSession, "decontaminate")
+    rows, _ = numbered_rows(docs, folder)
+    matches = benchmark_matches(rows.select(F.col("row").alias("doc_id"), "it.text"), benchmark, width)
+    hit = landed(matches.where(F.size("spans") > 0).select(F.col("doc_id").alias("row")), folder, "hit")
+    return RowBits(hit, folder, "hit_mask").drop(rows).select("it.*")

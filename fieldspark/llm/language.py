@@ -14,27 +14,31 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fieldspark.llm.common import held, in_batches, slices, text_bytes
+from fieldspark.llm.common import held, in_batches, quoted, slices, text_bytes
 
 #: Longest context in bytes.
 ORDER = 3
-#: Training sample: about this many documents of each language, and of each at most this many bytes.
-SAMPLE_DOCS, SAMPLE_BYTES = 400, 16_384
+#: Training sample: about this many documents of each language, whole texts.
+SAMPLE_DOCS = 400
+
+#: Contexts whose code lengths are worked out at a time.
+CONTEXTS_AT_ONCE = 2048
 
 COUNT_SCHEMA = "lang string, size int, context long, next int, n long"
 
 
 def training_sample(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS) -> DataFrame:
     """Rows ``text, lang`` chosen by a hash of ``doc_id``, so that each language has about as many, its whole share if it has fewer."""
-    labelled = labelled.where("lang is not null and text is not null")
-    totals = labelled.groupBy("lang").agg(F.count("*").alias("__n"))
+    labelled = labelled.select("doc_id", "text", "lang").where("lang is not null and text is not null")
+    totals = labelled.groupBy("lang").agg(F.count("*").alias("total"))
     chance = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
     # one row for each language
-    return labelled.join(F.broadcast(totals), "lang").where(chance * F.col("__n") < docs_per_language).select("text", "lang")
+    return labelled.join(F.broadcast(totals), "lang").where(chance * F.col("total") < docs_per_language).select("text", "lang")
 
 
-def context_counts(sample: DataFrame, order: int = ORDER, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+def context_counts(sample: DataFrame, order: int = ORDER) -> DataFrame:
     """How often each byte follows each context of 0 to ``order`` bytes, by language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -42,7 +46,7 @@ def context_counts(sample: DataFrame, order: int = ORDER, most_bytes: int = SAMP
             data, ends = text_bytes(batch.column("text"))
             langs = np.array(batch.column("lang").to_pylist())
             for lang in np.unique(langs):
-                parts = [data[ends[i] : min(ends[i] + most_bytes, ends[i + 1])].astype(np.int64) for i in np.flatnonzero(langs == lang)]
+                parts = [data[ends[i] : ends[i + 1]].astype(np.int64) for i in np.flatnonzero(langs == lang)]
                 for size in range(order + 1):
                     keys = []
                     for p in parts:
@@ -76,26 +80,29 @@ class ContextTrees:
         #: symbols of a text: 0 for bytes never met, the last for places before its start
         self.width = width = len(seen) + 2
         self.nodes = np.zeros(width**order, np.int32)
-        rows = [np.zeros((1, width, len(langs)), np.float32)]
-        base = np.full((width, len(langs)), 8.0, np.float32)
-        parents = {(): 0}
-        count = 0
-        for k in range(order + 1):
+        levels = [np.unique(context[size == k]) if k else np.zeros(1, np.int64) for k in range(order + 1)]
+        self.bits = np.empty((sum(map(len, levels)), width, len(langs)), np.float32)
+        base = np.full((1, width, len(langs)), 8.0, np.float32)
+        parents: dict[tuple, int] = {}
+        first = 0
+        for k, contexts in enumerate(levels):
             of = size == k
-            contexts = np.unique(context[of])
-            if k == 0:
-                contexts = np.zeros(1, np.int64)
             where = np.searchsorted(contexts, context[of])
-            table = np.zeros((len(contexts), width, len(langs)), np.float32)
-            table[where, self.symbols[after[of]], lang[of]] = n[of]
+            own = np.argsort(where, kind="stable")
+            cells = [a[of][own] for a in (self.symbols[after], lang, n)]
+            where = where[own]
             symbols = np.array([[self.symbols[c >> 8 * (k - 1 - i) & 255] for i in range(k)] for c in contexts.tolist()], np.int64).reshape(len(contexts), k)
             # the shorter context without the oldest byte; every end of a seen context is seen
-            shorter = rows[-1][np.array([parents[tuple(s[1:])] for s in symbols.tolist()], np.int64)] if k else base[None]
-            rows.append(_bits(table, shorter))
-            parents = {tuple(s): i for i, s in enumerate(symbols.tolist())}
-            self._place(symbols, count, k)
-            count += len(contexts)
-        self.bits = np.concatenate([r.astype(np.float32) for r in rows[1:]])
+            shorter = np.array([parents[tuple(s[1:])] for s in symbols.tolist()], np.int64) if k else None
+            for start in range(0, len(contexts), CONTEXTS_AT_ONCE):
+                stop = min(start + CONTEXTS_AT_ONCE, len(contexts))
+                a, b = np.searchsorted(where, [start, stop])
+                table = np.zeros((stop - start, width, len(langs)), np.float32)
+                table[where[a:b] - start, cells[0][a:b], cells[1][a:b]] = cells[2][a:b]
+                self.bits[first + start : first + stop] = _bits(table, self.bits[shorter[start:stop]] if k else base)
+            parents = {tuple(s): first + i for i, s in enumerate(symbols.tolist())}
+            self._place(symbols, first, k)
+            first += len(contexts)
 
     def _place(self, symbols: np.ndarray, first: int, k: int) -> None:
         """Point every full context that ends with one of these at it; longer known ends come later and win."""
@@ -151,12 +158,13 @@ def _build(model: bytes) -> ContextTrees:
     return ContextTrees(langs, [lang, *(table.column(c).to_numpy().astype(np.int64) for c in ("size", "context", "next", "n"))])
 
 
-def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS, most_bytes: int = SAMPLE_BYTES) -> bytes:
+def fit(labelled: DataFrame, docs_per_language: int = SAMPLE_DOCS) -> bytes:
     """The context counts of a bounded sample of labelled texts (``doc_id, text, lang``), as Arrow bytes.
 
-    The counts reach the driver: no more than the sample has bytes, times the four context sizes.
+    The bound is on documents; each is learned from as a whole. The counts reach the driver: a row for each context of at most three bytes
+    and the byte after it that the sample holds.
     """
-    table = context_counts(training_sample(labelled, docs_per_language), most_bytes=most_bytes).toArrow()
+    table = context_counts(training_sample(labelled, docs_per_language)).toArrow()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as writer:
         writer.write_table(table)
@@ -171,22 +179,21 @@ def identify(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     gives ``und`` and 0. Columns of ``docs`` with these two names are replaced.
     """
     columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns], F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False)).alias("__letter"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "__letter")
+    # the other columns travel as one, so that no name can clash
+    rows = docs.select(F.struct(*map(quoted, columns)).alias("it"), quoted(text).alias("text"), F.coalesce(quoted(text).rlike(r"\p{L}"), F.lit(False)).alias("letter"))
+    schema = T.StructType([rows.schema["it"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = _trees(model)
-        for batch in slices(batches, text):
-            letter = np.asarray(batch.column("__letter"))
+        for batch in slices(batches, "text"):
+            letter = np.asarray(batch.column("letter"))
             names, scores = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
             if trees.langs:
-                bits = trees.code_lengths(*text_bytes(batch.column(text)))
+                bits = trees.code_lengths(*text_bytes(batch.column("text")))
                 best = bits.argmin(1)
                 share = 1 / np.exp2(np.minimum(bits[np.arange(len(best)), best][:, None] - bits, 0)).sum(1)
                 names = np.where(letter, np.array(trees.langs, object)[best], "und")
                 scores = np.where(letter, share, 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), pa.array(names, pa.string()), pa.array(scores)], [*columns, "lang_pred", "score"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("it"), pa.array(names, pa.string()), pa.array(scores)], schema.names)
 
-    return in_batches(rows, score, f"{fields}, lang_pred string, score double", keeps=True)
+    return in_batches(rows, score, schema, keeps=True).select("it.*", "lang_pred", "score")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldspark.llm.common import discard, in_batches, landed, partitions_for, slices, text_bytes, tidy, workspace
+from fieldspark.llm.common import RowBits, discard, in_batches, landed, numbered_rows, partitions_for, slices, workspace
 from fieldspark.llm.components import connected_components
 from fieldspark.llm.hashing import mix, salt, shingle_sets
 
@@ -96,23 +96,21 @@ def _named(keys: np.ndarray, number: np.uint64) -> np.ndarray:
     return keys >> np.uint64(CLASS_BITS) << np.uint64(CLASS_BITS) | number
 
 
-def shingle_table(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Rows ``doc_id, n_shingles, d1, d2, keys, shared``: size and digest of each text's shingle set, and what ``Slicing.keys`` gives."""
+def shingle_table(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """From ``row, text`` rows ``row, n_shingles, digest, keys, shared``: size and digest of each text's shingle set, and what ``Slicing.keys`` gives."""
     slicing = Slicing(percent)
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sets = shingle_sets(*text_bytes(batch.column("text")), width)
+            sets, digests = zip(*shingle_sets([(t or "").encode() for t in batch.column("text").to_pylist()], width))
             keys, shared = zip(*[slicing.keys(s) if len(s) else (np.zeros(0, np.int64), []) for s in sets])
-            digests = [np.array([mix(s ^ salt(i)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64) for i in (5, 6)]
             bounds = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(keys)))
-            columns = [batch.column("doc_id"), pa.array(np.array([len(s) for s in sets], np.int64)), *map(pa.array, digests), lists]
+            columns = [batch.column("row"), pa.array(np.array([len(s) for s in sets], np.int64)), pa.array(digests, pa.binary()), lists]
             columns.append(pa.array([[{"class": c, "n": n} for c, n in x] for x in shared], pa.list_(pa.struct([("class", pa.int32()), ("n", pa.int32())]))))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "d1", "d2", "keys", "shared"])
+            yield pa.RecordBatch.from_arrays(columns, ["row", "n_shingles", "digest", "keys", "shared"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return in_batches(rows, shingle, "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, shared array<struct<class:int,n:int>>")
+    return in_batches(rows, shingle, "row long, n_shingles long, digest binary, keys array<long>, shared array<struct<class:int,n:int>>")
 
 
 def region_edges(rows: DataFrame, folder: str, name: str) -> DataFrame:
@@ -183,7 +181,6 @@ def region_pairs(rows: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
             yield _ties(nodes[large], nodes[large], pa.array(keys[large]))
 
     found = landed(in_batches(ordered, pair, "a long, b long, key long"), folder, "pairs")
-    tidy(rows.sparkSession)
     return found.where("key is null").select("a", "b"), found.where("key is not null").select("key", F.col("a").alias("node"))
 
 
@@ -318,28 +315,22 @@ def _region_links(placed: DataFrame, width: int, percent: int) -> DataFrame:
     return in_batches(placed, link, "cluster long, a long, b long")
 
 
-def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """Classes of texts linked by Jaccard similarity of their word-shingle sets (``doc_id``, ``text``).
-
-    Words are runs without white space, A-Z in lower case. A set holds the distinct shingles of ``width`` words; with fewer words the
-    whole sequence is one; a null text or one without words is linked with nothing. Two sets link when
-    100 * intersection >= ``percent`` * union, exactly. Returns for each row ``doc_id, n_shingles, component_id``, the smallest
-    ``doc_id`` that links lead to. Rows with one ``doc_id`` are one node; a row without is linked with nothing and has
-    no component. No rows give no rows; further columns are not read.
-    """
-    spark = docs.sparkSession
-    folder, n = workspace(spark, "metric_join"), partitions_for(spark)
-    keyed = landed(shingle_table(docs, width, percent), folder, "keyed")
+def _classes(rows: DataFrame, width: int, percent: int, folder: str) -> DataFrame:
+    """Classes of texts, from ``row, text``: ``row, n_shingles, first``, the smallest row that links lead to."""
+    spark, n = rows.sparkSession, partitions_for(rows.sparkSession)
+    keyed = landed(shingle_table(rows, width, percent), folder, "keyed")
     sets = landed(keyed.drop("keys", "shared"), folder, "sets")
-    full = sets.where("n_shingles > 0 and doc_id is not null")
-    # equal sets: the smallest id stands for all
-    equal = landed(full.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("node")), folder, "equal")
-    rows = keyed.where("n_shingles > 0 and doc_id is not null").join(equal.select("d1", "d2", "n_shingles", F.col("node").alias("doc_id")), ["doc_id", "d1", "d2", "n_shingles"], "left_semi")
-    edges = landed(candidate_edges(rows.select(F.col("doc_id").alias("node"), "keys", "shared"), folder), folder, "edges")
-    discard(spark, folder, "keyed")
-    discard(spark, folder, "pairs")
-    tidy(spark)
+    full = sets.where("n_shingles > 0")
+    # equal sets: the smallest row stands for all
+    equal = landed(full.groupBy("digest", "n_shingles").agg(F.min("row").alias("node")), folder, "equal")
+    copies = full.join(equal, ["digest", "n_shingles"]).where("row <> node").select("row")
+    copies = RowBits(landed(copies, folder, "copies"), folder, "copies_mask")
+    alone = copies.drop(keyed.where("n_shingles > 0").select("row", "keys", "shared"))
+    edges = landed(candidate_edges(alone.select(F.col("row").alias("node"), "keys", "shared"), folder), folder, "edges")
+    for name in ("keyed", "pairs", "needs", "least", "ties", "copies"):
+        discard(spark, folder, name)
     clusters = landed(connected_components(edges, f"{folder}/clusters").withColumnRenamed("component", "cluster"), folder, "members")
+    discard(spark, folder, "clusters")
     # a cluster is one region, or all pairs of blocks if it is large
     weighed = clusters.join(equal.groupBy("node").agg(F.sum("n_shingles").alias("n")), "node")
     weights = landed(weighed.groupBy("cluster").agg(F.sum("n").alias("n")), folder, "weights")
@@ -349,22 +340,60 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     placed = placed.select("node", "cluster", "blocks", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     placed = landed(placed, folder, "placed")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(placed.drop("blocks").hint("shuffle_hash"), "node")
+    wanted = RowBits(clusters.select(F.col("node").alias("row")), folder, "members_mask")
+    texts = wanted.maybe(rows.select("row", "text")).withColumnRenamed("row", "node").join(placed.drop("blocks").hint("shuffle_hash"), "node")
     texts = texts.repartition(n, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node")
     links = landed(_region_links(texts, width, percent), folder, "links")
     split = placed.where("blocks > 1").select("cluster").distinct()
     once = links.join(split, "cluster", "left_anti").select(F.col("b").alias("node"), F.col("a").alias("component"))
     again = connected_components(links.join(split, "cluster", "left_semi").select("a", "b"), f"{folder}/split")
     found = once.union(again).groupBy("node").agg(F.min("component").alias("component"))
-    named = equal.join(found, "node", "left").select("d1", "d2", "n_shingles", F.coalesce("component", "node").alias("component_id"))
+    named = equal.join(found, "node", "left").select("digest", "n_shingles", F.coalesce("component", "node").alias("first"))
     named = landed(named, folder, "named")
-    linked = full.join(named, ["d1", "d2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
-    alone = sets.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.union(alone)
+    for name in ("edges", "members", "weights", "placed", "links", "split", "equal"):
+        discard(spark, folder, name)
+    linked = full.join(named, ["digest", "n_shingles"]).select("row", "n_shingles", "first")
+    return linked.union(sets.where("n_shingles = 0").select("row", "n_shingles", F.col("row").alias("first")))
+
+
+def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
+    """Classes of texts linked by Jaccard similarity of their word-shingle sets (``doc_id``, ``text``).
+
+    Words are runs without white space, A-Z in lower case. A set holds the distinct shingles of ``width`` words; with fewer words the
+    whole sequence is one; a null text or one without words is linked with nothing. Two sets link when
+    100 * intersection >= ``percent`` * union, exactly; sets with one 128-bit digest count as equal. Returns for each row ``doc_id,
+    n_shingles, component_id``, the smallest ``doc_id`` that links lead to. Rows with one ``doc_id`` are one node, whatever their
+    texts; a row without is linked with nothing and has no component. No rows give no rows; further columns are not read.
+    """
+    spark = docs.sparkSession
+    folder = workspace(spark, "metric_join")
+    rows, unique = numbered_rows(docs.select("doc_id", "text"), folder)
+    known = rows.where("it.doc_id is not null").select("row", "it.text", F.col("it.doc_id").cast("long").alias("doc_id"))
+    classes = _classes(known.select("row", "text"), width, percent, folder)
+    if unique:
+        return classes.select(F.col("row").alias("doc_id"), "n_shingles", F.col("first").alias("component_id"))
+    names = known.select("row", "doc_id")
+    classes = classes.join(names, "row").join(names.select(F.col("row").alias("first"), F.col("doc_id").alias("class")), "first")
+    classes = landed(classes.select("doc_id", "n_shingles", "class"), folder, "classes")
+    # classes that meet in one identifier are one
+    met = classes.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a <> z")
+    ties = classes.join(met, "doc_id").select("a", F.col("class").alias("b"))
+    whole = connected_components(ties, f"{folder}/met")
+    classes = classes.join(whole, F.col("class") == F.col("node"), "left")
+    out = classes.select("doc_id", "n_shingles", F.coalesce("component", "class").alias("component_id"))
+    none = rows.where("it.doc_id is null").select(F.lit(None).cast("long").alias("row"), "it.text")
+    sizes = shingle_table(none, width, percent).select(F.col("row").alias("doc_id"), "n_shingles", F.col("row").alias("component_id"))
+    return out.union(sizes)
 
 
 def drop_near(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """The rows of ``docs`` of which each class of ``jaccard_components`` keeps that with the smallest ``doc_id``."""
-    classes = jaccard_components(docs, width, percent)
-    gone = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs``, all columns, of which each class of linked texts keeps one: that with the smallest ``doc_id``.
+
+    Links are those of ``jaccard_components``, but every row is decided on by its own text: rows that share a ``doc_id`` stay if
+    their texts are not alike. A row without ``doc_id`` or words stays.
+    """
+    folder = workspace(docs.sparkSession, "metric_join")
+    rows, _ = numbered_rows(docs, folder)
+    known = rows.where("it.doc_id is not null").select("row", "it.text")
+    gone = landed(_classes(known, width, percent, folder).where("row <> first").select("row"), folder, "gone")
+    return RowBits(gone, folder, "gone_mask").drop(rows).select("it.*")

@@ -62,7 +62,50 @@ def op7(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-@_query("op9_positional_index")
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@_query(
+    "op9_positional_index",
+    rf"""
+    WITH docs AS (
+        SELECT doc_id, {_WORDS} AS w FROM documents
+    ), places AS (
+        SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs
+    ), counts AS (
+        SELECT word, count(*) AS n FROM places GROUP BY word
+    ), items AS (
+        SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL
+    ), started AS (
+        SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM items WHERE len(w) > 0
+    ), windows AS (
+        SELECT DISTINCT item, list_slice(w, k, least(k + 9, len(w))) AS ws FROM started
+    ), exact AS (
+        SELECT DISTINCT p.doc_id, x.item, p.i, len(x.ws) AS size FROM windows x JOIN places p ON p.word = x.ws[1] JOIN docs d ON d.doc_id = p.doc_id
+        WHERE list_slice(d.w, p.i, p.i + len(x.ws) - 1) = x.ws
+    ), hits AS (
+        SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM exact) GROUP BY doc_id
+    ), found AS (
+        SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS ids FROM exact GROUP BY doc_id
+    ), distinct_windows AS (
+        SELECT DISTINCT ws FROM windows
+    ), terms AS (
+        SELECT ws, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS k FROM distinct_windows
+    ), rarest AS (
+        SELECT ws, arg_min(word, (n, k)) AS word FROM terms JOIN counts USING (word) GROUP BY ws HAVING count(*) = len(ws)
+    ), close_by AS (
+        -- around a place of a window's rarest word: those of its words that stand at most the window's length and 5 words away
+        SELECT DISTINCT r.ws, p.doc_id, p.i, t.k FROM rarest r JOIN places p ON p.word = r.word JOIN terms t ON t.ws = r.ws
+        JOIN places q ON q.doc_id = p.doc_id AND q.word = t.word AND abs(q.i - p.i) <= len(r.ws) - 1 + 5
+    ), near AS (
+        SELECT doc_id, count(DISTINCT item) AS n_near FROM (SELECT ws, doc_id, i FROM close_by GROUP BY ALL HAVING count(*) = len(ws)) c JOIN windows USING (ws) GROUP BY doc_id
+    )
+    SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(f.n_items, 0) AS n_items, sha256(coalesce(f.ids, '')) AS items_sha256,
+           coalesce(n.n_near, 0) AS n_near_items, coalesce(h.n_hit, 0) > 0 AS contaminated
+    FROM docs d LEFT JOIN hits h USING (doc_id) LEFT JOIN found f USING (doc_id) LEFT JOIN near n USING (doc_id)
+    """,
+)
 def op9(spark: SparkSession, directory: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{directory}/benchmark.parquet")
     return decontaminate.contamination(decontaminate.benchmark_matches(documents(spark, directory), benchmark))
@@ -84,7 +127,31 @@ def op4(spark: SparkSession, directory: str) -> DataFrame:
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-@_query("op5_metric_join")
+@_query(
+    "op5_metric_join",
+    rf"""
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+                            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+        FROM worded
+    ), sizes AS (
+        SELECT doc_id, len(s) AS n FROM sets
+    ), shingles AS (
+        SELECT doc_id, unnest(s) AS shingle FROM sets
+    ), common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+    ), links AS (
+        SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b WHERE 100 * c.n >= 90 * (x.n + y.n - c.n)
+    ), reached AS (
+        SELECT doc_id, doc_id AS other FROM sizes
+        UNION
+        SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+    )
+    SELECT doc_id, n AS n_shingles, min(other) AS component_id FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id, n
+    """,
+)
 def op5(spark: SparkSession, directory: str) -> DataFrame:
     return metric_join.jaccard_components(documents(spark, directory), width=3, percent=90)
 

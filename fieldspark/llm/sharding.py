@@ -12,6 +12,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldspark.llm.common import quoted
+
 #: Slots of the table: prime, and many for each shard. The table's size bounds what is broadcast.
 SLOTS = 65_537
 #: Parts that one shard is written in.
@@ -55,13 +57,14 @@ def assign_shards(docs: DataFrame, shards: list[str], key: Column | str = "doc_i
     data. No rows give no rows.
     """
     table = F.broadcast(table_frame(docs.sparkSession, shards, slots))
-    hashed = F.pmod(F.xxhash64(key if isinstance(key, Column) else F.col(key)), F.lit(slots)).cast("int")
-    return docs.drop("slot", "shard").withColumn("slot", hashed).join(table, "slot").select(
-        *[c for c in docs.columns if c not in ("slot", "shard")], "slot", "shard"
-    )
+    hashed = F.pmod(F.xxhash64(key if isinstance(key, Column) else quoted(key)), F.lit(slots)).cast("int")
+    carried = [c for c in docs.columns if c not in ("slot", "shard")]
+    return docs.select(F.struct(*map(quoted, carried)).alias("it"), hashed.alias("slot")).join(table, "slot").select("it.*", "slot", "shard")
 
 
 def write_shards(assigned: DataFrame, path: str, writers: int = WRITERS) -> None:
     """Write a folder ``shard=<name>`` for each shard, each by ``writers`` tasks, so that none is one task's work."""
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, kind in assigned.dtypes if kind in ("bigint", "int", "string")]), F.lit(writers))
-    assigned.repartition("shard", salt).write.partitionBy("shard").parquet(path)
+    kinds = ("tinyint", "smallint", "int", "bigint", "float", "double", "string", "binary", "boolean", "date", "timestamp", "timestamp_ntz")
+    plain = [quoted(c) for c, kind in assigned.dtypes if c != "shard" and (kind in kinds or kind.startswith("decimal"))]
+    salt = F.pmod(F.xxhash64(*plain, F.lit(0)), F.lit(writers))
+    assigned.repartition(quoted("shard"), salt).write.partitionBy("shard").parquet(path)

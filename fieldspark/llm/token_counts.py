@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from fieldspark.llm import tokens
-from fieldspark.llm.common import landed, slices, text_column, workspace
+from fieldspark.llm.common import in_batches, landed, quoted, slices, text_column, workspace
 
 CACHE_SCHEMA = "digest binary, version string, n_tokens long"
 
@@ -39,7 +39,7 @@ def count_tokens(
     """
     spark = docs.sparkSession
     folder, version = workspace(spark, "counts"), tokens.version(tokenizer_path)
-    rows = docs.select(F.col(id_column).alias("__id"), (text if text is not None else text_column()).alias("__text"))
+    rows = docs.select(quoted(id_column).alias("__id"), (text if text is not None else text_column()).alias("__text"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("__text", 256)))
     digests = landed(rows.select("__id", "digest", F.octet_length("__text").cast("long").alias("n_bytes")), folder, "digests")
     known = read_cache(spark, cache_path).where(F.col("version") == version)
@@ -59,7 +59,7 @@ def count_tokens(
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts)], ["digest", "n_tokens"])
 
     # rows equal in text and identifier are encoded each, but stored once
-    counted = misses.select("digest", "__text").mapInArrow(encode, schema).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    counted = in_batches(misses.select("digest", "__text"), encode, schema, keeps=True).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     counted.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache_path)
     known = read_cache(spark, cache_path).where(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     known = landed(known, folder, "known")

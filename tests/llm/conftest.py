@@ -8,6 +8,11 @@ def rows_of(texts, first=0):
     return [(first + i, t, "en", "s", "k", 1, 2) for i, t in enumerate(texts)]
 
 
+@pytest.fixture(scope="session")
+def base():
+    return BASE
+
+
 @pytest.fixture(scope="session")
 def odd(spark):
     """Nulls in any column, empty and very long texts, ties, repeated rows, and columns with clashing names."""

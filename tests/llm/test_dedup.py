@@ -137,10 +137,35 @@ def test_components(spark):
 
 def test_shingle_sets_do_not_cross_texts():
     texts = [b"a b c", b"", b"d", b"a  B\tc d", b"b c d e", b"d"]
-    ends = np.cumsum([0, *map(len, texts)])
-    sets = shingle_sets(np.frombuffer(b"".join(texts), np.uint8), ends, 3)
+    sets, digests = zip(*shingle_sets(texts, 3))
     assert [len(s) for s in sets] == [1, 0, 1, 2, 2, 1]
     assert sets[0][0] in sets[3] and not set(sets[0]) & set(sets[4]) and sets[2] == sets[5]
+    assert [digests.index(d) for d in digests] == [0, 1, 2, 3, 4, 2]
+    assert [len(s) for s, _ in shingle_sets([], 3)] == []
+
+
+def test_words_that_defeat_a_polynomial_hash_are_not_linked(spark):
+    """Letters by the parity of the bits of their place, and the opposite letters: no shingle in common."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    opposite = word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, word), (2, opposite), (3, word), (4, f"{word} {opposite} x"), (5, f"{opposite} {word} x")], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in metric_join.jaccard_components(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
+def test_rows_that_share_an_identifier(spark, base):
+    """Classes join rows of one identifier; a filter decides on each row by its own text."""
+    other = "quite another text of more than a few words that has nothing in common"
+    rows = [(3, base), (5, base), (5, other), (7, other + " indeed"), (8, None), (8, base), (None, base), (None, base), (9, "alone but here"), (9, "alone but here")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, row long").repartition(3)
+    kept = metric_join.drop_near(docs, 3, 80)
+    assert kept.columns == docs.columns
+    assert sorted((r.row for r in kept.collect()), key=int)[:1] == [0]
+    stays = sorted((r.doc_id if r.doc_id is not None else -1, r.text or "") for r in kept.collect())
+    assert stays == sorted([(3, base), (5, other), (8, ""), (-1, base), (-1, base), (9, "alone but here")])
+    classes = metric_join.jaccard_components(docs, 3, 80)
+    assert classes.count() == len(rows)
+    assert {(r.doc_id, r.component_id) for r in classes.collect()} == {(3, 3), (5, 3), (7, 3), (8, 3), (None, None), (9, 9)}
 
 
 def repeats(rows, length=100):
