@@ -6,13 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldspark.llm import best_fit, content_sort, decontaminate, language, metric_join
-from fieldspark.llm.common import landed, workspace
+from fieldspark.llm.common import landed, quoted, workspace
 from fieldspark.llm.queries import language_model
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without text or without a letter go: no language can be told."""
-    columns = docs.columns
+    columns = [quoted(c) for c in docs.columns]
     return language.identify(docs, language_model(docs)).where("lang_pred <> 'und'").select(*columns)
 
 
