@@ -18,7 +18,7 @@ from fieldspark.plans.explore import filter_choices
 from fieldspark.plans.site_tables import margin_site_table, recovery_site_table
 from fieldspark.sources.landed import drop_first_row
 from fieldspark.sources.snapshot import expired
-from fieldspark.sources.typing import all_text, apply_schema, infer_schema, type_convert
+from fieldspark.sources.typing import all_text, apply_schema, infer_schema, type_convert, unreadable
 
 
 @query(
@@ -121,6 +121,25 @@ def converted(t):
     return type_convert(all_text(text))
 
 
+@query(
+    "unreadable_cells",
+    f"""WITH x AS (SELECT {_K} AS k FROM orders)
+       SELECT 'day' AS "column", 'date' AS type, count(*) FILTER (WHERE k % 4 = 0) AS n_unreadable,
+              CASE WHEN count(*) FILTER (WHERE k % 4 = 0) > 0 THEN '2025-02-30' END AS example FROM x
+       UNION ALL SELECT 'price', 'double', count(*) FILTER (WHERE k % 5 = 0), min(CASE WHEN k % 5 = 0 THEN k || 'd' END) FROM x
+       UNION ALL SELECT 'sent', 'timestamp', 0, NULL""",
+)
+def unread(t):
+    key, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    text = t.orders.select(
+        F.when(key % 4 == 0, "2025-02-30").otherwise(F.date_format(day, "M/d/yyyy")).alias("day"),
+        F.when(key % 5 == 0, F.concat(text_of("o_orderkey"), F.lit("d"))).when(key % 5 > 1, text_of("o_totalprice")).alias("price"),
+        F.concat_ws(" ", day.cast("string"), F.lit("10:11:12")).alias("sent"),
+    )
+    schema = T.StructType([T.StructField("day", T.DateType()), T.StructField("price", T.DoubleType()), T.StructField("sent", T.TimestampType())])
+    return unreadable(text, schema, {"day": ["M/d/yyyy"], "sent": ["yyyy-MM-dd HH:mm:ss"]})
+
+
 @query(
     "profile_range",
     """SELECT count(*) AS n, min(l_shipdate) AS min_l_shipdate, max(l_shipdate) AS max_l_shipdate,

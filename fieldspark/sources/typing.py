@@ -104,6 +104,24 @@ def apply_schema(
     return df.withColumns(out) if out else df
 
 
+def unreadable(df: DataFrame, schema: T.StructType, date_formats: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """What ``apply_schema`` would make missing: ``column, type, n_unreadable`` and the least such text as ``example``, a row for each text column.
+
+    One aggregate over the table, whatever the number of columns.
+    """
+    kinds = dict(df.dtypes)
+    fields = [f for f in schema if kinds[f.name] == "string" and not isinstance(f.dataType, T.StringType)]
+    read = apply_schema(df.select(*[F.col(f.name).alias(f.name) for f in fields], *[F.col(f.name).alias(f"__was_{f.name}") for f in fields]), T.StructType(fields), date_formats)
+    lost = {f.name: F.when(F.col(f.name).isNull(), F.col(f"__was_{f.name}")) for f in fields}
+    found = F.array(
+        *[
+            F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.count(lost[f.name]).alias("n_unreadable"), F.min(lost[f.name]).alias("example"))
+            for f in fields
+        ]
+    )
+    return read.agg(found.alias("f")).select(F.explode("f").alias("f")).select("f.*")
+
+
 def all_text(df: DataFrame, sentinel: str = "NULL", exclude: Sequence[str] = ()) -> DataFrame:
     """Every column as text, the sentinel as missing."""
     return df.select(

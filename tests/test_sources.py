@@ -80,6 +80,13 @@ def test_every_kind_is_inferred(spark):
     assert typing.type_convert(df.limit(0)).dtypes == df.dtypes
 
 
+def test_unreadable_cells_are_counted(spark):
+    df = spark.createDataFrame([("1", "7/1/2025", "x"), ("5d", "soon", "y"), (None, None, "z"), ("7F", "2/30/2025", "z")], "n string, d string, t string")
+    schema = T.StructType([T.StructField("n", T.DoubleType()), T.StructField("d", T.DateType()), T.StructField("t", T.StringType())])
+    got = [tuple(r) for r in typing.unreadable(df, schema, {"d": ["M/d/yyyy"]}).collect()]
+    assert got == [("n", "double", 2, "5d"), ("d", "date", 2, "2/30/2025")]
+
+
 def test_inference_is_one_aggregate(spark, monkeypatch):
     df = spark.createDataFrame([("1", "x")], "a string, b string")
     calls = []
