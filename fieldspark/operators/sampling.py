@@ -71,7 +71,8 @@ def weighted_sample(
     if fallback is not None:
         units = _share_units(fallback, prob).select(size, "__units")
         types = {f.name: f.dataType for f in groups.schema}
-        other = running_total(units.withColumn("__all", F.lit(0)), ["__all"], size, "__units")
+        # one key for all rows, which Spark does not see through: a join on a constant would be a product
+        other = running_total(units.withColumn("__all", F.least("__units", F.lit(0))), ["__all"], size, "__units")
         all_places = groups.agg(F.coalesce(F.sum(places), F.lit(1))).scalar()
         ranges = ranges.unionByName(
             other.drop("__all").withColumns(
