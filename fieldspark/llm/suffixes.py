@@ -25,6 +25,8 @@ LENGTH, GRAM = 100, 32
 SHALLOW_WORDS = 4
 #: Stretches of one bucket that one task sorts; the strings of larger buckets are dealt out one by one.
 BUCKET = 4096
+#: Text bytes that are cut in stretches at a time.
+PIECE = 1 << 20
 #: Stretches sorted at a time.
 SORTED_AT_ONCE = 4096
 
@@ -59,16 +61,20 @@ def stretches(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: in
     sums = running_sums(data)
     at = np.arange(len(data) - gram + 1)
     hashes = span_hash(sums, at, at + gram)
-    # lowest hash in each window; of equal ones the first, as low bits hold the place
-    bits = np.uint64(max(1, int(len(data)).bit_length()))
-    lowest = (hashes >> bits << bits) | at.astype(np.uint64)
-    width, reach = length - gram + 1, 1
+    # the place of the lowest hash in each window; of equal ones the first
+    width, reach, place = length - gram + 1, 1, at.astype(np.int32)
+
+    def lower(apart: int) -> tuple[np.ndarray, np.ndarray]:
+        later = lowest[apart:] < lowest[:-apart]
+        return np.where(later, lowest[apart:], lowest[:-apart]), np.where(later, place[apart:], place[:-apart])
+
+    lowest = hashes
     while reach * 2 <= width:
-        lowest = np.minimum(lowest[:-reach], lowest[reach:])
+        lowest, place = lower(reach)
         reach *= 2
     if width > reach:
-        lowest = np.minimum(lowest[: len(lowest) - (width - reach)], lowest[width - reach :])
-    anchor = (lowest & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)[:n]
+        lowest, place = lower(width - reach)
+    anchor = place[:n].astype(np.int64)
     text = np.searchsorted(ends, np.arange(n), "right")
     new = starts.copy()
     new[1:] &= (anchor[1:] != anchor[:-1]) | ~starts[:-1] | (text[1:] != text[:-1])
@@ -84,13 +90,18 @@ def stretch_table(rows: DataFrame) -> DataFrame:
     """Rows ``bucket, whole, row, start, last``: an anchor's hash, its stretch's hash, and where its strings start."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text", PIECE):
             data, ends = text_bytes(batch.column("text"))
-            _, first, final, bucket, whole = stretches(data, ends)
-            text = np.searchsorted(ends, first, "right") - 1
-            row = batch.column("row").to_numpy()[text]
-            columns = [bucket.view(np.int64), whole.view(np.int64), row, (first - ends[text]).astype(np.int32), (final - ends[text]).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bucket", "whole", "row", "start", "last"])
+            # a long text comes alone, and is cut piece by piece: strings that start in one end in the next
+            for offset in range(0, len(data), PIECE) if batch.num_rows == 1 else (0,):
+                part, bounds = (data[offset : offset + PIECE + LENGTH - 1], None) if batch.num_rows == 1 else (data, ends)
+                bounds = np.array([0, len(part)]) if bounds is None else bounds
+                _, first, final, bucket, whole = stretches(part, bounds)
+                text = np.searchsorted(bounds, first, "right") - 1
+                row = batch.column("row").to_numpy()[text]
+                shift = offset - bounds[text]
+                columns = [bucket.view(np.int64), whole.view(np.int64), row, (first + shift).astype(np.int32), (final + shift).astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bucket", "whole", "row", "start", "last"])
 
     return rows.select("row", "text").mapInArrow(cut, "bucket long, whole long, row long, start int, last int")
 
@@ -296,6 +307,40 @@ def deal_strings(firsts: DataFrame) -> DataFrame:
     return later.select("row", "start", F.col("start").alias("last"))
 
 
+def merged_runs(found: DataFrame, partitions: int) -> DataFrame:
+    """Maximal runs of covered bytes, ``row, start, stop``, from ``row, start, last`` of repeated strings, which may overlap.
+
+    The strings of a text stream by in order, so a text that repeats itself a million times needs no list of them.
+    """
+    dealt = found.repartition(partitions, "row").sortWithinPartitions("row", "start")
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            row, start, stop = (batch.column(c).to_numpy().astype(np.int64) for c in ("row", "start", "last"))
+            stop = stop + LENGTH
+            if open_ is not None:
+                row, start, stop = (np.append(a, b) for a, b in zip(open_, (row, start, stop)))
+            turn = np.append(False, row[1:] != row[:-1])
+            rank = np.cumsum(turn) << 40
+            reach = np.maximum.accumulate(rank + stop)
+            new = np.append(True, (rank + start)[1:] > reach[:-1]) | turn
+            at = np.flatnonzero(new)
+            stops = reach[np.append(at[1:], len(row)) - 1] - rank[at]
+            open_ = row[at[-1:]], start[at[-1:]], stops[-1:]
+            yield _merged(row[at[:-1]], start[at[:-1]], stops[:-1])
+        if open_ is not None:
+            yield _merged(*open_)
+
+    return dealt.mapInArrow(merge, "row long, start long, stop long")
+
+
+def _merged(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["row", "start", "stop"])
+
+
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """Bytes that belong to a string of 100 bytes which also starts earlier (``doc_id``, ``text``): a row for each row.
 
@@ -314,14 +359,14 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     fetched = landed(stretch_bytes(marked, rows), folder, "bytes")
     found = sort_buckets(fetched.where("not large")).union(deal_strings(fetched.where("large")))
     found = landed(found.union(compared.where("again").select("row", "start", "last")), folder, "found")
-    runs = found.groupBy("row").agg(F.collect_list(F.struct("start", "last")).alias("runs"))
+    runs = merged_runs(found, n).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("runs"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text, runs in zip(batch.column("text"), batch.column("runs")):
                 data = text.as_py().encode()
-                spans = _spans(runs.values, len(data)) if runs.is_valid else []
+                spans = list(zip(runs.values.field("start").to_pylist(), runs.values.field("stop").to_pylist())) if runs.is_valid else []
                 kept, at = [], 0
                 for a, b in spans:
                     kept.append(data[at:a])
@@ -335,12 +380,3 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:long,stop:long>>"
     return rows.join(runs.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "runs").mapInArrow(remove, schema)
-
-
-def _spans(runs: pa.StructArray, size: int) -> list[tuple[int, int]]:
-    """Maximal runs of covered bytes."""
-    edge = np.zeros(size + 1, np.int64)
-    np.add.at(edge, runs.field("start").to_numpy(), 1)
-    np.add.at(edge, runs.field("last").to_numpy() + LENGTH, -1)
-    covered = np.diff(np.concatenate([[0], np.cumsum(edge) > 0, [0]]).astype(np.int8))
-    return list(zip(np.flatnonzero(covered == 1).tolist(), np.flatnonzero(covered == -1).tolist()))

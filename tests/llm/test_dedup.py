@@ -192,6 +192,23 @@ def test_substring_dedup(request, monkeypatch, name, bucket, shallow):
     assert got == repeats(pairs_of(docs))
 
 
+@pytest.mark.parametrize("piece", [150, 1000])
+def test_long_texts_are_cut_piece_by_piece(spark, base, monkeypatch, piece):
+    monkeypatch.setattr(suffixes, "PIECE", piece)
+    rng = random.Random(4)
+    rows = [(0, base * 3), (1, "q" * 1500), (2, "ab" * 700 + base[200:900]), (3, "".join(rng.choice("xyz") for _ in range(2500))), (4, None), (5, base[:90])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.substring_dedup(docs).collect()}
+    assert got == repeats(rows)
+
+
+def test_a_very_long_text_of_one_byte(spark):
+    size = 3_000_000
+    docs = spark.createDataFrame([(1, "z" * size), (2, "z" * 120 + "y")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.n_spans, r.removed[0].start) for r in suffixes.substring_dedup(docs).collect()}
+    assert got == {1: (size - 1, 1, 1), 2: (120, 1, 0)}
+
+
 def test_substring_dedup_keeps_one_of_repeated_rows(odd, empty):
     got = suffixes.substring_dedup(odd).collect()
     assert len(got) == odd.count()
