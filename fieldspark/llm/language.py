@@ -180,12 +180,13 @@ def identify(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     """
     columns = [c for c in docs.columns if c not in ("lang_pred", "score")]
     # the other columns travel as one, so that no name can clash
-    rows = docs.select(F.struct(*map(quoted, columns)).alias("it"), quoted(text).alias("text"), F.coalesce(quoted(text).rlike(r"\p{L}"), F.lit(False)).alias("letter"))
+    rows = docs.select(F.struct(*map(quoted, columns)).alias("it"), F.coalesce(quoted(text).rlike(r"\p{L}"), F.lit(False)).alias("letter"))
     schema = T.StructType([rows.schema["it"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = _trees(model)
-        for batch in slices(batches, "text"):
+        trees, place = _trees(model), columns.index(text)
+        whole = (pa.RecordBatch.from_arrays([*b.columns, b.column("it").field(place)], ["it", "letter", "text"]) for b in batches)
+        for batch in slices(whole, "text"):
             letter = np.asarray(batch.column("letter"))
             names, scores = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
             if trees.langs:
