@@ -275,17 +275,19 @@ class MetricRegion:
                 self._compare(i, rest)
 
 
+_TO_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)} | {c: " " for c in "\t\n\v\f\r"})
+
+
+def text_grams(text: str | None, width: int) -> list[str]:
+    """The shingles of a text as texts; of fewer than ``width`` words the whole sequence is one."""
+    words = [w for w in (text or "").translate(_TO_LOWER).split(" ") if w]
+    return [" ".join(g) for g in zip(*(words[i:] for i in range(width)))] if len(words) >= width else [" ".join(words)] if words else []
+
+
 def text_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     """Shingle sets of texts as sorted numbers from one numbering of their shingles: no hashes."""
     numbers: dict[str, int] = {}
-    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-    spaces = str.maketrans({c: " " for c in "\t\n\v\f\r"})
-    out = []
-    for text in texts:
-        words = [w for w in (text or "").translate(lower).translate(spaces).split(" ") if w]
-        grams = [" ".join(g) for g in zip(*(words[i:] for i in range(width)))] if len(words) >= width else [" ".join(words)] if words else []
-        out.append(np.unique(np.array([numbers.setdefault(g, len(numbers)) for g in grams], np.int64)))
-    return out
+    return [np.unique(np.array([numbers.setdefault(g, len(numbers)) for g in text_grams(t, width)], np.int64)) for t in texts]
 
 
 def _region_links(placed: DataFrame, width: int, percent: int) -> DataFrame:
@@ -315,6 +317,77 @@ def _region_links(placed: DataFrame, width: int, percent: int) -> DataFrame:
     return in_batches(placed, link, "cluster long, a long, b long")
 
 
+def _coloured(members: DataFrame, large: DataFrame, rows: DataFrame, texts: DataFrame, percent: int, width: int, folder: str) -> DataFrame:
+    """Members of large clusters as their pivots see them: ``cluster, node, size, mask, pivots, colour``.
+
+    ``pivots`` are those that the set is similar to (bits of ``mask``). Pivots that share a set belong together; ``colour`` is the mask of
+    a set's own, 0 of a set that no pivot reaches. Sets of one colour are in one class, so they need not meet any more. The
+    members of a cluster are dealt out in parts, and every part gets the pivots' texts.
+    """
+    n = partitions_for(members.sparkSession)
+    parts = F.ceil(F.col("n") / BLOCK_SHINGLES).cast("int")
+    inside = members.join(large.select("cluster", parts.alias("parts")), "cluster")
+    chosen = inside.groupBy("cluster", "parts").agg(F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("node", F.lit(j)), "node"))["node"] for j in range(PIVOTS)])).alias("p"))
+    chosen = landed(chosen.select("cluster", "parts", F.posexplode("p").alias("bit", "row")), folder, "pivots")
+    pivot_texts = RowBits(chosen, folder, "pivots_mask").maybe(rows.select("row", "text")).join(chosen, "row")
+    pivot_texts = pivot_texts.select("cluster", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), "bit", F.col("row").alias("node"), F.lit(0).cast("long").alias("size"), "text")
+    own = texts.join(inside.hint("shuffle_hash"), "node")
+    own = own.select("cluster", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.lit(None).cast("int").alias("bit"), "node", "size", "text")
+    dealt = pivot_texts.union(own).repartition(n, "cluster", "part").sortWithinPartitions("cluster", "part", F.asc_nulls_last("bit"), "node")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, seen = None, []
+        for batch in batches:
+            out = []
+            for cluster, part, bit, node, size, text in zip(*(batch.column(c).to_pylist() for c in ("cluster", "part", "bit", "node", "size", "text"))):
+                if (cluster, part) != key:
+                    key, seen = (cluster, part), []
+                grams = set(text_grams(text, width))
+                if bit is not None:
+                    seen.append((bit, node, grams))
+                    continue
+                close = []
+                for b, p, theirs in seen:
+                    common = len(grams & theirs)
+                    if 100 * common >= percent * (len(grams) + len(theirs) - common):
+                        close.append((b, p))
+                out.append((cluster, node, size, sum(1 << b for b, _ in close), [p for _, p in close]))
+            columns = zip(*out) if out else [[]] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["cluster", "node", "size", "mask", "pivots"])
+
+    seen = landed(in_batches(dealt, look, "cluster long, node long, size long, mask long, pivots array<long>"), folder, "seen")
+    # masks that share a pivot become one: at most as many as there are sets of pivots
+    apart = (
+        "aggregate(masks, cast(array() AS array<bigint>), (all, m) -> concat(filter(all, a -> (a & m) = 0), "
+        "array(aggregate(filter(all, a -> (a & m) <> 0), m, (x, a) -> x | a))))"
+    )
+    masks = seen.where("mask <> 0").groupBy("cluster").agg(F.collect_set("mask").alias("masks")).select("cluster", F.expr(apart).alias("colours"))
+    colour = F.coalesce(F.expr("get(filter(colours, a -> (a & mask) <> 0), 0)"), F.lit(0).cast("long"))
+    return seen.join(masks, "cluster", "left").select("cluster", "node", "size", "mask", "pivots", colour.alias("colour"))
+
+
+def _open_blocks(coloured: DataFrame) -> DataFrame:
+    """Where members of large clusters still have to meet: ``node, cluster, block, i, j``.
+
+    The members of a colour, and those of none, are dealt into blocks. Two blocks meet unless they are of one colour; a block of none also
+    meets itself.
+    """
+    few = F.ceil(F.sum("size") / BLOCK_SHINGLES)
+    count = F.greatest(F.least(few, F.lit(FEW_BLOCKS)), F.ceil(F.sum("size") / MOST_BLOCK_SHINGLES)).cast("int")
+    blocks = coloured.groupBy("cluster", "colour").agg(F.greatest(F.lit(1), count).alias("blocks"))
+    # of each cluster the colours in order, and the colour of each of its blocks
+    listed = blocks.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("colour", "blocks"))).alias("kinds"))
+    of_block = "flatten(transform(kinds, k -> array_repeat(k.colour, k.blocks)))"
+    first = "aggregate(filter(kinds, k -> k.colour < colour), 0, (n, k) -> n + k.blocks)"
+    own = "get(filter(kinds, k -> k.colour = colour), 0).blocks"
+    placed = coloured.join(listed, "cluster").withColumn("colours", F.expr(of_block))
+    placed = placed.withColumn("block", F.expr(f"cast({first} + pmod(xxhash64(node), {own}) AS int)"))
+    others = "filter(transform(colours, (c, b) -> struct(c AS colour, b AS block)), x -> x.colour <> colour OR colour = 0)"
+    met = placed.select("node", "cluster", "block", F.explode(F.expr(others)).alias("other"))
+    return met.select("node", "cluster", "block", F.least("block", "other.block").alias("i"), F.greatest("block", "other.block").alias("j"))
+
+
 def _classes(rows: DataFrame, width: int, percent: int, folder: str) -> DataFrame:
     """Classes of texts, from ``row, text``: ``row, n_shingles, first``, the smallest row that links lead to."""
     spark, n = rows.sparkSession, partitions_for(rows.sparkSession)
@@ -331,26 +404,28 @@ def _classes(rows: DataFrame, width: int, percent: int, folder: str) -> DataFram
         discard(spark, folder, name)
     clusters = landed(connected_components(edges, f"{folder}/clusters").withColumnRenamed("component", "cluster"), folder, "members")
     discard(spark, folder, "clusters")
-    # a cluster is one region, or all pairs of blocks if it is large
-    weighed = clusters.join(equal.groupBy("node").agg(F.sum("n_shingles").alias("n")), "node")
-    weights = landed(weighed.groupBy("cluster").agg(F.sum("n").alias("n")), folder, "weights")
-    few = F.ceil(F.col("n") / BLOCK_SHINGLES)
-    blocks = F.greatest(F.least(few, F.lit(FEW_BLOCKS)), F.ceil(F.col("n") / MOST_BLOCK_SHINGLES)).cast("int")
-    placed = clusters.join(weights.select("cluster", blocks.alias("blocks")), "cluster")
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    placed = placed.select("node", "cluster", "blocks", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    placed = landed(placed, folder, "placed")
+    sizes = equal.select("node", F.col("n_shingles").alias("size"))
+    weighed = landed(clusters.join(sizes, "node"), folder, "weighed")
+    large = weighed.groupBy("cluster").agg(F.sum("size").alias("n")).where(F.col("n") > BLOCK_SHINGLES)
+    large = landed(large, folder, "large")
     wanted = RowBits(clusters.select(F.col("node").alias("row")), folder, "members_mask")
-    texts = wanted.maybe(rows.select("row", "text")).withColumnRenamed("row", "node").join(placed.drop("blocks").hint("shuffle_hash"), "node")
-    texts = texts.repartition(n, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node")
-    links = landed(_region_links(texts, width, percent), folder, "links")
-    split = placed.where("blocks > 1").select("cluster").distinct()
+    texts = wanted.maybe(rows.select("row", "text")).withColumnRenamed("row", "node")
+    # a cluster is one region; a large one is first seen from its pivots, then in those pairs of blocks that are still open
+    coloured = landed(_coloured(weighed, large, rows, texts, percent, width, folder), folder, "coloured")
+    small = weighed.join(large.select("cluster"), "cluster", "left_anti")
+    placed = small.select("node", "cluster", F.lit(0).alias("block"), F.lit(0).alias("i"), F.lit(0).alias("j")).union(_open_blocks(coloured))
+    placed = landed(placed, folder, "placed")
+    meeting = texts.join(placed.hint("shuffle_hash"), "node")
+    meeting = meeting.repartition(n, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "node")
+    links = landed(_region_links(meeting, width, percent), folder, "links")
+    split = large.select("cluster")
     once = links.join(split, "cluster", "left_anti").select(F.col("b").alias("node"), F.col("a").alias("component"))
-    again = connected_components(links.join(split, "cluster", "left_semi").select("a", "b"), f"{folder}/split")
+    stars = coloured.where("mask <> 0").select(F.get("pivots", F.lit(0)).alias("a"), F.explode(F.concat("pivots", F.array("node"))).alias("b"))
+    again = connected_components(links.join(split, "cluster", "left_semi").select("a", "b").union(stars).where("a <> b").distinct(), f"{folder}/split")
     found = once.union(again).groupBy("node").agg(F.min("component").alias("component"))
     named = equal.join(found, "node", "left").select("digest", "n_shingles", F.coalesce("component", "node").alias("first"))
     named = landed(named, folder, "named")
-    for name in ("edges", "members", "weights", "placed", "links", "split", "equal"):
+    for name in ("edges", "members", "weighed", "large", "coloured", "placed", "links", "split", "equal"):
         discard(spark, folder, name)
     linked = full.join(named, ["digest", "n_shingles"]).select("row", "n_shingles", "first")
     return linked.union(sets.where("n_shingles = 0").select("row", "n_shingles", F.col("row").alias("first")))

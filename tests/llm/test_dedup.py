@@ -127,6 +127,27 @@ def test_region_is_joined_exactly_when_pivots_split_it():
     assert [region.find(i) for i in range(len(sets))] == root
 
 
+def test_large_clusters_meet_only_where_links_are_open(spark, monkeypatch):
+    """A cluster of near copies is settled by its pivots; only sets that no pivot reaches meet the others."""
+    monkeypatch.setattr(metric_join, "BLOCK_SHINGLES", 100)
+    monkeypatch.setattr(metric_join, "FEW_BLOCKS", 1000)
+    rows = [(1, i, 10, 1, [0], 1) for i in range(400)] + [(1, 400 + i, 10, 0, [], 0) for i in range(5)] + [(2, 500 + i, 10, 1, [500], 1) for i in range(300)]
+    rows += [(3, 800 + i, 10, 1 + i % 2, [800], 1 + i % 2) for i in range(40)]
+    coloured = spark.createDataFrame(rows, "cluster long, node long, size long, mask long, pivots array<long>, colour long")
+    placed = defaultdict(set)
+    for r in metric_join._open_blocks(coloured).collect():
+        placed[r.node].add((r.cluster, r.i, r.j))
+    # a set of the one colour meets the one block of the five others, and these meet all blocks and each other
+    assert all(len(placed[i]) == 1 for i in range(400)) and all(len(placed[400 + i]) == 41 for i in range(5))
+    assert not any(500 <= node < 800 for node in placed)
+    # all that is open does meet: two sets of different colours, or of none, share a pair of blocks
+    colour = {r[1]: (r[0], r[5]) for r in rows}
+    for a in placed:
+        for b in placed:
+            if a < b and colour[a][0] == colour[b][0] and (colour[a] != colour[b] or colour[a][1] == 0):
+                assert placed[a] & placed[b]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 150), (150, 120), (7, 7), (200, 201), (201, 200)] + [(300, 300 + i) for i in range(50)]
     got = dict(connected_components(spark.createDataFrame(edges, "a long, b long"), workspace(spark, "t")).collect())
