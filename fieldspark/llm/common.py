@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -31,6 +33,15 @@ def held(key: object, build: Callable[[], object]):
     return _held[key]
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: Python workers outlive a step and share an executor's memory with its heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def in_batches(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, keeps: bool = False) -> DataFrame:
     """``mapInArrow`` whose step, if it ``keeps`` nothing, starts without the ``held`` object of an earlier one."""
 
@@ -40,7 +51,7 @@ def in_batches(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterato
         try:
             yield from step(batches)
         finally:
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return df.mapInArrow(bounded, schema)
 

@@ -4,8 +4,9 @@ Whole unrelated texts are all at distance 1 from every pivot, so no window aroun
 The space is therefore first cut in slices of shingles. Two sets close enough differ in fewer shingles than there are
 slices, so they are at distance 0 in one of them: there a pivot's region needs no window, and every set is in just
 one region of each slice. Sets that share a region, directly or through others, form a cluster. Within a cluster the true
-distances spread, and it is joined recursively: pivots take the sets nearest to them, sets near a border are replicated by
-the triangle inequality, and each region is joined again, until it is small or no pivot splits it.
+distances spread. A large cluster is first seen from some pivots: sets close to one are settled, and only what no pivot reaches, and
+sets of different pivots, still meet, block by block. Each region or pair of blocks is joined recursively: pivots take the sets nearest to them, sets near a
+border are replicated by the triangle inequality, and each part is joined again, until it is small or no pivot splits it.
 """
 
 from __future__ import annotations
