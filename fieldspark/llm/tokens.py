@@ -20,7 +20,6 @@ import tiktoken
 
 from fieldspark.llm.common import held
 
-ID_BYTES = 4
 
 # fixed values: how these two kinds of tokenizer cut a text
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
