@@ -26,7 +26,7 @@ SHALLOW_WORDS = 4
 #: Stretches of one bucket that one task sorts; the strings of larger buckets are dealt out one by one.
 BUCKET = 4096
 #: Text bytes that are cut in stretches at a time.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Stretches sorted at a time.
 SORTED_AT_ONCE = 4096
 
