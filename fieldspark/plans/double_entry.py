@@ -114,7 +114,10 @@ def compare_entries(
     sides = [(d if unique else d.select(*keys, *names)).withColumn("__side", F.lit(i)).withColumns(texts) for i, d in enumerate((first, second))]
     stacked = sides[0].unionByName(sides[1], allowMissingColumns=True)
     # equal rows are counted as one before anything is brought together by key
-    counted = (stacked.distinct() if unique else stacked).groupBy(*keys, "__side", *names).agg(F.count(F.lit(1)).alias("__n"))
+    if unique and set(stacked.columns) == {*keys, "__side", *names}:  # nothing else tells rows apart, so there is one of each
+        counted = stacked.distinct().withColumn("__n", F.lit(1).cast("bigint"))
+    else:
+        counted = (stacked.distinct() if unique else stacked).groupBy(*keys, "__side", *names).agg(F.count(F.lit(1)).alias("__n"))
     of_key = Window.partitionBy(*keys).orderBy("__side")
     whole = of_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = counted.withColumns(

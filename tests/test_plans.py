@@ -143,6 +143,15 @@ def test_comparison_shuffles_twice(spark, unique, most):
     assert plan.count("Exchange hashpartitioning") == most and "Join" not in plan
 
 
+def test_rows_told_apart_by_nothing_else_are_not_counted_again(spark):
+    frames = [spark.createDataFrame(r, "k string, v double") for r in ([("a", 1.0)] * 3 + [("b", 2.0)], [("a", 4.0)] * 2 + [("a", 5.0)])]
+    got = de.compare_entries(*frames, ["k"], ["v"], unique=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count(" HashAggregate(") == 4  # rows once and results once, each before and after it is brought together
+    assert {tuple(r) for r in got.collect()} == {("a", "1 ≠ 4", 1), ("a", "1 ≠ 5", 1)}
+
+
 SWATH = """site string, site_type string, zone string, date string, transect string, depth string,
   depth_units string, species string, stipe_counts_macrocystis_only string, count string, subsample_meter string"""
 
