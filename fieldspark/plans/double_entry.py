@@ -118,6 +118,9 @@ def compare_entries(
         counted = stacked.distinct().withColumn("__n", F.lit(1).cast("bigint"))
     else:
         counted = (stacked.distinct() if unique else stacked).groupBy(*keys, "__side", *names).agg(F.count(F.lit(1)).alias("__n"))
+    # all tasks of a shuffle are used: Spark would merge them by their packed bytes, and these rows are sorted, listed and counted at many times that size
+    tasks = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = counted.repartition(tasks, *keys)
     of_key = Window.partitionBy(*keys).orderBy("__side")
     whole = of_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = counted.withColumns(
@@ -156,7 +159,6 @@ def compare_entries(
     if pairs == "count":
         return result.groupBy(*keys, *told).agg(F.sum("n_pairs").alias("n_pairs")).withColumns(numbers)
     # chunks of pairs are dealt to all tasks before they become rows, so no row holds a list of all pairs of a key
-    tasks = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n_pairs") - 1) / PAIR_CHUNK))
     dealt = result.select(*keys, *told, "n_pairs", F.explode(chunks).alias("__chunk")).repartition(tasks, *keys, "__chunk")
     size = F.least(F.lit(PAIR_CHUNK), F.col("n_pairs") - F.col("__chunk") * PAIR_CHUNK).cast("int")

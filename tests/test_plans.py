@@ -152,6 +152,14 @@ def test_rows_told_apart_by_nothing_else_are_not_counted_again(spark):
     assert {tuple(r) for r in got.collect()} == {("a", "1 ≠ 4", 1), ("a", "1 ≠ 5", 1)}
 
 
+def test_values_of_keys_meet_in_all_tasks(spark):
+    """Few bytes are not merged into fewer tasks than the session has."""
+    frames = [spark.range(400).selectExpr("cast(id AS string) AS k", f"cast(id + {i} AS double) AS v") for i in range(2)]
+    got = de.compare_entries(*frames, ["k"], ["v"])
+    parts = Counter(r[0] for r in got.select(F.spark_partition_id()).collect())
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions")) and parts.total() == 400
+
+
 SWATH = """site string, site_type string, zone string, date string, transect string, depth string,
   depth_units string, species string, stipe_counts_macrocystis_only string, count string, subsample_meter string"""
 
